@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?d): only \n ends a line, so U+2028 and the like inside a value do not cut it.
-_TAG_LINE = r'(?dm)^[ \t]*\[(\w[\w+#=:-]*)\s+"(.*)"\s*\][ \t]*$'
+# Each pattern opens with one literal or character class, so that most positions of a
+# text are passed over with a single test. (?d): only \n ends a line, so U+2028 and the
+# like inside a value do not cut it.
+_TAG_LINE = r'(?dm)\[(?<=^\[)(\w[\w+#=:-]*)\s+"(.*)"\s*\][ \t]*$'
 # First line that is neither a tag, nor blank, nor a comment line.
 _MOVETEXT_START = r"(?dm)^[ \t]*[^\[\s;%]"
-_COMMENT = r"(?dm)\{[^}]*\}?|;[^\n]*|^%[^\n]*"
-# Glyph codes, results and bare numbers, move-number marks, annotation suffixes.
+# { ... }, ; to the end of the line, % lines.
+_COMMENT = r"(?dm)[{;%](?:(?<=\{)[^}]*\}?|(?<=;)[^\n]*|(?<=^%)[^\n]*)"
+# $1 glyphs, !? suffixes, and whole words: dots, move numbers, results.
 _NOT_A_MOVE = (
-    r"\$\d+"
-    r"|(?<!\S)(?:1-0|0-1|1/2-1/2|\*|\d+)(?!\S)"
-    r"|(?<!\S)\d*\.+"
-    r"|[!?]+(?=[\s$]|\z)"
+    r"[\d.*$!?](?:(?<=\$)\d+"
+    r"|(?<=[!?])[!?]*(?=[\s$]|\z)"
+    r"|(?<!\S.)(?:(?<=\.)\.*|(?<=\d)\d*(?:\.+|(?!\S))"
+    r"|(?<=1)(?:-0|/2-1/2)(?!\S)|(?<=0)-1(?!\S)|(?<=\*)(?!\S)))"
 )
 
 
@@ -24,7 +27,10 @@ def movetext_start(record: Column) -> Column:
 
 
 def header_text(record: Column, start: Column) -> Column:
-    return F.when(start > 0, F.substring(record, F.lit(1), start - 1)).otherwise(record)
+    """The tag lines, with \\" and \\\\ read as " and \\."""
+    header = F.when(start > 0, F.substring(record, F.lit(1), start - 1)).otherwise(record)
+    unescaped = F.regexp_replace(header, r'\\(["\\])', "$1")
+    return F.when(F.contains(record, F.lit("\\")), unescaped).otherwise(header)
 
 
 def move_text(record: Column, start: Column) -> Column:
@@ -41,9 +47,9 @@ def tag_values(header: Column) -> Column:
 
 
 def tag_value(names: Column, values: Column, tag: str, default: str = "") -> Column:
-    at = F.array_position(names, tag)
-    raw = F.when(at > 0, F.get(values, at - 1)).otherwise(F.lit(default))
-    return F.when(F.contains(raw, F.lit("\\")), F.regexp_replace(raw, r'\\(["\\])', "$1")).otherwise(raw)
+    # Kept short on purpose: ten of these share one generated method, and a method that
+    # grows past what the JVM compiles runs many times slower.
+    return F.coalesce(F.get(values, F.array_position(names, tag).cast("int") - 1), F.lit(default))
 
 
 def _without_variations(text: Column) -> Column:
@@ -61,9 +67,12 @@ def _without_variations(text: Column) -> Column:
     return F.aggregate(parts, start, step, lambda state: state["kept"])
 
 
-def main_line(movetext: Column) -> Column:
-    """Main-line moves as a list: comments, variations, glyphs, numbers and result dropped."""
-    plain = F.regexp_replace(movetext, _COMMENT, " ")
+def without_comments(movetext: Column) -> Column:
+    return F.regexp_replace(movetext, _COMMENT, " ")
+
+
+def main_line(plain: Column) -> Column:
+    """Moves outside variations as a list; glyphs, numbers and the result dropped."""
     flat = F.when(F.contains(plain, F.lit("(")), _without_variations(plain)).otherwise(
         F.replace(plain, F.lit(")"), F.lit(" "))
     )

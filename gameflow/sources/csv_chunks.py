@@ -10,7 +10,10 @@ from gameflow.functions.codec import list_to_text, text_to_list
 from gameflow.schema import MESSAGE_FIELDS
 
 # A missing value is \N and an empty string is "", so they stay apart; quotes are doubled as in RFC 4180.
-CSV_OPTIONS = {"header": "true", "nullValue": "\\N", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "header": "true", "nullValue": "\\N", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 _TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in MESSAGE_FIELDS])
 _CHUNK_SCHEMA = _TEXT_SCHEMA.add("chunk", T.LongType())
 

@@ -57,12 +57,19 @@ def parse_records(
         pgn.tag_names(F.col("header")).alias("names"),
         pgn.tag_values(F.col("header")).alias("values"),
     )
-    columns = {
+    # The move list needs a lambda, which is interpreted. Keeping it in a projection of its
+    # own leaves the rest of the parsing in generated code.
+    fields = {
         field: pgn.tag_value(F.col("names"), F.col("values"), tag, defaults.get(tag, ""))
         for field, tag in FIELD_TAGS.items()
     }
-    columns["Moves"] = pgn.main_line(F.col("movetext"))
-    return tags.select(*[columns[f].alias(f) for f in MESSAGE_FIELDS if f in columns], *keep)
+    flat = tags.select(
+        *keep,
+        *[column.alias(field) for field, column in fields.items()],
+        pgn.without_comments(F.col("movetext")).alias("plain"),
+    )
+    moves = pgn.main_line(F.col("plain")).alias("Moves")
+    return flat.select(*[moves if f == "Moves" else f for f in MESSAGE_FIELDS if f != "GameID"], *keep)
 
 
 def read_games(
