@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gameflow.functions.codec import decode_payload, encode_payload
-from gameflow.functions.scalars import chunk_name, dotted_date
+from gameflow.functions.scalars import chunk_name, dotted_date, rating
 from gameflow.operators import decode, ranges
 from gameflow.plans import standins
 from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, replay
-from gameflow.schema import GAME_COLUMNS, TABLE_SCHEMA
+from gameflow.schema import TABLE_SCHEMA
 from gameflow.session import scratch_path
-from gameflow.sinks.table import ParquetTable, count_games, create_table
+from gameflow.sinks.table import ParquetTable, create_table
 from gameflow.sources.csv_chunks import read_chunks, stream_chunks
 from gameflow.sources.messages import encode_messages, file_topic
 from gameflow.sources.pgn import read_corpus, read_games
@@ -198,7 +198,7 @@ SELECT event_id + 1 AS gameid, event_type AS result FROM events
 WHERE event_id < least({CAP}, (SELECT count(*) FROM events))
 """)
 def capped_emit(spark, sf_dir):
-    capped = ranges.first_games(standins.games(spark, sf_dir), CAP)
+    capped = ranges.first_games(standins.spread(standins.games(spark, sf_dir)), CAP)
     return decode.select_games(encode_messages(capped)).select(F.col("gameid").cast("bigint"), "result")
 
 
@@ -224,7 +224,7 @@ SELECT CAST(event_id + 1 AS VARCHAR) AS "GameID", strftime(ts, '%Y.%m.%d') AS "D
 FROM events
 """)
 def emit_messages(spark, sf_dir):
-    games = standins.games(spark, sf_dir).withColumn("Variant", F.lit(None).cast("string"))
+    games = standins.spread(standins.games(spark, sf_dir)).withColumn("Variant", F.lit(None).cast("string"))
     return decode_payload(encode_messages(games), ["GameID", "Date", "Result", "Variant"])
 
 
@@ -259,7 +259,7 @@ SELECT event_id,
        CASE event_type WHEN 'view' THEN CAST(event_id AS VARCHAR) WHEN 'click' THEN CAST(event_id AS VARCHAR)
                        WHEN 'signup' THEN 'x' || CAST(event_id AS VARCHAR) END AS gameid,
        CASE WHEN event_type = 'click' THEN CAST(1000 + user_id AS INTEGER) END AS whiteelo,
-       CASE WHEN event_type = 'view' THEN 2 END AS n_moves
+       CASE WHEN event_type = 'view' THEN 2 END AS n_moves, CAST(NULL AS VARCHAR) AS round
 FROM events
 """)
 def json_decode_permissive(spark, sf_dir):
@@ -276,10 +276,10 @@ def json_decode_permissive(spark, sf_dir):
     )
     messages = standins.events(spark, sf_dir).select("event_id", payload.alias("value"))
     rows = decode_payload(messages, ["GameID", "Round", "WhiteElo", "Moves"], carry=["event_id"])
-    typed = rows.select("event_id", F.col("GameID").alias("gameid"),
-                        F.col("WhiteElo").try_cast("double").try_cast("int").alias("whiteelo"),
-                        F.when(F.col("Moves").isNotNull(), F.size("Moves")).alias("n_moves"), "Round")
-    return typed.filter(F.col("Round").isNull()).drop("Round")
+    return rows.select(
+        "event_id", F.col("GameID").alias("gameid"), rating(F.col("WhiteElo")).alias("whiteelo"),
+        F.when(F.col("Moves").isNotNull(), F.size("Moves")).alias("n_moves"), F.col("Round").alias("round"),
+    )
 
 
 @query("""
@@ -314,7 +314,7 @@ SELECT event_id + 1 AS gameid, CASE WHEN event_type <> 'view' THEN CAST(1000 + u
 FROM events
 """)
 def sink_typed_cast(spark, sf_dir):
-    games = standins.games(spark, sf_dir).withColumn(
+    games = standins.spread(standins.games(spark, sf_dir)).withColumn(
         "WhiteElo", F.when(F.col("Result") == "view", "?").otherwise(F.concat("WhiteElo", F.lit(".0")))
     )
     typed = decode.to_table_types(decode.select_games(encode_messages(games)))
@@ -335,7 +335,7 @@ def _loaded_table(spark, sf_dir) -> ParquetTable:
 
 @query("SELECT count(*) AS n FROM events")
 def table_count(spark, sf_dir):
-    return count_games(_loaded_table(spark, sf_dir).latest(spark))
+    return _loaded_table(spark, sf_dir).count(spark)
 
 
 @query(GAMES_SQL)
@@ -355,8 +355,8 @@ FROM events GROUP BY 1
 """)
 def keyed_upsert_latest(spark, sf_dir):
     """One game per user: earlier events in a first run, later ones after a restart."""
-    keyed = standins.games(spark, sf_dir, "event_id", "ts").withColumns(
-        {"GameID": F.split("White", "x")[0].cast("bigint"), "Variant": F.col("event_id").cast("string")}
+    keyed = standins.spread(standins.games(spark, sf_dir, "event_id", "ts")).withColumns(
+        {"GameID": F.col("White").cast("bigint"), "Variant": F.col("event_id").cast("string")}
     )
     late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
     topic = file_topic(scratch_path(spark, "keyed-topic"))
@@ -391,7 +391,7 @@ def stream_resume(spark, sf_dir):
     topic = file_topic(scratch_path(spark, "resume-topic"))
     clicked = F.col("Result") == "click"
     for wave in (clicked, ~clicked):
-        topic.write(encode_messages(standins.games(spark, sf_dir).filter(wave)))
+        topic.write(encode_messages(standins.spread(standins.games(spark, sf_dir)).filter(wave)))
         jobs.start_selection(topic.read_stream(spark), out, checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
     return spark.read.schema(TABLE_SCHEMA).parquet(out)
 

@@ -36,6 +36,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """A table in one small file would be one task; a large one is left as it is."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 <= cores else frame
+
+
 def games(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Events as games in message form, followed by the ``keep`` columns of the event."""
     at = F.col("ts").cast("string")
@@ -136,7 +142,7 @@ def chunk_files(spark: SparkSession, sf_dir: str) -> str:
 def message_topic(spark: SparkSession, sf_dir: str) -> Topic:
     """Event games as messages in a file-backed topic."""
     return file_topic(land_once(
-        spark, sf_dir, "topic", lambda path: file_topic(path).write(encode_messages(games(spark, sf_dir)))
+        spark, sf_dir, "topic", lambda path: file_topic(path).write(encode_messages(spread(games(spark, sf_dir))))
     ))
 
 

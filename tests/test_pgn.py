@@ -35,12 +35,12 @@ EDGE = (
     + game("stray", "1. e4 ) e5 1-0")
     + game("unclosed", "1. e4 e5 { never ends")
     + game("percent", "1. e4\n%escape d4\ne5 0-0 1-0")
-    + game("line sep", "1. e4 *")
+    + game("line\u2028sep", "1. e4 *")
 )
 MOVES = {
     "full": "e4 e5 Nf3 Nc6", "repeated-last": "e4 e5", "empty": "e4 e5", 'quote "q" back\\slash': "e4 e5",
     "nomoves": "", "variations": "e4 e5 f4 exf4", "tight": "e4 e5 Nf3 Nc6 O-O-O", "tagcomment": "e4 e5",
-    "stray": "e4 e5", "unclosed": "e4 e5", "percent": "e4 e5 0-0", "line sep": "e4",
+    "stray": "e4 e5", "unclosed": "e4 e5", "percent": "e4 e5 0-0", "line\u2028sep": "e4",
 }
 
 
