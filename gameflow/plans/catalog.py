@@ -17,7 +17,7 @@ from gameflow.operators import decode, ranges
 from gameflow.plans import standins
 from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, replay
 from gameflow.schema import TABLE_SCHEMA
-from gameflow.session import scratch_path
+from gameflow.session import scratch_folders, scratch_path
 from gameflow.sinks.table import ParquetTable, create_table
 from gameflow.sources.csv_chunks import read_chunks, stream_chunks
 from gameflow.sources.messages import encode_messages, file_topic
@@ -328,7 +328,8 @@ def _loaded_table(spark, sf_dir) -> ParquetTable:
     """The message topic loaded into a keyed table by a stream, once per session."""
 
     def write(path: str) -> None:
-        load_table(spark, standins.message_topic(spark, sf_dir), ParquetTable(path), scratch_path(spark, "checkpoint"))
+        with scratch_folders(spark, "checkpoint") as [checkpoint]:
+            load_table(spark, standins.message_topic(spark, sf_dir), ParquetTable(path), checkpoint)
 
     return ParquetTable(standins.land_once(spark, sf_dir, "table", write))
 
@@ -359,48 +360,49 @@ def keyed_upsert_latest(spark, sf_dir):
         {"GameID": F.col("White").cast("bigint"), "Variant": F.col("event_id").cast("string")}
     )
     late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
-    topic = file_topic(scratch_path(spark, "keyed-topic"))
     table = ParquetTable(scratch_path(spark, "keyed-table"))
-    checkpoint = scratch_path(spark, "checkpoint")
-    for wave in (~late, late):
-        topic.write(encode_messages(keyed.filter(wave), offset="event_id"))
-        load_table(spark, topic, table, checkpoint)
+    with scratch_folders(spark, "keyed-topic", "checkpoint") as [messages, checkpoint]:
+        topic = file_topic(messages)
+        for wave in (~late, late):
+            topic.write(encode_messages(keyed.filter(wave), offset="event_id"))
+            load_table(spark, topic, table, checkpoint)
     return table.latest(spark).select("gameid", F.col("variant").cast("bigint").alias("last_event"), "result")
 
 
 # ---- streams -----------------------------------------------------------------------
 
 
-def _files_per_trigger(spark, path: str, batches: int) -> str:
+def _files_per_trigger(landed: DataFrame, batches: int) -> str:
     """A file group size that cuts a folder into about this many batches, however large it is."""
-    return str(max(1, -(-len(spark.read.parquet(path).inputFiles()) // batches)))
+    return str(max(1, -(-len(landed.inputFiles()) // batches)))
 
 
 @query(GAMES_SQL)
 def stream_game_select(spark, sf_dir):
-    out = scratch_path(spark, "selected")
-    stream = standins.message_topic(spark, sf_dir).read_stream(spark)
-    jobs.start_selection(stream, out, scratch_path(spark, "checkpoint"), jobs.AVAILABLE_NOW).awaitTermination()
+    out, stream = scratch_path(spark, "selected"), standins.message_topic(spark, sf_dir).read_stream(spark)
+    with scratch_folders(spark, "checkpoint") as [checkpoint]:
+        jobs.start_selection(stream, out, checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
     return spark.read.schema(TABLE_SCHEMA).parquet(out)
 
 
 @query(GAMES_SQL)
 def stream_resume(spark, sf_dir):
     """A stream stopped between two arrivals and started again on its checkpoint."""
-    out, checkpoint = scratch_path(spark, "resumed"), scratch_path(spark, "checkpoint")
-    topic = file_topic(scratch_path(spark, "resume-topic"))
-    clicked = F.col("Result") == "click"
-    for wave in (clicked, ~clicked):
-        topic.write(encode_messages(standins.spread(standins.games(spark, sf_dir)).filter(wave)))
-        jobs.start_selection(topic.read_stream(spark), out, checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
+    games = standins.spread(standins.games(spark, sf_dir))
+    out, clicked = scratch_path(spark, "resumed"), F.col("Result") == "click"
+    with scratch_folders(spark, "resume-topic", "checkpoint") as [messages, checkpoint]:
+        topic = file_topic(messages)
+        for wave in (clicked, ~clicked):
+            topic.write(encode_messages(games.filter(wave)))
+            jobs.start_selection(topic.read_stream(spark), out, checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
     return spark.read.schema(TABLE_SCHEMA).parquet(out)
 
 
 @query("SELECT count(*) AS n, count(*) AS n_keyed FROM events")
 def stream_message_count(spark, sf_dir):
-    out = scratch_path(spark, "count")
-    stream = standins.message_topic(spark, sf_dir).read_stream(spark)
-    jobs.start_count(stream, out, scratch_path(spark, "checkpoint"), jobs.AVAILABLE_NOW).awaitTermination()
+    out, stream = scratch_path(spark, "count"), standins.message_topic(spark, sf_dir).read_stream(spark)
+    with scratch_folders(spark, "checkpoint") as [checkpoint]:
+        jobs.start_count(stream, out, checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -408,12 +410,11 @@ def stream_message_count(spark, sf_dir):
 def stream_throttled(spark, sf_dir):
     """A few file groups with a pause between them."""
     source, out = standins.message_topic(spark, sf_dir).read_options["path"], scratch_path(spark, "throttled")
-    topic = file_topic(source, maxFilesPerTrigger=_files_per_trigger(spark, source, 3))
-    running = jobs.start_selection(
-        topic.read_stream(spark), out, scratch_path(spark, "checkpoint"), {"processingTime": "1 second"}
-    )
-    running.processAllAvailable()
-    running.stop()
+    topic = file_topic(source, maxFilesPerTrigger=_files_per_trigger(spark.read.parquet(source), 3))
+    with scratch_folders(spark, "checkpoint") as [checkpoint]:
+        running = jobs.start_selection(topic.read_stream(spark), out, checkpoint, {"processingTime": "1 second"})
+        running.processAllAvailable()
+        running.stop()
     return spark.read.schema(TABLE_SCHEMA).parquet(out)
 
 
@@ -421,16 +422,15 @@ def stream_throttled(spark, sf_dir):
 def dead_letter_replay(spark, sf_dir):
     """Two batches are refused and saved, the rest is sent; after the replay all games are there once."""
     landing = standins.chunk_files(spark, sf_dir)
-    size = max(1, -(-len(read_chunks(spark, landing).inputFiles()) // 5))
-    source = stream_chunks(spark, landing, maxFilesPerTrigger=str(size))
-    topic, letters = file_topic(scratch_path(spark, "sent")), scratch_path(spark, "letters")
-    refusing = standins.RefusingTopic(topic, {1, 3})
-    jobs.start_delivery(
-        source, refusing, letters, scratch_path(spark, "checkpoint"), jobs.AVAILABLE_NOW
-    ).awaitTermination()
-    replay(spark, letters, topic)
+    size = _files_per_trigger(read_chunks(spark, landing), 5)
     table = ParquetTable(scratch_path(spark, "replayed"))
-    load_table(spark, topic, table, scratch_path(spark, "checkpoint"))
+    with scratch_folders(spark, "sent", "letters", "sending", "loading") as [sent, letters, sending, loading]:
+        topic = file_topic(sent)
+        refusing = standins.RefusingTopic(topic, {1, 3})
+        source = stream_chunks(spark, landing, maxFilesPerTrigger=size)
+        jobs.start_delivery(source, refusing, letters, sending, jobs.AVAILABLE_NOW).awaitTermination()
+        replay(spark, letters, topic)
+        load_table(spark, topic, table, loading)
     return table.latest(spark)
 
 
@@ -439,17 +439,19 @@ SELECT event_id + 1 AS gameid, CAST(ts AS DATE) AS date, strftime(ts, '%H:%M:%S'
        '-' AS round, CAST(user_id AS VARCHAR) AS white, 'b' || CAST(event_id AS VARCHAR) AS black,
        CASE WHEN event_type = 'click' THEN '180+0' ELSE '' END AS timecontrol, event_type AS result,
        CAST(1000 + user_id AS INTEGER) AS whiteelo, CAST(floor(value) AS INTEGER) AS blackelo,
-       json_extract_string(props, '$.k') AS variant, event_type || ' ' || json_extract_string(props, '$.k') || 'x' AS moves
+       json_extract_string(props, '$.k') AS variant,
+       event_type || ' ' || json_extract_string(props, '$.k') || 'x' AS moves
 FROM events
 """)
 def chunk_pipeline(spark, sf_dir):
     """PGN files to the table: scan, number, CSV chunks, a first send that is refused, replay, upsert."""
-    topic, letters = file_topic(scratch_path(spark, "sent")), scratch_path(spark, "letters")
-    ingest(spark, standins.pgn_files(spark, sf_dir), standins.RefusingTopic(topic, {None}), letters,
-           chunks=CHUNKS, landing=scratch_path(spark, "landing"))
-    replay(spark, letters, topic)
     table = ParquetTable(scratch_path(spark, "pipeline"))
-    load_table(spark, topic, table, scratch_path(spark, "checkpoint"))
+    with scratch_folders(spark, "sent", "letters", "landing", "loading") as [sent, letters, landing, loading]:
+        topic = file_topic(sent)
+        refusing = standins.RefusingTopic(topic, {None})
+        ingest(spark, standins.pgn_files(spark, sf_dir), refusing, letters, chunks=CHUNKS, landing=landing)
+        replay(spark, letters, topic)
+        load_table(spark, topic, table, loading)
     return table.latest(spark)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,19 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the scratch folder that nothing has used before."""
     return f"{scratch_root(spark)}/gameflow/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def scratch_folders(spark: SparkSession, *names: str) -> Iterator[list[str]]:
+    """Scratch paths for the steps of one job, deleted when it is done."""
+    paths = [scratch_path(spark, name) for name in names]
+    try:
+        yield paths
+    finally:
+        for path in paths:
+            delete_path(spark, path)

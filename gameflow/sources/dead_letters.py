@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gameflow.schema import MESSAGE_FIELDS, message_schema
+from gameflow.session import delete_path
 
 # Name patterns of a failed batch and of a failed whole frame.
 LETTER_GLOB = "failed_{batch,df}_*.json"
@@ -38,8 +39,5 @@ def read_letters(spark: SparkSession, letters: list[str], multi_line: bool = Fal
 
 
 def remove_letters(spark: SparkSession, letters: list[str]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for letter in letters:
-        path = jvm.org.apache.hadoop.fs.Path(letter)
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(spark, letter)

@@ -48,28 +48,29 @@ def parse_records(
     cut = records.select(*keep, "record", pgn.movetext_start(F.col("record")).alias("start"))
     parts = cut.select(
         *keep,
+        "record",
         pgn.header_text(F.col("record"), F.col("start")).alias("header"),
-        pgn.move_text(F.col("record"), F.col("start")).alias("movetext"),
     )
     tags = parts.select(
         *keep,
-        "movetext",
+        "record",
         pgn.tag_names(F.col("header")).alias("names"),
         pgn.tag_values(F.col("header")).alias("values"),
     )
-    # The move list needs a lambda, which is interpreted. Keeping it in a projection of its
-    # own leaves the rest of the parsing in generated code.
     fields = {
         field: pgn.tag_value(F.col("names"), F.col("values"), tag, defaults.get(tag, ""))
         for field, tag in FIELD_TAGS.items()
     }
-    flat = tags.select(
+    plain = tags.select(
         *keep,
         *[column.alias(field) for field, column in fields.items()],
-        pgn.without_comments(F.col("movetext")).alias("plain"),
+        pgn.plain_movetext(F.col("record")).alias("plain"),
     )
-    moves = pgn.main_line(F.col("plain")).alias("Moves")
-    return flat.select(*[moves if f == "Moves" else f for f in MESSAGE_FIELDS if f != "GameID"], *keep)
+    # Dropping variations takes a lambda, which is interpreted; a projection of its own
+    # leaves the rest of the parsing in generated code.
+    main = plain.select(*keep, *fields, pgn.main_text(F.col("plain")).alias("main"))
+    moves = pgn.main_moves(F.col("main")).alias("Moves")
+    return main.select(*[moves if f == "Moves" else f for f in MESSAGE_FIELDS if f != "GameID"], *keep)
 
 
 def read_games(

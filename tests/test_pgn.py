@@ -36,11 +36,13 @@ EDGE = (
     + game("unclosed", "1. e4 e5 { never ends")
     + game("percent", "1. e4\n%escape d4\ne5 0-0 1-0")
     + game("line\u2028sep", "1. e4 *")
+    + game("rare", "1.e4 -- 2.0-0-0+ ( 2. 0-0 ) 2... O-O 3. 0-0! bxa8=Q# @e4 12. e8=Q+?? $6 0-1")
 )
 MOVES = {
     "full": "e4 e5 Nf3 Nc6", "repeated-last": "e4 e5", "empty": "e4 e5", 'quote "q" back\\slash': "e4 e5",
     "nomoves": "", "variations": "e4 e5 f4 exf4", "tight": "e4 e5 Nf3 Nc6 O-O-O", "tagcomment": "e4 e5",
     "stray": "e4 e5", "unclosed": "e4 e5", "percent": "e4 e5 0-0", "line\u2028sep": "e4",
+    "rare": "e4 -- 0-0-0+ O-O 0-0 bxa8=Q# @e4 e8=Q+",
 }
 
 
@@ -82,7 +84,7 @@ def nested_main_line(text):
 def test_variations_match_brute_force(spark, texts):
     texts = ["".join(t) for t in texts]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = dict(frame.select("i", pgn.main_line(F.col("t"))).collect())
+    got = dict(frame.select("i", pgn.main_moves(pgn.main_text(F.col("t")))).collect())
     assert got == {i: nested_main_line(t) for i, t in enumerate(texts)}
 
 
