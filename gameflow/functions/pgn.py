@@ -16,6 +16,7 @@ _MOVETEXT_START = r"(?dm)^[ \t]*[^\[ \t\n\f\x0B;%]"
 _NOT_MOVETEXT = (
     r"(?dm)[{;%\[](?:(?<=\{)[^}]*\}?|(?<=;)[^\n]*|(?<=^%)[^\n]*|(?<=^[ \t]{0,8}\[)[^\n]*)"
 )
+_VARIATION = r"\([^()]*\)"
 # A word that is not just a number, result, glyph or sign, without the number before it
 # and the suffix behind it.
 _HEAD = r"[^ \n\t\r\f\x0B0123456789.*$!?()/+=\-]"
@@ -71,8 +72,14 @@ def plain_movetext(record: Column) -> Column:
     return F.regexp_replace(record, _NOT_MOVETEXT, " ")
 
 
+def without_shallow_variations(plain: Column) -> Column:
+    """Two levels of closed variations dropped, which is all that most games have."""
+    once = F.regexp_replace(plain, _VARIATION, " ")
+    return F.when(F.contains(plain, F.lit("(")), F.regexp_replace(once, _VARIATION, " ")).otherwise(plain)
+
+
 def main_text(plain: Column) -> Column:
-    """The part outside variations. Costs a lambda only where there is a parenthesis."""
+    """The part outside variations. Costs a lambda only where a parenthesis is left."""
     return F.when(F.contains(plain, F.lit("(")), _without_variations(plain)).otherwise(
         F.replace(plain, F.lit(")"), F.lit(" "))
     )

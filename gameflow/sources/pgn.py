@@ -66,9 +66,10 @@ def parse_records(
         *[column.alias(field) for field, column in fields.items()],
         pgn.plain_movetext(F.col("record")).alias("plain"),
     )
-    # Dropping variations takes a lambda, which is interpreted; a projection of its own
-    # leaves the rest of the parsing in generated code.
-    main = plain.select(*keep, *fields, pgn.main_text(F.col("plain")).alias("main"))
+    shallow = plain.select(*keep, *fields, pgn.without_shallow_variations(F.col("plain")).alias("plain"))
+    # Deeper nesting takes a lambda, which is interpreted; a projection of its own leaves
+    # the rest of the parsing in generated code.
+    main = shallow.select(*keep, *fields, pgn.main_text(F.col("plain")).alias("main"))
     moves = pgn.main_moves(F.col("main")).alias("Moves")
     return main.select(*[moves if f == "Moves" else f for f in MESSAGE_FIELDS if f != "GameID"], *keep)
 

@@ -84,8 +84,9 @@ def nested_main_line(text):
 def test_variations_match_brute_force(spark, texts):
     texts = ["".join(t) for t in texts]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = dict(frame.select("i", pgn.main_moves(pgn.main_text(F.col("t")))).collect())
-    assert got == {i: nested_main_line(t) for i, t in enumerate(texts)}
+    want = {i: nested_main_line(t) for i, t in enumerate(texts)}
+    for text in (F.col("t"), pgn.without_shallow_variations(F.col("t"))):
+        assert dict(frame.select("i", pgn.main_moves(pgn.main_text(text))).collect()) == want
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
