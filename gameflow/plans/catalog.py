@@ -443,7 +443,7 @@ SELECT event_id + 1 AS gameid, CAST(ts AS DATE) AS date, strftime(ts, '%H:%M:%S'
        event_type || ' ' || json_extract_string(props, '$.k') || 'x' AS moves
 FROM events
 """)
-def chunk_pipeline(spark, sf_dir):
+def chunk_ingest(spark, sf_dir):
     """PGN files to the table: scan, number, CSV chunks, a first send that is refused, replay, upsert."""
     table = ParquetTable(scratch_path(spark, "pipeline"))
     with scratch_folders(spark, "sent", "letters", "landing", "loading") as [sent, letters, landing, loading]:
