@@ -56,7 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     command = commands.add_parser("send", parents=[topic, letters, stream])
     command.add_argument("landing")
     command.add_argument("--files-per-batch")
-    commands.add_parser("load", parents=[topic, table, stream]).add_argument("--run", default="live")
+    commands.add_parser("load", parents=[topic, table, stream])
     commands.add_parser("replay", parents=[topic, letters]).add_argument("--multi-line", action="store_true")
     commands.add_parser("listen", parents=[topic, stream]).add_argument("--counts", required=True)
     command = commands.add_parser("create")
@@ -90,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         source = stream_chunks(spark, args.landing, **options)
         jobs.start_delivery(source, topic, args.dead_letters, args.checkpoint, trigger).awaitTermination()
     elif args.command == "load":
-        jobs.start_upsert(topic.read_stream(spark), table, args.checkpoint, args.run, trigger).awaitTermination()
+        jobs.start_upsert(topic.read_stream(spark), table, args.checkpoint, trigger).awaitTermination()
     elif args.command == "replay":
         print(replay(spark, args.dead_letters, topic, args.multi_line))
     elif args.command == "listen":

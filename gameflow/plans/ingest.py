@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +31,14 @@ def games_between(spark: SparkSession, paths: str | Sequence[str], start: int, e
 
 
 def deliver(games: DataFrame, topic, dead_letters: str, label: str, reraise: bool = False) -> bool:
-    """Sends one frame whole. If the topic refuses it, saves it as a dead letter and returns False."""
+    """Sends one frame whole. If the topic refuses it, saves it as a dead letter of its own,
+    which no later failure overwrites, and returns False."""
     try:
         topic.write(encode_messages(games))
         return True
     except Exception as problem:
         log.warning("%s was not sent: %s", label, problem)
-        write_letter(games.select(*MESSAGE_FIELDS), dead_letters, "df", label)
+        write_letter(games.select(*MESSAGE_FIELDS), dead_letters, "df", f"{label}_{time.time_ns()}")
         if reraise:
             raise
         return False
@@ -80,6 +82,6 @@ def ingest(
     return deliver(games, topic, dead_letters, label)
 
 
-def load_table(spark: SparkSession, topic, table, checkpoint: str, run: str = "live") -> None:
+def load_table(spark: SparkSession, topic, table, checkpoint: str) -> None:
     """Everything the topic holds that this checkpoint has not seen, into the table."""
-    start_upsert(topic.read_stream(spark), table, checkpoint, run, AVAILABLE_NOW).awaitTermination()
+    start_upsert(topic.read_stream(spark), table, checkpoint, AVAILABLE_NOW).awaitTermination()

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gameflow.schema import GAME_COLUMNS, TABLE_SCHEMA
 
-# Later writes win: by batch time, then batch, then place in the topic, then run name.
+# Later writes win: by batch time, then batch, then place in the topic, then query.
 VERSION = ("written_at", "batch_id", "offset", "run")
 _STORED = T.StructType([
     *TABLE_SCHEMA.fields,
@@ -24,10 +24,11 @@ _STORED = T.StructType([
 
 @dataclass(frozen=True)
 class ParquetTable:
-    """Batches under ``run=<name>/batch_id=<n>``; writing a batch again replaces it.
+    """Batches under ``run=<query id>/batch_id=<n>``; writing a batch again replaces it.
 
     A restart that repeats its last batch therefore leaves the table unchanged, and two
-    queries with different run names never touch each other's folders.
+    queries, or one query before and after its checkpoint was dropped, never touch each
+    other's folders.
     """
 
     path: str

@@ -11,7 +11,7 @@ from gameflow.session import delete_path
 LETTER_GLOB = "failed_{batch,df}_*.json"
 
 
-def write_letter(games: DataFrame, folder: str, kind: str, label: str | int) -> str:
+def write_letter(games: DataFrame, folder: str, kind: str, label: str) -> str:
     """Saves the games under ``failed_<kind>_<label>.json``; the same label replaces itself."""
     if kind not in ("batch", "df"):
         raise ValueError(f"kind must be 'batch' or 'df', not {kind!r}")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import threading
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -25,6 +27,29 @@ def _start(writer, trigger: dict[str, Any] | None) -> StreamingQuery:
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def _start_batches(
+    frame: DataFrame, handle: Callable[[DataFrame, str, int], None], checkpoint: str,
+    trigger: dict[str, Any] | None, output_mode: str = "append",
+) -> StreamingQuery:
+    """``handle(batch, query_id, batch_id)`` for each batch.
+
+    The query id lives in the checkpoint: a restart keeps it, a fresh checkpoint gets a new
+    one. Named by both ids, what a batch writes is replaced by its own repetition only.
+    """
+    started, known = [], threading.Event()
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        known.wait()
+        handle(batch, started[0].id, batch_id)
+
+    writer = frame.writeStream.outputMode(output_mode).foreachBatch(each)
+    try:
+        started.append(_start(writer.option("checkpointLocation", checkpoint), trigger))
+    finally:
+        known.set()
+    return started[0]
+
+
 def start_selection(
     messages: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None
 ) -> StreamingQuery:
@@ -35,7 +60,7 @@ def start_selection(
 
 
 def start_upsert(
-    messages: DataFrame, table, checkpoint: str, run: str = "live", trigger: dict[str, Any] | None = None
+    messages: DataFrame, table, checkpoint: str, trigger: dict[str, Any] | None = None
 ) -> StreamingQuery:
     """Games into a keyed table, latest write wins.
 
@@ -49,11 +74,10 @@ def start_upsert(
         F.count_if(F.col("gameid").isNull()).alias("n_rejected"),
     )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch.filter(F.col("gameid").isNotNull()), run, batch_id)
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        table.write_batch(batch.filter(F.col("gameid").isNotNull()), query_id, batch_id)
 
-    writer = games.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, trigger)
+    return _start_batches(games, write, checkpoint, trigger)
 
 
 def start_count(
@@ -64,11 +88,10 @@ def start_count(
         F.count("*").alias("n"), F.count("GameID").alias("n_keyed")
     )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.coalesce(1).write.mode("overwrite").parquet(path)
 
-    writer = counts.writeStream.outputMode("complete").foreachBatch(write)
-    return _start(writer.option("checkpointLocation", checkpoint), trigger)
+    return _start_batches(counts, write, checkpoint, trigger, "complete")
 
 
 def start_delivery(
@@ -77,13 +100,12 @@ def start_delivery(
     """Sends games batch by batch. A batch the topic refuses is saved whole as a dead
     letter and the query goes on; if saving fails too, the checkpoint repeats the batch."""
 
-    def send(batch: DataFrame, batch_id: int) -> None:
+    def send(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch = batch.select(*MESSAGE_FIELDS)
         try:
             topic.write(encode_messages(batch), batch_id)
         except Exception as problem:
             log.warning("batch %s was not sent: %s", batch_id, problem)
-            write_letter(batch, dead_letters, "batch", batch_id)
+            write_letter(batch, dead_letters, "batch", f"{batch_id}_{query_id}")
 
-    writer = games.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
-    return _start(writer, trigger)
+    return _start_batches(games, send, checkpoint, trigger)

@@ -111,6 +111,13 @@ def test_numbers_per_file(spark, small_splits, tmp_path):
     assert got == {f"{f}{g}": g + 1 for f in "ab" for g in range(9)}
 
 
+def test_numbers_survive_union_and_coalesce(spark, small_splits, tmp_path):
+    (tmp_path / "a.pgn").write_text("".join(game(f"w{g}") for g in range(40)))
+    numbered = number_games(read_games(spark, str(tmp_path))).select("White", "GameID")
+    got = numbered.unionAll(numbered.coalesce(2)).collect()
+    assert sorted(map(tuple, got)) == sorted([(f"w{g}", g + 1) for g in range(40)] * 2)
+
+
 def test_changed_split_layout_is_refused(spark, small_splits, tmp_path):
     (tmp_path / "a.pgn").write_text("".join(game(f"w{g}") for g in range(40)))
     numbered = number_games(read_games(spark, str(tmp_path)))
