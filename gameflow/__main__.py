@@ -53,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--chunks", type=int, default=4)
     command.add_argument("--landing", help="folder for CSV chunks")
     command.add_argument("--label", default="ingest")
+    command.add_argument("--start-at", type=int, default=0, help="games sent before, for new keys")
     command = commands.add_parser("send", parents=[topic, letters, stream])
     command.add_argument("landing")
     command.add_argument("--files-per-batch")
@@ -83,7 +84,8 @@ def main(argv: list[str] | None = None) -> int:
         trigger = jobs.AVAILABLE_NOW if args.once else args.interval and {"processingTime": args.interval}
 
     if args.command == "ingest":
-        sent = ingest(spark, args.pgn, topic, args.dead_letters, args.games, args.chunks, args.landing, args.label)
+        sent = ingest(spark, args.pgn, topic, args.dead_letters, args.games, args.chunks, args.landing, args.label,
+                      args.start_at)
         return 0 if sent else 1
     if args.command == "send":
         options = {"maxFilesPerTrigger": args.files_per_batch} if args.files_per_batch else {}

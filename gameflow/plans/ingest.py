@@ -7,6 +7,7 @@ import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gameflow.operators.numbering import number_and_count, number_games
 from gameflow.operators.ranges import assign_chunk, first_games, slice_range
@@ -66,10 +67,12 @@ def ingest(
     chunks: int = 4,
     landing: str | None = None,
     label: str = "ingest",
+    start_at: int = 0,
 ) -> bool:
     """PGN files to messages: scan, number, optionally land as CSV chunks, send.
 
     One job over all games; chunks are a column, so no game is read once per chunk.
+    ``start_at`` is the number of games sent before, so that a later dump gets keys of its own.
     """
     if count is not None:
         paths = leading_files(spark, paths, count)
@@ -77,7 +80,10 @@ def ingest(
     if count is not None:
         games, total = first_games(games, count), min(count, total)
     if landing:
-        write_chunks(assign_chunk(games, total, chunks), landing)
+        games = assign_chunk(games, total, chunks)
+    games = games.withColumn("GameID", F.col("GameID") + start_at)
+    if landing:
+        write_chunks(games, landing)
         games = read_chunks(spark, landing)
     return deliver(games, topic, dead_letters, label)
 

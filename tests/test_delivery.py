@@ -188,3 +188,16 @@ def test_ingest_with_landing_and_short_corpus(spark, place, tmp_path):
     assert len(glob.glob(place.landing + "/chunk=*")) == 4
     load_table(spark, place.topic, place.table, place.checkpoint)
     assert {r["gameid"]: r["white"] for r in place.table.latest(spark).collect()} == {g + 1: f"w{g}" for g in range(10)}
+
+
+@pytest.mark.parametrize("landed", [False, True])
+def test_a_later_dump_gets_keys_of_its_own(spark, place, tmp_path, landed):
+    for month in "ab":
+        text = "".join(f'[Event "x"]\n[White "{month}{g}"]\n\n1. e4 *\n\n' for g in range(4))
+        (tmp_path / f"{month}.pgn").write_text(text)
+        landing = f"{place.landing}-{month}" if landed else None
+        ingest(spark, str(tmp_path / f"{month}.pgn"), place.topic, place.letters, landing=landing, chunks=2,
+               start_at=4 * (month == "b"))
+    load_table(spark, place.topic, place.table, place.checkpoint)
+    got = {r["gameid"]: r["white"] for r in place.table.latest(spark).collect()}
+    assert got == {4 * m + g + 1: f"{month}{g}" for m, month in enumerate("ab") for g in range(4)}
