@@ -15,7 +15,7 @@ from gameflow.functions.codec import decode_payload, encode_payload
 from gameflow.functions.scalars import chunk_name, dotted_date, rating
 from gameflow.operators import decode, ranges
 from gameflow.plans import standins
-from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, replay
+from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, numbered_games, replay
 from gameflow.schema import TABLE_SCHEMA
 from gameflow.session import scratch_folders, scratch_path
 from gameflow.sinks.table import ParquetTable, create_table
@@ -126,7 +126,7 @@ SELECT row_number() OVER (ORDER BY event_id) AS gameid, CAST(user_id AS VARCHAR)
 FROM events
 """)
 def game_ordinal(spark, sf_dir):
-    games = standins.numbered_games(spark, sf_dir)
+    games, _ = numbered_games(spark, standins.pgn_files(spark, sf_dir))
     return games.select(F.col("GameID").alias("gameid"), F.col("White").alias("white"), F.col("Black").alias("black"))
 
 

@@ -9,26 +9,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.operators.numbering import number_and_count, number_games
+from gameflow.operators.numbering import number_and_count
 from gameflow.operators.ranges import assign_chunk, first_games, slice_range
 from gameflow.schema import MESSAGE_FIELDS
 from gameflow.sources.csv_chunks import read_chunks, write_chunks
 from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, write_letter
 from gameflow.sources.messages import encode_messages
-from gameflow.sources.pgn import leading_files, read_games
+from gameflow.sources.pgn import (
+    PLACE_COLUMNS, UNSPLITTABLE, leading_files, list_files, parse_records, read_records,
+)
 from gameflow.streaming.jobs import AVAILABLE_NOW, start_upsert
 
 log = logging.getLogger(__name__)
 
 
+def numbered_games(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, int]:
+    """Parsed games with their numbers, and how many there are.
+
+    An archive that cannot be split is unpacked by one task. Parsing costs far more than
+    unpacking, so its numbered records are spread over the cluster first; other files are
+    parsed where they are read.
+    """
+    records, total = number_and_count(read_records(spark, paths))
+    if any(path.endswith(UNSPLITTABLE) for path in list_files(spark, paths)):
+        records = records.hint("rebalance")
+    return parse_records(records, keep=("GameID", *PLACE_COLUMNS)), total
+
+
 def first_games_of(spark: SparkSession, paths: str | Sequence[str], count: int) -> DataFrame:
     """The first ``count`` games in file order; files after the one that holds the last are not read."""
-    return first_games(number_games(read_games(spark, leading_files(spark, paths, count))), count)
+    return games_between(spark, paths, 0, count)
 
 
 def games_between(spark: SparkSession, paths: str | Sequence[str], start: int, end: int) -> DataFrame:
     """The games at positions ``[start, end)``; files after the range are not read."""
-    return slice_range(number_games(read_games(spark, leading_files(spark, paths, end))), start, end)
+    return slice_range(numbered_games(spark, leading_files(spark, paths, end))[0], start, end)
 
 
 def deliver(games: DataFrame, topic, dead_letters: str, label: str, reraise: bool = False) -> bool:
@@ -76,7 +91,7 @@ def ingest(
     """
     if count is not None:
         paths = leading_files(spark, paths, count)
-    games, total = number_and_count(read_games(spark, paths))
+    games, total = numbered_games(spark, paths)
     if count is not None:
         games, total = first_games(games, count), min(count, total)
     if landing:

@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.operators.numbering import number_games
 from gameflow.operators.ranges import assign_chunk, game_count
 from gameflow.schema import FIELD_TAGS, MESSAGE_FIELDS
 from gameflow.session import scratch_path
 from gameflow.sources.csv_chunks import write_chunks
 from gameflow.sources.messages import Topic, encode_messages, file_topic
-from gameflow.sources.pgn import read_games
 
 CHUNKS = 7
 _landed: dict[tuple[str, str, str], str] = {}
@@ -124,11 +122,6 @@ def conversation_files(spark: SparkSession, sf_dir: str) -> str:
     return land_once(spark, sf_dir, "conversations", write)
 
 
-def numbered_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Games scanned from the PGN files and numbered."""
-    return number_games(read_games(spark, pgn_files(spark, sf_dir)))
-
-
 def chunked_games(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     frame = games(spark, sf_dir, *keep)
     return assign_chunk(frame, game_count(events(spark, sf_dir)), CHUNKS)

@@ -13,6 +13,7 @@ from gameflow.schema import FIELD_TAGS, MESSAGE_FIELDS
 
 FIRST_TAG = "Event"
 PLACE_COLUMNS = ("source_path", "block_start")
+UNSPLITTABLE = (".zst", ".gz")
 
 
 def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

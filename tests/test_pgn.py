@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gameflow.functions import pgn
 from gameflow.operators.numbering import number_and_count, number_games
-from gameflow.plans.ingest import first_games_of, games_between
+from gameflow.plans.ingest import first_games_of, games_between, numbered_games
 from gameflow.schema import ROSTER_DEFAULTS
 from gameflow.sources.pgn import leading_files, read_corpus, read_games
 
@@ -157,3 +157,15 @@ def test_corpus_reads_archives_and_picks_periods(spark, tmp_path):
     # The other archive is not opened at all: destroying it changes nothing.
     (tmp_path / "games_2024-08.pgn.zst").write_bytes(b"not an archive")
     assert read_corpus(spark, str(tmp_path), periods=["2024-09"]).count() == 1
+
+
+def test_archives_are_numbered_and_spread(spark, tmp_path):
+    text = "".join(game(f"w{g}", "1. e4 ( 1. d4 ) e5 *") for g in range(50))
+    (tmp_path / "a.pgn.zst").write_bytes(zstandard.ZstdCompressor().compress(text.encode()))
+    (tmp_path / "b.pgn").write_text(game("last"))
+    games, total = numbered_games(spark, str(tmp_path))
+    assert {r["White"]: r["GameID"] for r in games.collect()} == {f"w{g}": g + 1 for g in range(50)} | {"last": 51}
+    assert total == 51
+    assert "rebalance" in games._jdf.queryExecution().toString().lower()
+    plain, _ = numbered_games(spark, str(tmp_path / "b.pgn"))
+    assert "rebalance" not in plain._jdf.queryExecution().toString().lower()
