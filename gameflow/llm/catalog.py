@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import quality
+from gameflow.llm import mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM rated LEFT JOIN bounds ON bounds.lang = coalesce(rated.lang, '') AND bounds.source = coalesce(rated.source, '')
 """
 
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH sizes AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
+numbered AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM src),
+weighed AS (
+  SELECT *, [3, 1, 2][(sid % 3 + 1)::INT] AS weight, 2 * source_size AS cap,
+         (sum(source_size) OVER () * 150 / 100)::DOUBLE AS mix FROM numbered),
+filled AS (
+  SELECT *, cap / weight AS ratio, (mix - (sum(cap) OVER f - cap)) / (sum(weight) OVER () - (sum(weight) OVER f - weight)) AS l
+  FROM weighed WINDOW f AS (ORDER BY cap / weight, sid)),
+levels AS (SELECT *, min(CASE WHEN l < ratio THEN l END) OVER () AS level FROM filled),
+targets AS (
+  SELECT source, sid, source_size, mix, CASE WHEN level IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, level * weight) END AS target FROM levels),
+stretches AS (
+  SELECT *, CASE WHEN sid = max(sid) OVER () THEN 2147483648 ELSE floor(sum(target) OVER (ORDER BY sid) / greatest(mix, 1.0) * 2147483648)::BIGINT END AS stop
+  FROM targets),
+bounds AS (SELECT *, coalesce(lag(stop) OVER (ORDER BY sid), 0) AS start FROM stretches),
+slots AS (
+  SELECT i AS slot, (i % 2147483648) * 1327217885 % 2147483648 AS point
+  FROM (SELECT unnest(range(CAST((SELECT (ceil(sum(size) * 3 / 2) + 255) // 256 FROM sizes) AS BIGINT))) AS i)),
+ranked AS (
+  SELECT b.sid, (source_size + 255) // 256 AS blocks, row_number() OVER (PARTITION BY b.sid ORDER BY slot) - 1 AS r
+  FROM slots JOIN bounds b ON point >= start AND point < stop),
+plays AS (SELECT sid, r % blocks AS block, count(*) AS plays FROM ranked WHERE r < 2 * blocks GROUP BY ALL),
+placed AS (
+  SELECT doc_id, s.source, size, t.sid, source_size, target,
+         sum(size) OVER (PARTITION BY t.sid ORDER BY md5(concat(doc_id::VARCHAR, '|mix-1')), doc_id ROWS UNBOUNDED PRECEDING) - size AS a
+  FROM sizes s JOIN bounds t ON s.source IS NOT DISTINCT FROM t.source),
+taken AS (
+  SELECT doc_id, sum((least(a + size, (p.block + 1) * 256) - greatest(a, p.block * 256)) * plays)::BIGINT AS taken
+  FROM placed JOIN plays p ON p.sid = placed.sid AND p.block * 256 < a + size AND (p.block + 1) * 256 > a
+  WHERE size > 0 GROUP BY doc_id)
+SELECT doc_id, source, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM placed LEFT JOIN taken USING (doc_id)
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {"op4_quality_rules": op4_quality_rules}
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}
+QUERIES: dict[str, Query] = {"op4_quality_rules": op4_quality_rules, "op9_source_mix": op9_source_mix}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL}
