@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import mixing, quality
+from gameflow.llm import mixing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,6 +127,24 @@ SELECT doc_id, source, size, source_size, target, coalesce(taken, 0)::BIGINT AS
 FROM placed LEFT JOIN taken USING (doc_id)
 """
 
+
+def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+o AS (SELECT d, max(page_id) AS original FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN original <> page_id THEN original END AS refers_to
+FROM p LEFT JOIN o ON o.d = p.d
+"""
+
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {"op4_quality_rules": op4_quality_rules, "op9_source_mix": op9_source_mix}
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL}
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op4_quality_rules, op9_source_mix, op10_warc_salvage)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,
+}
