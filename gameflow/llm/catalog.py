@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import mixing, quality, warc
+from gameflow.llm import mixing, quality, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,9 +141,14 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
 FROM p LEFT JOIN o ON o.d = p.d
 """
 
+
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_quality_rules, op9_source_mix, op10_warc_salvage)
+    f.__name__: f for f in (op4_quality_rules, op5_simhash_components, op9_source_mix, op10_warc_salvage)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,
