@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import mixing, quality, simhash, warc
+from gameflow.llm import mixing, quality, simhash, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +86,10 @@ FROM rated LEFT JOIN bounds ON bounds.lang = coalesce(rated.lang, '') AND bounds
 """
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -148,7 +152,7 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_quality_rules, op5_simhash_components, op9_source_mix, op10_warc_salvage)
+    f.__name__: f for f in (op4_quality_rules, op5_simhash_components, op6_suffix_dedup, op9_source_mix, op10_warc_salvage)
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,
