@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import mixing, quality, simhash, suffixes, warc
+from gameflow.llm import decontam, mixing, quality, simhash, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), "doc_id")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -152,7 +156,10 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_quality_rules, op5_simhash_components, op6_suffix_dedup, op9_source_mix, op10_warc_salvage)
+    f.__name__: f for f in (
+        op1_benchmark_decontamination, op4_quality_rules, op5_simhash_components, op6_suffix_dedup, op9_source_mix,
+        op10_warc_salvage,
+    )
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,

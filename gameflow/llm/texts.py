@@ -86,10 +86,10 @@ class Block:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of each word, and offsets into these arrays by text."""
+    def words(self, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of each run of bytes outside ``space``, and offsets into these by text."""
         n = len(self.data)
-        inside = ~SPACE[self.data]
+        inside = ~space[self.data]
         edge = np.zeros(n + 1, dtype=bool)
         edge[self.offsets] = True
         outside = ~inside

@@ -1,0 +1,102 @@
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+
+from gameflow.llm import decontam
+
+ITEMS = "item_id long, text string"
+DOCS = "doc_id long, text string, item_id long"
+
+
+def terms(text):
+    return [m.lower() for m in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text or "")]
+
+
+def brute(docs, items):
+    """(doc_id, item_id) -> (score, question, answer) by scoring every passage against every unit."""
+    units = []
+    for item, text in items:
+        w = terms(text)
+        step = decontam.UNIT_WORDS // 2
+        for k in range(max(1, math.ceil((len(w) - decontam.UNIT_WORDS) / step) + 1) if w else 0):
+            units.append((item, w[k * step:k * step + decontam.UNIT_WORDS]))
+    mean = sum(len(u) for _, u in units) / max(1, len(units))
+    df = {}
+    for _, u in units:
+        for t in set(u):
+            df[t] = df.get(t, 0) + 1
+
+    def weight(t, u):
+        tf = u.count(t)
+        idf = math.log(1 + (len(units) - df[t] + 0.5) / (df[t] + 0.5))
+        return idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(u) / mean))
+
+    def share(part, w):
+        k = min(5, len(part))
+        want = {tuple(part[i:i + k]) for i in range(len(part) - k + 1)} if k else set()
+        have = {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+        return len(want & have) / len(want) if want else 1.0
+
+    result = {}
+    for doc, text, *_ in docs:
+        w = terms(text)
+        passages = [set(w[max(0, s):s + 128]) for s in range(-64, len(w), 64)]
+        for item, u in units:
+            whole = sum(weight(t, u) for t in set(u))
+            score = max((sum(weight(t, u) for t in set(u) & p) / whole for p in passages), default=0)
+            if score >= 0.6 and score > result.get((doc, item), (0,))[0]:
+                own = terms(dict(items)[item])
+                cut = len(own) - math.ceil(len(own) * 0.25)
+                result[doc, item] = (score, share(own[:cut], w), share(own[cut:], w))
+    return result
+
+
+@pytest.fixture(scope="module")
+def tables():
+    rng = random.Random(4)
+    common = ["the", "of", "in", "Zoë", "and"]
+
+    def text(n):
+        return " ".join(rng.choice(common) if rng.random() < 0.4 else f"w{rng.randint(0, 400)}" for _ in range(n))
+
+    items = [(i, text(rng.choice([3, 9, 20, 40, 64, 65, 200]))) for i in range(40)] + [(90, ""), (91, None), (92, "one")]
+    docs = [(i, text(rng.choice([0, 1, 30, 127, 128, 129, 500])), 7) for i in range(60)]
+    for k, (item, t) in enumerate(items[:30]):
+        doc, own, _ = docs[k]
+        w = own.split()
+        at = rng.randint(0, len(w))
+        planted = t.upper().replace("Ë", "ë").replace(" ", ", ") if k % 3 == 0 else t
+        if k % 5 == 4:  # without its end
+            planted = " ".join(planted.split()[:-2])
+        docs[k] = (doc, " ".join([*w[:at], planted, *w[at:]]), 7)
+    return docs + [(98, None, 1), (99, "", 2), docs[0]], items
+
+
+@pytest.mark.parametrize("size", [1024, 8])
+def test_against_all_scores(spark, tables, monkeypatch, size):
+    monkeypatch.setattr(decontam, "SHARD_UNITS", size)
+    docs, items = tables
+    frame, wanted = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    rows = decontam.matches(frame.withColumnRenamed("item_id", "other"), wanted, "doc_id").collect()
+    expected = brute(docs, items)
+    assert {(r.doc_id, r.item_id) for r in rows} == set(expected)
+    assert len(rows) == len(expected) + sum(d == docs[0][0] for d, _ in expected)  # one row is there twice
+    for r in rows:
+        assert np.allclose((r.score, r.question_overlap, r.answer_overlap), expected[r.doc_id, r.item_id])
+    bad = {d for (d, _), (_, q, a) in expected.items() if q >= 0.8 and a >= 0.8}
+    assert len(bad) > 15
+    left = decontam.decontaminate(frame, wanted)
+    assert left.columns == frame.columns
+    assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, *_ in docs if d not in bad)
+
+
+def test_empty_tables(spark):
+    docs, items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
+    some = spark.createDataFrame([(1, "a b c d e f", 2)], DOCS)
+    assert decontam.matches(docs, items, "doc_id").collect() == []
+    assert decontam.matches(some, items, "doc_id").collect() == []
+    assert decontam.decontaminate(some, items).collect() == some.collect()
+    assert decontam.decontaminate(docs, spark.createDataFrame([(1, "a b c d e f")], ITEMS)).collect() == []
