@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import decontam, mixing, quality, simhash, suffixes, warc
+from gameflow.llm import decontam, htmltext, mixing, quality, simhash, suffixes, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), "doc_id")
 
 
+def op3_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.visible_text(_table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -94,6 +98,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -157,8 +165,8 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_benchmark_decontamination, op4_quality_rules, op5_simhash_components, op6_suffix_dedup, op9_source_mix,
-        op10_warc_salvage,
+        op1_benchmark_decontamination, op3_visible_text, op4_quality_rules, op5_simhash_components, op6_suffix_dedup,
+        op8_length_histogram, op9_source_mix, op10_warc_salvage,
     )
 }
 ORACLE_SQL: dict[str, str] = {
