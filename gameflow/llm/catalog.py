@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import decontam, htmltext, mixing, quality, simhash, suffixes, tokens, warc
+from gameflow.llm import decontam, htmltext, mixing, quality, quotes, simhash, suffixes, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,33 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), "doc_id")
 
 
+def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations, which hold no quotes, are first written out as mails that quote."""
+    return quotes.link_quotes(quotes.as_mail(_table(spark, sf_dir, "conversations")))
+
+
+#: What was quoted must be found again and the texts be as they were: blank lines at either end
+#: are dropped, and who quotes a text of blank lines only links to nothing.
+OP2_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text, regexp_matches(coalesce(text, ''), '[^\s]') AS says FROM conversations),
+linked AS (
+  SELECT t.*, CASE WHEN p.says THEN p.turn WHEN q.says THEN q.turn END AS reply_to,
+         CASE WHEN q.turn IS NOT NULL THEN 2 WHEN p.turn IS NOT NULL THEN 1 ELSE 0 END AS quote_depth
+  FROM t LEFT JOIN t p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1
+         LEFT JOIN t q ON q.conv_id = t.conv_id AND q.turn = t.turn - 2),
+chain AS (
+  WITH RECURSIVE c AS (
+    SELECT conv_id, turn, turn AS thread, 0 AS level FROM linked WHERE reply_to IS NULL
+    UNION ALL
+    SELECT l.conv_id, l.turn, c.thread, c.level + 1 FROM linked l JOIN c ON l.conv_id = c.conv_id AND l.reply_to = c.turn)
+  SELECT * FROM c)
+SELECT conv_id, turn, role, reply_to, thread, level, quote_depth,
+       regexp_replace(text, '\A(?:[ \t\r]*\n)+|(?:\n[ \t\r]*)+\z', '', 'g') AS text
+FROM linked JOIN chain USING (conv_id, turn)
+"""
+
+
 def op3_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.visible_text(_table(spark, sf_dir, "pages"))
 
@@ -165,10 +192,10 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_benchmark_decontamination, op3_visible_text, op4_quality_rules, op5_simhash_components, op6_suffix_dedup,
-        op8_length_histogram, op9_source_mix, op10_warc_salvage,
+        op1_benchmark_decontamination, op2_quotation_linking, op3_visible_text, op4_quality_rules, op5_simhash_components,
+        op6_suffix_dedup, op8_length_histogram, op9_source_mix, op10_warc_salvage,
     )
 }
 ORACLE_SQL: dict[str, str] = {
-    "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,
+    "op2_quotation_linking": OP2_SQL, "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,
 }
