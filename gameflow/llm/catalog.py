@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm import decontam, htmltext, mixing, quality, quotes, simhash, suffixes, tokens, warc
+from gameflow.llm import decontam, htmltext, katz, mixing, quality, quotes, simhash, suffixes, tokens, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,6 +125,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -193,7 +197,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_benchmark_decontamination, op2_quotation_linking, op3_visible_text, op4_quality_rules, op5_simhash_components,
-        op6_suffix_dedup, op8_length_histogram, op9_source_mix, op10_warc_salvage,
+        op6_suffix_dedup, op7_katz_scores, op8_length_histogram, op9_source_mix, op10_warc_salvage,
     )
 }
 ORACLE_SQL: dict[str, str] = {

@@ -439,9 +439,11 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with all columns, ``text`` without its repeats (whole characters only)."""
+def remove_repeats(docs: DataFrame, length_column: str | None = None) -> DataFrame:
+    """``docs`` with all columns, ``text`` without its repeats (whole characters only) and, if it
+    is named, ``length_column`` as the number of characters left."""
     names = docs.columns
+    types = dict(docs.dtypes)
     whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,6 +459,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         run, f"__row {dict(whole.dtypes)['__row']}, __text string"
     )
     untouched = joined.where("spans is null").select("__row", F.col("__row.text").alias("__text"))
-    return untouched.union(cleaned).select(
-        *[F.col("__text").alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in names]
-    )
+    special = {"text": F.col("__text")}
+    if length_column:
+        special[length_column] = F.when(F.col("__text").isNotNull(), F.length("__text")).cast(types[length_column])
+    return untouched.union(cleaned).select(*[special.get(c, F.col("__row")[c]).alias(c) for c in names])
