@@ -358,7 +358,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     # The texts are read again instead of keeping the anchors, most of which occur once.
     found = stored(spark, anchors(docs), "suffix-anchors")
+    # Written first, so that the join deals out both sides anew and Spark can split a string that
+    # stands in most rows.
     often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("__gram"))
+    often = stored(spark, often, "suffix-often")
     again = stored(spark, found.join(often, found["gram"] == often["__gram"], "left_semi"), "suffix-repeated")
     place = F.struct("doc_id", "th", "anchor", "first", "last")
     folded = again.groupBy(*KEY).agg(F.count("*").alias("n"), F.min(place).alias("place")).select(*KEY, "n", "place.*")
