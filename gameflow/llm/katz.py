@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from gameflow.llm.store import stored
+from gameflow.llm.store import bucketed, stored, temporarily
 from gameflow.llm.texts import blocks, chain, runs, word_hashes
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Bytes of text for each partition of the tables.
 PARTITION_BYTES = 6 << 20
 GT_COUNTS = 5
@@ -158,11 +158,17 @@ def _batches(batch: pa.RecordBatch) -> Iterator[tuple[slice, Batch]]:
         yield made()
 
 
-def _learn(docs: DataFrame, partitions: int) -> DataFrame:
-    """Rows of ``kind`` 0, the batches themselves, and what each asks of each partition."""
-    doc_type = dict(docs.dtypes)["doc_id"]
-    schema = (f"batch bigint, kind int, partition int, keys binary, counts binary, tokens binary, doc_id array<{doc_type}>, "
-              "trains array<boolean>, sizes array<int>")
+STATE_NAMES = {"batch": pa.int64(), "words": pa.binary(), "ranks": pa.binary(), "tokens": pa.binary()}
+
+
+def _learn(docs: DataFrame) -> DataFrame:
+    """The batches: ``words``, ``ranks`` and ``tokens`` packed, and what is known of the texts."""
+    kind = docs.schema["doc_id"].dataType
+    names = STATE_NAMES | {
+        "doc_id": pa.list_(to_arrow_type(kind)), "trains": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int32()),
+    }
+    schema = ("batch bigint, words binary, ranks binary, tokens binary, "
+              f"doc_id array<{kind.simpleString()}>, trains array<boolean>, sizes array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -174,27 +180,45 @@ def _learn(docs: DataFrame, partitions: int) -> DataFrame:
                 rank = np.argsort(-often, kind="stable")  # small numbers for frequent words pack well
                 place = np.empty(len(rank), np.uint32)
                 place[rank] = np.arange(len(rank), dtype=np.uint32)
-                ids = rows.column(0).slice(where.start, where.stop - where.start)
-                yield _row(schema_names, batch=number, kind=0, partition=-1, keys=_pack_sorted(b.words), counts=_pack(rank.astype(np.uint32)),
-                           tokens=_pack(place[b.token]), doc_id=ids, trains=b.trains, sizes=np.diff(b.first).astype(np.int32))
-                distinct, _, pair_counts = b.pairs()
-                word_counts = np.bincount(b.token[b.train_tokens()], minlength=len(b.words))
+                yield _row(names, batch=number, words=_pack_sorted(b.words), ranks=_pack(rank.astype(np.uint32)),
+                           tokens=_pack(place[b.token]), doc_id=rows.column(0).slice(where.start, where.stop - where.start),
+                           trains=b.trains, sizes=np.diff(b.first).astype(np.int32))
+                number += 1
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+
+
+def _batch_of(row: dict) -> Batch:
+    first = np.concatenate(([0], np.cumsum(np.array(row["sizes"], np.int64))))
+    rank = _unpack(row["ranks"], np.uint32)
+    return Batch(_unpack_sorted(row["words"]), rank[_unpack(row["tokens"], np.uint32)].astype(np.int64), first,
+                 np.array(row["trains"], bool))
+
+
+ASK_NAMES = {"batch": pa.int64(), "kind": pa.int32(), "partition": pa.int32(), "keys": pa.binary(), "counts": pa.binary()}
+
+
+def _asks(learnt: DataFrame, partitions: int) -> DataFrame:
+    """What each batch asks of each partition: its words or pairs, and how often it trains them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for k in range(rows.num_rows):
+                row = rows.slice(k, 1).to_pylist()[0]
+                b = _batch_of(row)
+                words = np.bincount(b.token[b.train_tokens()], minlength=len(b.words))
+                distinct, _, pairs = b.pairs()
                 hashes = b.pair_hashes(distinct)
                 order = np.argsort(hashes, kind="stable")
-                for kind, keys, counts in ((WORDS, b.words, word_counts), (PAIRS, hashes[order], pair_counts[order])):
+                for kind, keys, counts in ((WORDS, b.words, words), (PAIRS, hashes[order], pairs[order])):
                     bound = _parts(keys, partitions)
-                    for k in np.flatnonzero(np.diff(bound)).tolist():
-                        own = slice(bound[k], bound[k + 1])
-                        yield _row(schema_names, batch=number, kind=kind, partition=k, keys=_pack_sorted(keys[own]),
-                                   counts=_pack(counts[own].astype(np.uint32)), tokens=None, doc_id=None, trains=None, sizes=None)
-                number += 1
+                    for p in np.flatnonzero(np.diff(bound)).tolist():
+                        own = slice(bound[p], bound[p + 1])
+                        yield _row(ASK_NAMES, batch=row["batch"], kind=kind, partition=p, keys=_pack_sorted(keys[own]),
+                                   counts=_pack(counts[own].astype(np.uint32)))
 
-    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
-    schema_names = {
-        "batch": pa.int64(), "kind": pa.int32(), "partition": pa.int32(), "keys": pa.binary(), "counts": pa.binary(),
-        "tokens": pa.binary(), "doc_id": pa.list_(id_type), "trains": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int32()),
-    }
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, schema)
+    return learnt.select("batch", "words", "ranks", "tokens", "trains", "sizes").mapInArrow(
+        run, "batch bigint, kind int, partition int, keys binary, counts binary")
 
 
 def _row(names: dict[str, pa.DataType], **values) -> pa.RecordBatch:
@@ -231,16 +255,15 @@ def _by_partition(asked: DataFrame, partitions: int, merge, schema: str) -> Data
 
 
 COUNT_NAMES = {
-    "batch": pa.int64(), "kind": pa.int32(), "partition": pa.int32(), "keys": pa.binary(), "counts": pa.binary(), "owned": pa.binary(),
+    "batch": pa.int64(), "kind": pa.int32(), "partition": pa.int32(), "counts": pa.binary(), "owned": pa.binary(),
     "tokens": pa.int64(), "seen": pa.int64(), "n": pa.list_(pa.int64()),
 }
-COUNT_SCHEMA = ("batch bigint, kind int, partition int, keys binary, counts binary, owned binary, tokens bigint, seen bigint, "
-                "n array<bigint>")
+COUNT_SCHEMA = "batch bigint, kind int, partition int, counts binary, owned binary, tokens bigint, seen bigint, n array<bigint>"
 
 
 def _count(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    """A partition's table (``batch`` -1: keys seen in training and their counts, with counts of
-    counts), and for each batch the counts of what it asked and which of that it owns."""
+    """A partition's table, as the counts of what each batch asked and which of that it owns, and
+    one row (``batch`` -1) of its totals and counts of counts."""
     keys = [_unpack_sorted(r["keys"]) for r in rows]
     counts = np.concatenate([_unpack(r["counts"], np.uint32) for r in rows])
     sizes = np.array([len(k) for k in keys])
@@ -258,12 +281,11 @@ def _count(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     seen = total > 0
     common = {"kind": rows[0]["kind"], "partition": rows[0]["partition"]}
     few = np.bincount(np.minimum(total, GT_COUNTS + 2), minlength=GT_COUNTS + 3)[:GT_COUNTS + 2]
-    yield _row(COUNT_NAMES, batch=-1, keys=_pack_sorted(every[order][first][seen]), counts=_pack(total[seen]), owned=None,
-               tokens=int(total.sum()), seen=int(seen.sum()), n=few.astype(np.int64), **common)
+    yield _row(COUNT_NAMES, batch=-1, tokens=int(total.sum()), seen=int(seen.sum()), n=few.astype(np.int64), **common)
     upto = np.concatenate(([0], np.cumsum(sizes)))
     for row, a, b in zip(rows, upto[:-1], upto[1:], strict=True):
-        yield _row(COUNT_NAMES, batch=row["batch"], keys=None, counts=_pack(total[entry[a:b]]),
-                   owned=np.packbits(owned[a:b]).tobytes(), tokens=None, seen=None, n=None, **common)
+        yield _row(COUNT_NAMES, batch=row["batch"], counts=_pack(total[entry[a:b]].astype(np.uint32)),
+                   owned=np.packbits(owned[a:b]).tobytes(), **common)
 
 
 def _totals(tables: DataFrame) -> Totals:
@@ -295,7 +317,7 @@ SCORE_NAMES = {
 
 def _answers(rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
     own = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["partition"])
-    counts = [_unpack(r["counts"], np.int64) for r in own]
+    counts = [_unpack(r["counts"], np.uint32).astype(np.int64) for r in own]
     owned = [np.unpackbits(np.frombuffer(r["owned"], np.uint8), count=len(c)).astype(bool) for r, c in zip(own, counts, strict=True)]
     return np.concatenate(counts), np.concatenate(owned)
 
@@ -303,10 +325,8 @@ def _answers(rows: list[dict], kind: int) -> tuple[np.ndarray, np.ndarray]:
 def _score_batch(row: dict, answers: list[dict], totals: Totals, partitions: int) -> Iterator[dict]:
     """Scores of a batch's documents as far as pairs were seen, the histories after which they
     were not (``kind`` 1), and the batch's part of the sums of histories (``kind`` 2)."""
-    words = _unpack_sorted(row["keys"])
-    rank = _unpack(row["counts"], np.uint32)
-    first = np.concatenate(([0], np.cumsum(np.array(row["sizes"], np.int64))))
-    b = Batch(words, rank[_unpack(row["tokens"], np.uint32)].astype(np.int64), first, np.array(row["trains"], bool))
+    b = _batch_of(row)
+    words, first = b.words, b.first
     texts = len(first) - 1
     text = np.repeat(np.arange(texts), np.diff(first))
 
@@ -331,7 +351,7 @@ def _score_batch(row: dict, answers: list[dict], totals: Totals, partitions: int
         "base_score": np.bincount(text, base[b.token], minlength=texts), "score": np.bincount(text, log_p[place], minlength=texts),
         "n_known": np.bincount(text, counts[b.token] > 0, minlength=texts).astype(np.int64),
     }
-    yield {"kind": 0, "batch": row["batch"], "doc": np.arange(texts), "held_out": ~b.trains, "n_tokens": np.diff(first)} | per_text
+    yield {"kind": 0, "batch": row["batch"], "doc": np.arange(texts), "doc_id": row["doc_id"], "held_out": ~b.trains, "n_tokens": np.diff(first)} | per_text
 
     backed_off = ~seen & (as_history[history] > 0)
     at = np.flatnonzero(backed_off[place])
@@ -353,23 +373,27 @@ def _score_batch(row: dict, answers: list[dict], totals: Totals, partitions: int
 
 
 def _scored(learnt: DataFrame, tables: DataFrame, totals: Totals, partitions: int) -> DataFrame:
+    doc_type = learnt.schema["doc_id"].dataType.elementType
+    names = SCORE_NAMES | {"doc_id": to_arrow_type(doc_type)}
+
+    def column(value, kind: pa.DataType, size: int) -> pa.Array:
+        if value is None:
+            return pa.nulls(size, kind)
+        return pa.array(value if isinstance(value, (np.ndarray, list)) else [value] * size, kind)
+
     def run(state: pa.Table, answers: pa.Table) -> pa.Table:
         made = []
+        answered = answers.to_pylist()
         for row in state.to_pylist():
-            for part in _score_batch(row, answers.to_pylist(), totals, partitions):
+            for part in _score_batch(row, answered, totals, partitions):
                 size = len(part["doc"]) if "doc" in part else 1
-                made.append(pa.Table.from_arrays([
-                    pa.nulls(size, kind) if name not in part
-                    else pa.array(part[name], kind) if isinstance(part[name], np.ndarray)
-                    else pa.array([part[name]] * size, kind) for name, kind in SCORE_NAMES.items()
-                ], names=list(SCORE_NAMES)))
-        return pa.concat_tables(made) if made else pa.table({k: pa.array([], t) for k, t in SCORE_NAMES.items()})
+                made.append(pa.Table.from_arrays([column(part.get(n), kind, size) for n, kind in names.items()], names=list(names)))
+        return pa.concat_tables(made) if made else pa.table({n: pa.array([], kind) for n, kind in names.items()})
 
     schema = ("kind int, batch bigint, doc int, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, "
-              "history bigint, n bigint, partition int, keys binary, counts binary, left binary, lower binary")
-    state = learnt.where("kind = 0").select("batch", "keys", "counts", "tokens", "trains", "sizes")
+              f"history bigint, n bigint, partition int, keys binary, counts binary, left binary, lower binary, doc_id {doc_type.simpleString()}")
     answers = tables.where("batch >= 0").select("batch", "kind", "partition", "counts", "owned")
-    return state.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, schema)
+    return learnt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, schema)
 
 
 def _weights(scored: DataFrame, partitions: int) -> DataFrame:
@@ -405,19 +429,17 @@ def score_texts(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", held_out.alias("held_out"), text.alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = max(12, -(-size // PARTITION_BYTES))
-    learnt = stored(spark, _learn(slim, partitions), "katz-batches")
-    asked = learnt.where("kind > 0").select("batch", "kind", "partition", "keys", "counts")
-    tables = stored(spark, _by_partition(asked, partitions, _count, COUNT_SCHEMA), "katz-tables")
-    totals = _totals(tables)
-    scored = stored(spark, _scored(learnt, tables, totals, partitions), "katz-scores")
+    with bucketed(spark, _learn(slim), "batch", partitions, "katz-batches") as learnt:
+        counted = _by_partition(_asks(learnt, partitions), partitions, _count, COUNT_SCHEMA)
+        with temporarily(spark, counted, "katz-tables") as tables:
+            totals = _totals(tables)
+            scored = stored(spark, _scored(learnt, tables, totals, partitions), "katz-scores")
     weights = stored(spark, _weights(scored, partitions), "katz-weights").withColumnRenamed("history", "__history")
     unseen = scored.where("kind = 1").select("batch", "doc", "history", "n")
     backed = unseen.join(weights, unseen["history"] == weights["__history"]).groupBy("batch", "doc").agg(
         F.sum(F.col("n") * F.col("log_weight")).alias("backed")
     ).withColumnsRenamed({"batch": "__batch", "doc": "__doc"})
-    ids = learnt.where("kind = 0").select(F.col("batch").alias("__b"), F.posexplode("doc_id").alias("__d", "doc_id"))
     rows = scored.where("kind = 0")
-    rows = rows.join(ids, (rows["batch"] == ids["__b"]) & (rows["doc"] == ids["__d"]))
     rows = rows.join(backed, (rows["batch"] == backed["__batch"]) & (rows["doc"] == backed["__doc"]), "left")
     return rows.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score",
