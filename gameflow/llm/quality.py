@@ -212,7 +212,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns, whatever their names."""
+    """The rows of ``docs`` that the rules keep, with all their columns, whatever their names.
+
+    Texts are measured twice, once for the cutoffs and once beside their rows, so that no copy
+    of them is stored.
+    """
+    spark = docs.sparkSession
+    limits = stored(spark, cutoffs(sketches(with_rates(measure(docs, "lang", "source")))), "quality-cutoffs")
     whole = docs.select("lang", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    rated = stored(docs.sparkSession, with_rates(measure(whole, "lang", "source", "__row")), "quality-rows")
-    return judge(rated, cutoffs(sketches(rated))).where("kept").select("__row.*")
+    return judge(with_rates(measure(whole, "lang", "source", "__row")), limits).where("kept").select("__row.*")

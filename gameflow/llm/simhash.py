@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gameflow.llm.components import connected
 from gameflow.llm.store import stored
@@ -238,14 +239,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each component the row with the smallest doc_id (nulls last), with all its columns."""
+    """Of each component the row with the smallest doc_id (nulls last), with all its columns.
+
+    Rows are told apart by doc_id and a hash of the text; of equal rows one stays.
+    """
     spark = docs.sparkSession
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    marked = stored(spark, fingerprints(whole, "__row").withColumn("__id", F.monotonically_increasing_id()), "simhash-rows")
-    slim = marked.select("fp", "__id", F.col("__row.doc_id").alias("doc_id"))
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__id"))
-    prints = slim.groupBy("fp").agg(best.alias("best"))
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    slim = docs.select(F.col("doc_id").alias("__doc"), text_hash.alias("__hash"), "text")
+    marked = stored(spark, fingerprints(slim, "__doc", "__hash"), "fingerprints")
+    best = F.min(F.struct(F.col("__doc").isNull(), "__doc", "__hash"))
+    prints = marked.groupBy("fp").agg(best.alias("best"))
     ends = roots(prints)
     named = prints.join(ends, prints["fp"] == ends["__fp"], "left").select("best", F.coalesce("root", "fp").alias("root"))
-    winners = named.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.__id").alias("__winner"))
-    return marked.join(winners, marked["__id"] == winners["__winner"], "left_semi").select("__row.*")
+    winners = named.groupBy("root").agg(F.min("best").alias("best")).select("best.__doc", "best.__hash")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").alias("__id"), text_hash.alias("__th"))
+    kept = whole.join(winners, whole["__id"].eqNullSafe(winners["__doc"]) & (whole["__th"] == winners["__hash"]), "left_semi")
+    # Equal rows lie side by side after the join; which of them is the first does not matter.
+    place = F.row_number().over(Window.partitionBy("__id", "__th").orderBy("__id", "__th"))
+    return kept.withColumn("__place", place).where("__place = 1").select("__row.*")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gameflow.llm.store import stored
+from gameflow.llm.store import stored, temporarily
 from gameflow.llm.texts import Block, as_bytes, blocks, chain, mix, prefix_hashes, range_hashes
 
 LENGTH = 400
@@ -356,13 +356,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``th`` and ``spans``, the byte ranges to remove (they may overlap), of the rows
     of ``docs(doc_id, th, text)`` that have any; ``th`` is a hash of the text."""
     spark = docs.sparkSession
-    # The texts are read again instead of keeping the anchors, most of which occur once.
-    found = stored(spark, anchors(docs), "suffix-anchors")
-    # Written first, so that the join deals out both sides anew and Spark can split a string that
-    # stands in most rows.
-    often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("__gram"))
-    often = stored(spark, often, "suffix-often")
-    again = stored(spark, found.join(often, found["gram"] == often["__gram"], "left_semi"), "suffix-repeated")
+    # Most anchors occur once and go here; the texts around the others are read again.
+    with temporarily(spark, anchors(docs), "suffix-anchors") as found:
+        # Written first, so that the join deals out both sides anew and Spark can split a string
+        # that stands in most rows.
+        often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("__gram"))
+        with temporarily(spark, often, "suffix-often") as often:
+            again = stored(spark, found.join(often, found["gram"] == often["__gram"], "left_semi"), "suffix-repeated")
     place = F.struct("doc_id", "th", "anchor", "first", "last")
     folded = again.groupBy(*KEY).agg(F.count("*").alias("n"), F.min(place).alias("place")).select(*KEY, "n", "place.*")
     folded = stored(spark, folded, "suffix-classes")
