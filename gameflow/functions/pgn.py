@@ -5,25 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Each pattern opens with one literal or character class, so that most positions of a
-# text are passed over with a single test, and the negated classes of the frequent ones
+# Each pattern opens with one literal, line start or character class, so that most positions
+# of a text are passed over with a single test, and the negated classes of the frequent ones
 # list single characters: Java tests those ten times faster than \s or \d. (?d): only \n
-# ends a line, so U+2028 and the like inside a value do not cut it.
-_TAG_LINE = r'(?dm)\[(?<=^[ \t]{0,8}\[)([^ \t\n"\]]+)[ \t]+"([^\n]*)"[ \t]*\][ \t]*$'
+# ends a line, so U+2028 and the like inside a value do not cut it. A tag line may be
+# indented by any number of blanks.
+_TAG_LINE = r'(?dm)^[ \t]*+\[([^ \t\n"\]]+)[ \t]+"([^\n]*)"[ \t]*\][ \t]*$'
 # First line that is neither a tag, nor blank, nor a comment line.
 _MOVETEXT_START = r"(?dm)^[ \t]*[^\[ \t\n\f\x0B;%]"
 # { ... }, ; to the end of the line, % lines, tag lines.
-_NOT_MOVETEXT = (
-    r"(?dm)[{;%\[](?:(?<=\{)[^}]*\}?|(?<=;)[^\n]*|(?<=^%)[^\n]*|(?<=^[ \t]{0,8}\[)[^\n]*)"
-)
+_NOT_MOVETEXT = r"(?dm)[{;](?:(?<=\{)[^}]*\}?|(?<=;)[^\n]*)|^(?:%|[ \t]*+\[)[^\n]*"
+_COMMENT = r"(?dm)\{[^}]*\}?|;[^\n]*|^%[^\n]*"
 _VARIATION = r"\([^()]*\)"
-# A word that is not just a number, result, glyph or sign, without the number before it
-# and the suffix behind it.
-_HEAD = r"[^ \n\t\r\f\x0B0123456789.*$!?()/+=\-]"
-_TAIL = r"[^ \n\t\r\f\x0B!?$]*"
-_MOVE = rf"(?:{_HEAD}|[0-9]+(?={_HEAD})){_TAIL}"
-# The same with the null move and castling written with zeros.
-_ANY_MOVE = rf"(?:{_HEAD}|[0-9]+(?={_HEAD})|--|(?<![^\s.])0-0(?:-0)?){_TAIL}"
+# A move: algebraic or coordinate form, a drop, castling, the null move. It stands after a blank
+# or a dot, with or without the number before it, and ends before a suffix, a glyph or a blank,
+# so other words ("e.p.", names, results) are none.
+_MOVE = (
+    r"(?<![^ \n\t\r\f\x0B.])[0-9]*"
+    r"([KQRBNP]?[a-h]?[1-8]?[x\-]?[a-h][1-8](?:=?[QRBNKqrbnk])?[+#]*"
+    r"|[KQRBNP]?@[a-h][1-8][+#]*|O-O(?:-O)?[+#]*|0-0(?:-0)?[+#]*|--|Z0|0000)"
+    r"(?=[ \n\t\r\f\x0B!?$]|\z)"
+)
 
 
 def movetext_start(record: Column) -> Column:
@@ -86,8 +88,21 @@ def main_text(plain: Column) -> Column:
 
 
 def main_moves(text: Column) -> Column:
-    """The moves as a list; glyphs, numbers and the result dropped."""
-    rare = F.contains(text, F.lit("0-0")) | F.contains(text, F.lit("--"))
-    return F.when(rare, F.regexp_extract_all(text, F.lit(_ANY_MOVE), F.lit(0))).otherwise(
-        F.regexp_extract_all(text, F.lit(_MOVE), F.lit(0))
-    )
+    """The moves as a list; glyphs, numbers, the result and words that are no moves dropped."""
+    return F.regexp_extract_all(text, F.lit(_MOVE), F.lit(1))
+
+
+def checked_record(record: Column, start: Column) -> Column:
+    """The record; stops the query if it holds more than one game or a part of one.
+
+    A tag line after the movetext, outside comments, is another game's. A movetext that opens
+    with a closing brace comes from a comment that was cut at a line which looks like a tag.
+    """
+    movetext = F.substring(record, start, F.lit(2**31 - 1))
+    second = F.contains(movetext, F.lit("\n[")) | F.contains(movetext, F.lit("\n "))
+    second = second & F.regexp_like(F.regexp_replace(movetext, _COMMENT, " "), F.lit(_TAG_LINE))
+    problem = F.raise_error(F.concat(
+        F.lit("not one game per record: choose another opening for files whose games do not open alike. It begins "),
+        F.substring(record, 1, 80),
+    )).cast("string")
+    return F.when((start > 0) & (F.startswith(movetext, F.lit("}")) | second), problem).otherwise(record)

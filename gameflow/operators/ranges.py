@@ -16,6 +16,13 @@ def _bounds(chunk: Column, total: Column | int, parts: int) -> tuple[Column, Col
     return start, start + share + F.when(chunk < extra, 1).otherwise(0)
 
 
+def range_bounds(total: int, parts: int) -> list[tuple[int, int, int]]:
+    """``(chunk, start, end)`` of each range, for a loop over chunks on the driver."""
+    share, extra = divmod(total, parts)
+    starts = [k * share + min(k, extra) for k in range(parts + 1)]
+    return [(k, starts[k], starts[k + 1]) for k in range(parts)]
+
+
 def game_ranges(spark: SparkSession, total: Column | int, parts: int) -> DataFrame:
     """``chunk, range_start, range_end`` for ``parts`` balanced ranges over ``total`` games."""
     chunks = spark.range(parts).select(F.col("id").alias("chunk"))

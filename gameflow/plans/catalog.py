@@ -18,7 +18,7 @@ from gameflow.plans import standins
 from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, numbered_games, replay
 from gameflow.schema import TABLE_SCHEMA
 from gameflow.session import scratch_folders, scratch_path
-from gameflow.sinks.table import ParquetTable, create_table
+from gameflow.sinks.table import ParquetTable
 from gameflow.sources.csv_chunks import read_chunks, stream_chunks
 from gameflow.sources.messages import encode_messages, file_topic
 from gameflow.sources.pgn import read_corpus, read_games
@@ -26,7 +26,7 @@ from gameflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHUNKS, TARGETS, BATCH_SIZE = standins.CHUNKS, 3, 500
-FIRST_N, RANGE, CAP = 3000, (750, 1500), 10_000
+FIRST_N, RANGE, CAP = 3000, (750, 1500), 4000
 
 _queries: dict[str, Query] = {}
 _oracle: dict[str, str] = {}
@@ -54,24 +54,41 @@ FROM events
 """
 
 
+# The two moves of an event's movetext.
+MOVES_SQL = """'N' || chr(CAST(97 + length(event_type) % 8 AS INTEGER)) || '3 Q' || chr(97 + k % 8) || (k // 8 % 8 + 1) || '+'"""
+EVENTS_K = "(SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
+
+
 # ---- scans -------------------------------------------------------------------
 
 
-@query("""
+_SCAN_SQL = f"""
 SELECT strftime(ts, '%Y.%m.%d') AS date_text, strftime(ts, '%H:%M:%S') AS time_text,
        CAST(user_id AS VARCHAR) AS white, 'b' || CAST(event_id AS VARCHAR) AS black,
-       event_type AS result, CAST(1000 + user_id AS VARCHAR) AS whiteelo,
-       event_type || ' ' || json_extract_string(props, '$.k') || 'x' AS moves
-FROM events
-""")
-def pgn_scan(spark, sf_dir):
-    return read_games(spark, standins.pgn_files(spark, sf_dir)).select(
+       event_type AS result, CAST(1000 + user_id AS VARCHAR) AS whiteelo, {MOVES_SQL} AS moves
+FROM {EVENTS_K}
+"""
+
+
+def _scan_columns(games: DataFrame) -> DataFrame:
+    return games.select(
         F.col("Date").alias("date_text"), F.col("Time").alias("time_text"),
         F.col("White").alias("white"), F.col("Black").alias("black"), F.col("Result").alias("result"),
         F.col("WhiteElo").alias("whiteelo"), F.array_join("Moves", " ").alias("moves"),
     )
 
 
+@query(_SCAN_SQL)
+def pgn_scan(spark, sf_dir):
+    return _scan_columns(read_games(spark, standins.pgn_files(spark, sf_dir)))
+
+
+@query(_SCAN_SQL)
+def pgn_scan_any_tag_order(spark, sf_dir):
+    """Games that open with different tags, none with Event, and with tag-like lines in comments."""
+    return _scan_columns(read_games(spark, standins.any_order_files(spark, sf_dir), opening=None))
+
+
 @query("""
 SELECT strftime(ts, '%Y-%m-%d') AS period, event_type AS result, count(*) AS n_games,
        count(DISTINCT user_id) AS n_white
@@ -97,11 +114,10 @@ def pgn_headers_default(spark, sf_dir):
 
 @query(r"""
 WITH words AS (
-  SELECT conv_id, turn, list_filter(
-    regexp_split_to_array(regexp_replace(text, '[{}();!?$%*.\[\]"0-9]', ' ', 'g'), '\s+'), lambda x: x <> ''
-  ) AS w FROM conversations
+  SELECT conv_id, turn, list_transform(regexp_extract_all(text, '[^ \n\t]+'), lambda w:
+    chr(97 + ascii(w) % 8) || (length(w) % 8 + 1)) AS w FROM conversations
 )
-SELECT conv_id, turn, len(w) + 2 AS n_moves, 'first ' || list_aggregate(w, 'string_agg', ' ') || ' last' AS moves
+SELECT conv_id, turn, len(w) + 3 AS n_moves, 'e2e4 ' || list_aggregate(w, 'string_agg', ' ') || ' O-O-O 0000' AS moves
 FROM words
 """)
 def pgn_moves(spark, sf_dir):
@@ -198,8 +214,9 @@ SELECT event_id + 1 AS gameid, event_type AS result FROM events
 WHERE event_id < least({CAP}, (SELECT count(*) FROM events))
 """)
 def capped_emit(spark, sf_dir):
-    capped = ranges.first_games(standins.spread(standins.games(spark, sf_dir)), CAP)
-    return decode.select_games(encode_messages(capped)).select(F.col("gameid").cast("bigint"), "result")
+    capped = ranges.first_games(standins.games(spark, sf_dir), CAP)
+    sent = _sent(spark, encode_messages(capped))
+    return decode.select_games(sent, fields=["GameID", "Result"]).select(F.col("gameid").cast("bigint"), "result")
 
 
 # ---- CSV and JSON ----------------------------------------------------------------
@@ -218,14 +235,21 @@ def csv_chunk_roundtrip(spark, sf_dir):
     )
 
 
+def _sent(spark: SparkSession, messages: DataFrame) -> DataFrame:
+    """The messages after they went through a topic."""
+    topic = file_topic(scratch_path(spark, "sent"))
+    topic.write(messages)
+    return topic.read(spark)
+
+
 @query("""
 SELECT CAST(event_id + 1 AS VARCHAR) AS "GameID", strftime(ts, '%Y.%m.%d') AS "Date", event_type AS "Result",
        CAST(NULL AS VARCHAR) AS "Variant"
 FROM events
 """)
 def emit_messages(spark, sf_dir):
-    games = standins.spread(standins.games(spark, sf_dir)).withColumn("Variant", F.lit(None).cast("string"))
-    return decode_payload(encode_messages(games), ["GameID", "Date", "Result", "Variant"])
+    games = standins.games(spark, sf_dir).withColumn("Variant", F.lit(None).cast("string"))
+    return decode_payload(_sent(spark, encode_messages(games)), ["GameID", "Date", "Result", "Variant"])
 
 
 @query("SELECT doc_id, text, lang FROM documents")
@@ -235,8 +259,8 @@ def emit_text_messages(spark, sf_dir):
         F.col("doc_id").alias("GameID"), F.col("text").alias("White"), F.col("lang").alias("Black")
     )
     fields = ["GameID", "White", "Black"]
-    messages = documents.select(encode_payload(fields).alias("value"))
-    return decode_payload(messages, fields).select(
+    messages = documents.select(encode_payload(fields).alias("value"), F.col("GameID").alias("offset"))
+    return decode_payload(_sent(spark, messages), fields).select(
         F.col("GameID").cast("bigint").alias("doc_id"), F.col("White").alias("text"), F.col("Black").alias("lang")
     )
 
@@ -314,11 +338,12 @@ SELECT event_id + 1 AS gameid, CASE WHEN event_type <> 'view' THEN CAST(1000 + u
 FROM events
 """)
 def sink_typed_cast(spark, sf_dir):
-    games = standins.spread(standins.games(spark, sf_dir)).withColumn(
+    games = standins.games(spark, sf_dir).withColumn(
         "WhiteElo", F.when(F.col("Result") == "view", "?").otherwise(F.concat("WhiteElo", F.lit(".0")))
     )
-    typed = decode.to_table_types(decode.select_games(encode_messages(games)))
-    return typed.select("gameid", "whiteelo", "moves")
+    sent = _sent(spark, encode_messages(games))
+    return decode.to_table_types(decode.select_games(sent, fields=["GameID", "WhiteElo", "Moves"])).select(
+        "gameid", "whiteelo", "moves")
 
 
 # ---- table -----------------------------------------------------------------------
@@ -341,13 +366,13 @@ def table_count(spark, sf_dir):
 
 @query(GAMES_SQL)
 def table_create_idempotent(spark, sf_dir):
-    """Creating the table again keeps its rows."""
-    where = scratch_path(spark, "catalog")
-    database = "gameflow_" + where[-12:]
-    create_table(spark, database, "game", location=where)
-    select_rename(spark, sf_dir).select(*TABLE_SCHEMA.names).write.insertInto(f"{database}.game")
-    create_table(spark, database, "game", location=where)
-    return spark.table(f"{database}.game")
+    """The table is created, loaded, and created again, which keeps its rows."""
+    table = ParquetTable(scratch_path(spark, "created"))
+    table.create(spark)
+    with scratch_folders(spark, "checkpoint") as [checkpoint]:
+        load_table(spark, standins.message_topic(spark, sf_dir), table, checkpoint)
+    table.create(spark)
+    return table.latest(spark)
 
 
 @query("""
@@ -369,6 +394,21 @@ def keyed_upsert_latest(spark, sf_dir):
     return table.latest(spark).select("gameid", F.col("variant").cast("bigint").alias("last_event"), "result")
 
 
+@query("""
+SELECT event_id + 1 AS gameid, CASE WHEN event_type = 'click' THEN 'changed' ELSE event_type END AS result FROM events
+""")
+def keyed_upsert_same_batch(spark, sf_dir):
+    """All games, then the clicked ones again with another result, stored by one load."""
+    games = standins.games(spark, sf_dir)
+    table = ParquetTable(scratch_path(spark, "same-batch"))
+    with scratch_folders(spark, "topic", "checkpoint") as [messages, checkpoint]:
+        topic = file_topic(messages)
+        topic.write(encode_messages(games))
+        topic.write(encode_messages(games.filter("Result = 'click'").withColumn("Result", F.lit("changed"))))
+        load_table(spark, topic, table, checkpoint)
+    return table.latest(spark).select("gameid", "result")
+
+
 # ---- streams -----------------------------------------------------------------------
 
 
@@ -435,24 +475,46 @@ def dead_letter_replay(spark, sf_dir):
 
 
 @query("""
+SELECT event_id + 1 AS gameid, event_type || ' ' || json_extract_string(props, '$.k') AS moves,
+       CASE WHEN event_type = 'click' THEN '180+0' ELSE '' END AS timecontrol
+FROM events
+""")
+def dead_letter_text_moves(spark, sf_dir):
+    """Letters of another writer, whose moves are a list as text, next to a damaged letter."""
+    table = ParquetTable(scratch_path(spark, "text-letters"))
+    with scratch_folders(spark, "sent", "letters", "loading") as [sent, letters, loading]:
+        games = standins.games(spark, sf_dir)
+        as_text = F.concat(F.lit("['"), F.array_join("Moves", "', '"), F.lit("']"))
+        games.withColumn("Moves", as_text).write.json(f"{letters}/failed_df_other.json")
+        half = games.select(F.substring(F.to_json(F.struct("GameID", "Moves")), 1, 12).alias("value"))
+        half.write.text(f"{letters}/failed_batch_damaged.json")
+        topic = file_topic(sent)
+        result = replay(spark, letters, topic)
+        if result.sent != 1 or len(result.damaged) != 1:
+            raise RuntimeError(f"one of two letters should be damaged: {result}")
+        load_table(spark, topic, table, loading)
+    return table.latest(spark).select("gameid", "moves", "timecontrol")
+
+
+@query(f"""
 SELECT event_id + 1 AS gameid, CAST(ts AS DATE) AS date, strftime(ts, '%H:%M:%S') AS "time",
        '-' AS round, CAST(user_id AS VARCHAR) AS white, 'b' || CAST(event_id AS VARCHAR) AS black,
        CASE WHEN event_type = 'click' THEN '180+0' ELSE '' END AS timecontrol, event_type AS result,
        CAST(1000 + user_id AS INTEGER) AS whiteelo, CAST(floor(value) AS INTEGER) AS blackelo,
-       json_extract_string(props, '$.k') AS variant,
-       event_type || ' ' || json_extract_string(props, '$.k') || 'x' AS moves
-FROM events
+       CAST(k AS VARCHAR) AS variant, {MOVES_SQL} AS moves, 2 AS n_letters
+FROM {EVENTS_K}
 """)
 def chunk_ingest(spark, sf_dir):
-    """PGN files to the table: scan, number, CSV chunks, a first send that is refused, replay, upsert."""
+    """PGN files to the table: scan, number, CSV chunks, a send of which two chunks are refused,
+    replay of their letters, upsert."""
     table = ParquetTable(scratch_path(spark, "pipeline"))
     with scratch_folders(spark, "sent", "letters", "landing", "loading") as [sent, letters, landing, loading]:
         topic = file_topic(sent)
-        refusing = standins.RefusingTopic(topic, {None})
+        refusing = standins.RefusingTopic(topic, {2, 5})
         ingest(spark, standins.pgn_files(spark, sf_dir), refusing, letters, chunks=CHUNKS, landing=landing)
-        replay(spark, letters, topic)
+        replayed = replay(spark, letters, topic)
         load_table(spark, topic, table, loading)
-    return table.latest(spark)
+    return table.latest(spark).withColumn("n_letters", F.lit(replayed.sent))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

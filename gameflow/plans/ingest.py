@@ -5,32 +5,37 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gameflow.operators.numbering import number_and_count
-from gameflow.operators.ranges import assign_chunk, first_games, slice_range
+from gameflow.operators.ranges import assign_batch, assign_chunk, first_games, range_bounds, slice_range
 from gameflow.schema import MESSAGE_FIELDS
+from gameflow.session import scratch_folders
 from gameflow.sources.csv_chunks import read_chunks, write_chunks
-from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, write_letter
+from gameflow.sources.dead_letters import damaged_letters, list_letters, read_letters, remove_letters, write_letter
 from gameflow.sources.messages import encode_messages
 from gameflow.sources.pgn import (
-    PLACE_COLUMNS, UNSPLITTABLE, leading_files, list_files, parse_records, read_records,
+    FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, list_files, parse_records, read_records,
 )
 from gameflow.streaming.jobs import AVAILABLE_NOW, start_upsert
 
 log = logging.getLogger(__name__)
 
 
-def numbered_games(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, int]:
-    """Parsed games with their numbers, and how many there are.
+def numbered_games(
+    spark: SparkSession, paths: str | Sequence[str], before: int = 0, opening: str | None = FIRST_TAG
+) -> tuple[DataFrame, int]:
+    """Parsed games with their numbers, counted on from ``before``, and how many there are.
 
     An archive that cannot be split is unpacked by one task. Parsing costs far more than
-    unpacking, so its numbered records are spread over the cluster first; other files are
-    parsed where they are read.
+    unpacking, so where there is one the numbered records are spread over the cluster first;
+    other files are parsed where they are read.
     """
-    records, total = number_and_count(read_records(spark, paths))
+    records, total = number_and_count(read_records(spark, paths, opening))
+    records = records.withColumn("GameID", F.col("GameID") + before)
     if any(path.endswith(UNSPLITTABLE) for path in list_files(spark, paths)):
         records = records.hint("rebalance")
     return parse_records(records, keep=("GameID", *PLACE_COLUMNS)), total
@@ -42,35 +47,56 @@ def first_games_of(spark: SparkSession, paths: str | Sequence[str], count: int)
 
 
 def games_between(spark: SparkSession, paths: str | Sequence[str], start: int, end: int) -> DataFrame:
-    """The games at positions ``[start, end)``; files after the range are not read."""
-    return slice_range(numbered_games(spark, leading_files(spark, paths, end))[0], start, end)
+    """The games at positions ``[start, end)``; the scan holds only the files with those games."""
+    files, before = files_between(spark, paths, start, end)
+    return slice_range(numbered_games(spark, files, before)[0], start, end)
 
 
-def deliver(games: DataFrame, topic, dead_letters: str, label: str, reraise: bool = False) -> bool:
+def deliver(games: DataFrame, topic, dead_letters: str, label: str, kind: str = "df", batch_id: int | None = None) -> bool:
     """Sends one frame whole. If the topic refuses it, saves it as a dead letter of its own,
-    which no later failure overwrites, and returns False."""
+    which no later failure overwrites, and returns False.
+
+    ``games`` must be stored already: whatever fails here is then the sending, not the source.
+    """
     try:
-        topic.write(encode_messages(games))
+        topic.write(encode_messages(games), batch_id)
         return True
     except Exception as problem:
         log.warning("%s was not sent: %s", label, problem)
-        write_letter(games.select(*MESSAGE_FIELDS), dead_letters, "df", f"{label}_{time.time_ns()}")
-        if reraise:
-            raise
+        write_letter(games.select(*MESSAGE_FIELDS), dead_letters, kind, f"{label}_{time.time_ns()}")
         return False
 
 
-def replay(spark: SparkSession, dead_letters: str, topic, multi_line: bool = False) -> int:
-    """Sends every dead letter again and removes it afterwards; returns how many there were.
+class Replayed(NamedTuple):
+    """How many letters were sent and removed, and the names of those that are damaged."""
+
+    sent: int
+    damaged: list[str]
+
+
+def replay(spark: SparkSession, dead_letters: str, topic, multi_line: bool = False) -> Replayed:
+    """Sends every readable dead letter again and removes it afterwards.
 
-    Only the letters listed at the start are removed, and only after the write returned.
-    A crash in between sends them once more, which the keyed table absorbs.
+    Damaged letters stay where they are and are named. Only the letters listed at the start are
+    removed, and only after the write returned. A crash in between sends them once more, which
+    the keyed table absorbs.
     """
     letters = list_letters(spark, dead_letters)
-    if letters:
-        topic.write(encode_messages(read_letters(spark, letters, multi_line)))
-        remove_letters(spark, letters)
-    return len(letters)
+    damaged = damaged_letters(spark, letters, multi_line) if letters else []
+    whole = [x for x in letters if x not in damaged]
+    for letter in damaged:
+        log.warning("not sent, since it is damaged: %s", letter)
+    if whole:
+        topic.write(encode_messages(read_letters(spark, whole, multi_line)))
+        remove_letters(spark, whole)
+    return Replayed(len(whole), damaged)
+
+
+class Ingested(NamedTuple):
+    """How many games there were, and the labels of the chunks (or batches) that were refused."""
+
+    games: int
+    refused: list[str]
 
 
 def ingest(
@@ -83,24 +109,44 @@ def ingest(
     landing: str | None = None,
     label: str = "ingest",
     start_at: int = 0,
-) -> bool:
-    """PGN files to messages: scan, number, optionally land as CSV chunks, send.
-
-    One job over all games; chunks are a column, so no game is read once per chunk.
-    ``start_at`` is the number of games sent before, so that a later dump gets keys of its own.
+    batch_size: int | None = None,
+    opening: str | None = FIRST_TAG,
+) -> Ingested:
+    """PGN files to messages: scan, number, land as CSV chunks, send chunk by chunk.
+
+    One job scans and lands all games; chunks are a column, so no game is read once per chunk.
+    Each chunk is then sent from its landed files, whole or in batches of ``batch_size`` games,
+    and one that the topic refuses becomes a dead letter named by its range. Errors of the scan
+    are no refusals and end the job before anything is sent. ``landing`` keeps the chunks and must
+    not exist yet. ``start_at`` is the number of games sent before, so that a later dump gets keys
+    of its own.
     """
     if count is not None:
-        paths = leading_files(spark, paths, count)
-    games, total = numbered_games(spark, paths)
+        paths, _ = files_between(spark, paths, 0, count)
+    games, total = numbered_games(spark, paths, opening=opening)
     if count is not None:
         games, total = first_games(games, count), min(count, total)
-    if landing:
-        games = assign_chunk(games, total, chunks)
-    games = games.withColumn("GameID", F.col("GameID") + start_at)
-    if landing:
-        write_chunks(games, landing)
-        games = read_chunks(spark, landing)
-    return deliver(games, topic, dead_letters, label)
+    with scratch_folders(spark, "landing") as [scratch]:
+        landed = landing or scratch
+        chunked = assign_chunk(games, total, chunks).withColumn("GameID", F.col("GameID") + start_at)
+        write_chunks(chunked, landed)
+        refused = []
+        for chunk, start, end in range_bounds(total, chunks):
+            if start == end:
+                continue
+            rows = read_chunks(spark, landed).filter(F.col("chunk") == chunk)
+            name = f"{label}_games_{start + start_at}_{end + start_at}"
+            if batch_size is None:
+                if not deliver(rows, topic, dead_letters, name, batch_id=chunk):
+                    refused.append(name)
+                continue
+            numbered = rows.withColumn("GameID", F.col("GameID").cast("bigint"))
+            batched = assign_batch(numbered.withColumn("range_start", F.lit(start + start_at)), batch_size)
+            for batch in range(-(-(end - start) // batch_size)):
+                part = f"{name}_{batch}"
+                if not deliver(batched.filter(F.col("batch") == batch), topic, dead_letters, part, "batch", batch):
+                    refused.append(part)
+    return Ingested(total, refused)
 
 
 def load_table(spark: SparkSession, topic, table, checkpoint: str) -> None:

@@ -40,6 +40,11 @@ def spread(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() * 2 <= cores else frame
 
 
+def _square(file_from, rank_from) -> Column:
+    """A board square out of two numbers, so that it reads as a move."""
+    return F.concat(F.char(F.lit(97) + file_from % 8), (rank_from % 8 + 1).cast("string"))
+
+
 def games(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Events as games in message form, followed by the ``keep`` columns of the event."""
     at = F.col("ts").cast("string")
@@ -65,7 +70,8 @@ def _pgn_text(columns: DataFrame, *keep: Column) -> DataFrame:
     """``value``: one PGN record per game, unused tags left out."""
     lines = [F.lit('[Event "stand-in"]')]
     for field, tag in FIELD_TAGS.items():
-        line = F.concat(F.lit(f'[{tag} "'), F.col(field), F.lit('"]'))
+        indent = " " * 9 if field == "Black" else ""
+        line = F.concat(F.lit(f'{indent}[{tag} "'), F.col(field), F.lit('"]'))
         lines.append(F.when(F.col(field) != "", line))
     lines += [F.lit(""), F.col("movetext"), F.lit("")]
     return columns.select(F.concat_ws("\n", *lines).alias("value"), *keep)
@@ -83,23 +89,50 @@ def pgn_files(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         with_text = _in_files(games(spark, sf_dir, "event_id"), "event_id").withColumn(
             "movetext",
-            F.concat(
-                F.lit("1. "), F.get("Moves", F.lit(0)), F.lit("! { [%clk 0:03:00] } ( 1. d4 ( 1. c4 ) ) 1... "),
-                F.get("Moves", F.lit(1)), F.lit("x $2 1-0"),
-            ),
+            event_movetext(),
         )
         _pgn_text(with_text).write.text(path)
 
     return land_once(spark, sf_dir, "pgn", write)
 
 
+def event_movetext() -> Column:
+    """Two moves, by event type and ``k``, among all that the move scan must drop."""
+    first = F.concat(F.lit("N"), _square(F.length("Result"), F.lit(2)))
+    second = F.concat(F.lit("Q"), _square(F.col("Variant").cast("int"), F.floor(F.col("Variant").cast("int") / 8)), F.lit("+"))
+    return F.concat(
+        F.lit("1. "), first, F.lit("! { [%clk 0:03:00] } ( 1. d4 ( 1. c4 ) ) 1... "), second, F.lit(" $2 e.p. 1-0"),
+    )
+
+
+def any_order_files(spark: SparkSession, sf_dir: str) -> str:
+    """Event games whose tag sections open with different tags, by event, none with ``Event``."""
+
+    def write(path: str) -> None:
+        rows = _in_files(games(spark, sf_dir, "event_id"), "event_id").withColumn("movetext", event_movetext())
+        lines = [
+            F.when(F.col(f) != "", F.concat(F.lit(f'[{tag} "'), F.col(f), F.lit('"]'))) for f, tag in FIELD_TAGS.items()
+        ]
+        turned = F.when(F.col("event_id") % 3 == 0, F.concat_ws("\n", *lines)).when(
+            F.col("event_id") % 3 == 1, F.concat_ws("\n", *lines[::-1])
+        ).otherwise(F.concat_ws("\n", *lines[5:], *lines[:5]))
+        # A comment with a line that looks like a tag, and moves over several lines.
+        text = F.concat(turned, F.lit("\n\n{ see\n[Event \"inner\"] }\n"), F.replace("movetext", F.lit("1... "), F.lit("\n1... ")), F.lit("\n"))
+        rows.select(text.alias("value")).write.text(path)
+
+    return land_once(spark, sf_dir, "any-order", write)
+
+
 def corpus_files(spark: SparkSession, sf_dir: str) -> str:
     """The same games in one folder per day, as a corpus of dumps."""
 
     def write(path: str) -> None:
-        dated = games(spark, sf_dir).withColumn("movetext", F.array_join("Moves", " "))
+        dated = games(spark, sf_dir).withColumn("movetext", event_movetext())
         day = F.replace("Date", F.lit("."), F.lit("-")).alias("day")
-        _pgn_text(dated, day).write.partitionBy("day").text(path)
+        # Every other day's dump is an archive that one task must unpack.
+        for part, options in ((0, {}), (1, {"compression": "gzip"})):
+            chosen = dated.filter(F.substring("Date", 10, 1).cast("int") % 2 == part)
+            _pgn_text(chosen, day).write.mode("append").partitionBy("day").options(**options).text(path)
 
     return land_once(spark, sf_dir, "corpus", write)
 
@@ -109,13 +142,15 @@ def conversation_files(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-        words = F.regexp_replace("text", r'[{}();!?$%*.\[\]"0-9]', " ")
+        # Each word becomes a move by its first character and length.
+        words = F.array_join(F.transform(F.regexp_extract_all("text", F.lit(r"[^ \n\t]+"), F.lit(0)), lambda w: _square(
+            F.ascii(w), F.length(w))), " ")
         fields = {f: F.lit("") for f in FIELD_TAGS} | {
             "White": F.col("conv_id").cast("string"), "Round": F.col("turn").cast("string"),
         }
         text = F.concat(
-            F.lit("1. first { a note (not a move) } ( 1. b ( 1. c { d ) } ) 1... e ) $14 "),
-            words, F.lit(" 2... last!? ; rest of line (\n1/2-1/2"),
+            F.lit("1. e2e4 { a note (not a move) } ( 1. b4 ( 1. c4 { d4 ) } ) 1... e5 ) $14 move "),
+            words, F.lit(" 2... O-O-O!? 0000 ; rest of line (\n1/2-1/2"),
         )
         _pgn_text(turns.select(*[c.alias(f) for f, c in fields.items()], text.alias("movetext"))).write.text(path)
 

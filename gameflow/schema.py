@@ -53,8 +53,14 @@ TABLE_SCHEMA = T.StructType([
     T.StructField("variant", T.StringType()),
 ])
 
-# What a file-backed topic stores per message; a Kafka source has the same two columns and more.
+# What a topic gives per message, as a Kafka source names it: the payload, its place and the time
+# of sending.
 TOPIC_SCHEMA = T.StructType([
     T.StructField("value", T.BinaryType()),
+    T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
 ])
+TOPIC_COLUMNS = tuple(TOPIC_SCHEMA.names)
+# Later writes win: by time of sending, then place in the topic.
+SENT_ORDER = ("timestamp", "offset", "partition")

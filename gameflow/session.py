@@ -50,6 +50,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/gameflow/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -20,9 +20,10 @@ _CHUNK_SCHEMA = _TEXT_SCHEMA.add("chunk", T.LongType())
 
 def write_chunks(games: DataFrame, path: str) -> None:
     """Writes ``games`` with their ``chunk`` column, without a shuffle: a task holds a
-    contiguous run of games and so touches few chunks."""
+    contiguous run of games and so touches few chunks. A folder that is there already may hold
+    another dump's chunks and is refused."""
     columns = [list_to_text(F.col(f)).alias(f) if f == "Moves" else F.col(f) for f in MESSAGE_FIELDS]
-    games.select(*columns, "chunk").write.mode("overwrite").partitionBy("chunk").options(**CSV_OPTIONS).csv(path)
+    games.select(*columns, "chunk").write.mode("error").partitionBy("chunk").options(**CSV_OPTIONS).csv(path)
 
 
 def _to_games(text: DataFrame) -> DataFrame:

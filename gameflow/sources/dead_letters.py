@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gameflow.schema import MESSAGE_FIELDS, message_schema
-from gameflow.session import delete_path
+from gameflow.functions.codec import text_to_list
+from gameflow.schema import MESSAGE_FIELDS
+from gameflow.session import delete_path, path_exists
 
 # Name patterns of a failed batch and of a failed whole frame.
 LETTER_GLOB = "failed_{batch,df}_*.json"
@@ -21,21 +26,43 @@ def write_letter(games: DataFrame, folder: str, kind: str, label: str) -> str:
 
 
 def list_letters(spark: SparkSession, folder: str) -> list[str]:
-    """Files and folders whose name marks them as dead letters; anything else is ignored."""
+    """Files and folders whose name marks them as dead letters; anything else is ignored.
+
+    A folder is a letter written by Spark and counts once it is committed.
+    """
     jvm = spark.sparkContext._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/{LETTER_GLOB}")
     found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(status.getPath().toString() for status in found or [])
+    return sorted(
+        status.getPath().toString() for status in found or []
+        if status.isFile() or path_exists(spark, status.getPath().toString() + "/_SUCCESS")
+    )
+
+
+def _reader(spark: SparkSession, multi_line: bool, mode: str, *extra: T.StructField):
+    fields = [T.StructField(f, T.StringType()) for f in MESSAGE_FIELDS]
+    reader = spark.read.schema(T.StructType([*fields, *extra])).option("mode", mode)
+    return reader.option("multiLine", str(multi_line).lower())
+
+
+def damaged_letters(spark: SparkSession, letters: list[str], multi_line: bool = False) -> list[str]:
+    """Those of the letters that hold something else than whole records."""
+    bad = T.StructField("_bad", T.StringType())
+    rows = _reader(spark, multi_line, "PERMISSIVE", bad).option("columnNameOfCorruptRecord", "_bad").json(letters)
+    letter = F.regexp_extract("_metadata.file_path", r"([^/]*failed_(?:batch|df)_[^/]*\.json)", 1)
+    counted = rows.groupBy(letter.alias("letter")).agg(F.count("_bad").alias("n"), F.count("GameID"))
+    names = {unquote(r["letter"]) for r in counted.filter("n > 0").collect()}
+    return [x for x in letters if unquote(x.rsplit("/", 1)[1]) in names]
 
 
 def read_letters(spark: SparkSession, letters: list[str], multi_line: bool = False) -> DataFrame:
-    """The records of the letters as message fields.
+    """The records of the letters as message fields; moves may be a list, or a list as text.
 
     A line may hold one record or an array of records. Arrays laid out over several
     lines need ``multi_line``; without it such a file stops the read, it is not skipped.
     """
-    reader = spark.read.schema(message_schema()).option("mode", "FAILFAST")
-    return reader.option("multiLine", str(multi_line).lower()).json(letters)
+    text = _reader(spark, multi_line, "FAILFAST").json(letters)
+    return text.select(*[text_to_list(F.col(f)).alias(f) if f == "Moves" else f for f in MESSAGE_FIELDS])
 
 
 def remove_letters(spark: SparkSession, letters: list[str]) -> None:

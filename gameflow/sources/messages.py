@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gameflow.functions.codec import encode_payload
-from gameflow.schema import TOPIC_SCHEMA
+from gameflow.schema import TOPIC_COLUMNS, TOPIC_SCHEMA
 
 # Delivery settings of the message producers.
 PRODUCER_OPTIONS = {
@@ -37,26 +37,38 @@ class Topic:
         return reader.format(self.format).options(**self.read_options)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._reader(spark.read).load().select("value", "offset")
+        return self._reader(spark.read).load().select(*TOPIC_COLUMNS)
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
-        return self._reader(spark.readStream).load().select("value", "offset")
+        return self._reader(spark.readStream).load().select(*TOPIC_COLUMNS)
 
     def write(self, messages: DataFrame, batch_id: int | None = None) -> None:
-        frame = messages.select("value") if self.format == "kafka" else messages
+        """Appends messages. A folder stores the time of sending with them, one for each write, as
+        Kafka does for each message."""
+        if self.format == "kafka":
+            frame = messages.select("value")
+        else:
+            frame = messages.select(
+                "value", F.lit(0).alias("partition"), "offset", F.current_timestamp().alias("timestamp")
+            )
         frame.write.format(self.format).options(**self.write_options).mode("append").save()
 
 
-def kafka_topic(servers: str, topic: str, **options: str) -> Topic:
+def kafka_topic(
+    servers: str, topic: str, producer: Mapping[str, str] | None = None, **options: str
+) -> Topic:
     """A Kafka topic, read from its first offset; the client fails over along ``servers``.
 
-    Extra options go to the reader, for example ``maxOffsetsPerTrigger`` or ``minPartitions``.
+    ``options`` that begin with ``kafka.`` (such as security settings) go to reader and writer,
+    others (``maxOffsetsPerTrigger``, ``minPartitions``) to the reader. ``producer`` adds to or
+    replaces delivery settings of the writer.
     """
     broker = {"kafka.bootstrap.servers": servers}
+    shared = {k: v for k, v in options.items() if k.startswith("kafka.")}
     return Topic(
         "kafka",
         {**broker, "subscribe": topic, "startingOffsets": "earliest", **options},
-        {**broker, "topic": topic, **PRODUCER_OPTIONS},
+        {**broker, "topic": topic, **PRODUCER_OPTIONS, **shared, **(producer or {})},
     )
 
 
@@ -65,7 +77,10 @@ def file_topic(path: str, **options: str) -> Topic:
 
 
 def encode_messages(games: DataFrame, offset: str = "GameID") -> DataFrame:
-    """Keyless messages: the row as JSON, plus the place in the topic a file-backed one needs."""
+    """Keyless messages: the row as JSON, plus the place in the topic a file-backed one needs.
+
+    ``offset`` orders the messages of one write; between writes the time of sending does.
+    """
     return games.select(
         encode_payload().alias("value"), F.col(offset).try_cast("bigint").alias("offset")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from urllib.parse import unquote
 
@@ -13,40 +14,60 @@ from gameflow.schema import FIELD_TAGS, MESSAGE_FIELDS
 
 FIRST_TAG = "Event"
 PLACE_COLUMNS = ("source_path", "block_start")
-UNSPLITTABLE = (".zst", ".gz")
+#: Suffixes of files that one task must read whole.
+UNSPLITTABLE = (".zst", ".gz", ".lz4", ".snappy", ".deflate", ".xz")
 
 
-def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_records(
+    spark: SparkSession, paths: str | Sequence[str], opening: str | None = FIRST_TAG, newline: str = "\n"
+) -> DataFrame:
     """One row per game with its text and its place: ``record, source_path, block_start``.
 
-    Splittable: the text source cuts at the line that opens the next game. Works for
-    LF and CRLF files and any number of blank lines. Compressed archives are read as
-    they are, one task each.
+    Splittable: the text source cuts at the line that opens the next game. That is a line with
+    the tag ``opening``, in LF and CRLF files and after any number of blank lines. With
+    ``opening=None`` games may open with any tag, also with different ones in one file; they are
+    cut where a line with a tag follows an empty line, whose line ends must be ``newline``.
+    :func:`parse_records` stops with an error where a record turns out not to be one game.
+    Compressed archives are read as they are, one task each.
     """
+    separator = f"\n[{opening} " if opening else f"{newline}{newline}["
     raw = (
-        spark.read.option("lineSep", f"\n[{FIRST_TAG} ")
+        spark.read.option("lineSep", separator)
         .text(paths if isinstance(paths, str) else list(paths))
         .select("value", "_metadata.file_path", "_metadata.file_block_start")
     )
-    # A piece is a game if it starts with a tag (first in its file) or with the value
-    # of the tag that the separator took away; anything else is text before the first game.
-    games = raw.filter(F.col("value").rlike(r'^[\s\x{FEFF}]*[\["]'))
-    text = F.replace(F.col("value"), F.lit("\r"), F.lit(""))
-    opened = F.when(F.startswith(F.ltrim(text), F.lit('"')), F.concat(F.lit(f"[{FIRST_TAG} "), text))
+    # A piece is a game if it starts with a tag (first in its file) or with what the separator
+    # left of one; anything else is text before the first game.
+    rest, lost = ('"', f"[{opening} ") if opening else (r'[^\s\["]+[ \t]+"', "[")
+    games = raw.filter(F.col("value").rlike(rf"^[\s\x{{FEFF}}]*(?:\[|{rest})"))
+    text = F.regexp_replace(F.replace(F.col("value"), F.lit("\r"), F.lit("")), r"^[\s\x{FEFF}]+", "")
     return games.select(
-        opened.otherwise(F.regexp_replace(text, r"^[\s\x{FEFF}]+", "")).alias("record"),
+        F.when(F.startswith(text, F.lit("[")), text).otherwise(F.concat(F.lit(lost), text)).alias("record"),
         F.col("file_path").alias("source_path"),
         F.col("file_block_start").alias("block_start"),
     )
 
 
+def spread_archives(records: DataFrame) -> DataFrame:
+    """Records of files that cannot be split, dealt out to all tasks before they are parsed.
+
+    The conditions are on file names alone: each branch opens its own files only, and records of
+    other files are parsed where they are read.
+    """
+    archived = F.lit(False)
+    for suffix in UNSPLITTABLE:
+        archived = archived | F.endswith("source_path", F.lit(suffix))
+    return records.filter(~archived).union(records.filter(archived).hint("rebalance"))
+
+
 def parse_records(
     records: DataFrame, defaults: Mapping[str, str] | None = None, keep: Iterable[str] = PLACE_COLUMNS
 ) -> DataFrame:
     """Header fields and main-line moves of each record; a missing tag gives its default or ''."""
     defaults = defaults or {}
     keep = list(keep)
-    cut = records.select(*keep, "record", pgn.movetext_start(F.col("record")).alias("start"))
+    found = records.select(*keep, "record", pgn.movetext_start(F.col("record")).alias("start"))
+    cut = found.select(*keep, "start", pgn.checked_record(F.col("record"), F.col("start")).alias("record"))
     parts = cut.select(
         *keep,
         "record",
@@ -76,9 +97,10 @@ def parse_records(
 
 
 def read_games(
-    spark: SparkSession, paths: str | Sequence[str], defaults: Mapping[str, str] | None = None
+    spark: SparkSession, paths: str | Sequence[str], defaults: Mapping[str, str] | None = None,
+    opening: str | None = FIRST_TAG, newline: str = "\n",
 ) -> DataFrame:
-    return parse_records(read_records(spark, paths), defaults)
+    return parse_records(read_records(spark, paths, opening, newline), defaults)
 
 
 def read_corpus(
@@ -97,7 +119,7 @@ def read_corpus(
     )
     if periods is not None:
         records = records.filter(F.col("period").isin(list(periods)))
-    return parse_records(records, keep=(*PLACE_COLUMNS, "period"))
+    return parse_records(spread_archives(records), keep=(*PLACE_COLUMNS, "period"))
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
@@ -105,17 +127,34 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     return [unquote(path) for path in sorted(frame.inputFiles())]
 
 
-def leading_files(spark: SparkSession, paths: str | Sequence[str], games: int) -> list[str]:
-    """The shortest-found run of files, in path order, that holds the first ``games`` games.
+def _plain(path: str) -> str:
+    """A path as it can be compared: decoded, with one slash after its scheme."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(path))
+
+
+def files_between(
+    spark: SparkSession, paths: str | Sequence[str], start: int, end: int
+) -> tuple[list[str], int]:
+    """The files, in path order, that hold the games at positions ``[start, end)``, and how many
+    games lie before the first of them.
 
-    Files are counted in groups of doubling length, so reaching into a large corpus
-    costs one small job per doubling and leaves the rest of it unread.
+    Files are counted once, in groups of doubling length up to the one that reaches ``end``, so
+    reaching into a large corpus costs one small job per doubling and leaves the rest unread.
     """
     files = list_files(spark, paths)
-    taken, seen, step = 0, 0, 1
-    while taken < len(files) and seen < games:
+    chosen, before, seen, taken, step = [], 0, 0, 0, 1
+    while taken < len(files) and seen < end:
         group = files[taken:taken + step]
-        seen += read_records(spark, group).count()
+        counts = {
+            _plain(r["source_path"]): r["count"] for r in read_records(spark, group).groupBy("source_path").count().collect()
+        }
+        for file in group:
+            n = counts.get(_plain(file), 0)
+            if seen < end and seen + n > start:
+                chosen.append(file)
+            elif not chosen:
+                before += n
+            seen += n
         taken += len(group)
         step *= 2
-    return files[:max(taken, 1)]
+    return (chosen, before) if chosen else (files[:1], 0)

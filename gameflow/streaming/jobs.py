@@ -7,13 +7,14 @@ import threading
 from collections.abc import Callable
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gameflow.functions.codec import decode_payload
 from gameflow.operators.decode import select_games, to_table_types
-from gameflow.schema import MESSAGE_FIELDS
+from gameflow.schema import MESSAGE_FIELDS, SENT_ORDER
 from gameflow.sources.dead_letters import write_letter
 from gameflow.sources.messages import encode_messages
 
@@ -60,15 +61,17 @@ def start_selection(
 
 
 def start_upsert(
-    messages: DataFrame, table, checkpoint: str, trigger: dict[str, Any] | None = None
+    messages: DataFrame, table, checkpoint: str, trigger: dict[str, Any] | None = None, rejects: str | None = None
 ) -> StreamingQuery:
     """Games into a keyed table, latest write wins.
 
-    Rows whose key is no number are not stored; the query's progress reports how many
-    there were under the metric name ``upsert``.
+    Rows whose key is no number are not stored in the table. The query's progress reports how
+    many there were under the metric name ``upsert``; with ``rejects`` they are kept as JSON below
+    that folder, with their key as it came.
     """
-    games = to_table_types(select_games(messages, carry=["offset"]), carry=["offset"])
-    games = games.withColumn("written_at", F.current_timestamp()).observe(
+    carry = [*SENT_ORDER, "key_text"]
+    games = select_games(messages, carry=SENT_ORDER).withColumn("key_text", F.col("gameid"))
+    games = to_table_types(games, carry=carry).withColumn("written_at", F.current_timestamp()).observe(
         "upsert",
         F.count("*").alias("n_rows"),
         F.count_if(F.col("gameid").isNull()).alias("n_rejected"),
@@ -76,6 +79,9 @@ def start_upsert(
 
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         table.write_batch(batch.filter(F.col("gameid").isNotNull()), query_id, batch_id)
+        if rejects:
+            bad = batch.filter(F.col("gameid").isNull()).drop("gameid")
+            bad.write.mode("overwrite").json(f"{rejects}/run={query_id}/batch_id={batch_id}")
 
     return _start_batches(games, write, checkpoint, trigger)
 
@@ -98,14 +104,22 @@ def start_delivery(
     games: DataFrame, topic, dead_letters: str, checkpoint: str, trigger: dict[str, Any] | None = None
 ) -> StreamingQuery:
     """Sends games batch by batch. A batch the topic refuses is saved whole as a dead
-    letter and the query goes on; if saving fails too, the checkpoint repeats the batch."""
+    letter and the query goes on; if saving fails too, the checkpoint repeats the batch.
+
+    Each batch is read and stored before it is sent, so an error of the source is not taken for
+    a refusal but ends the query.
+    """
 
     def send(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        batch = batch.select(*MESSAGE_FIELDS)
+        batch = batch.select(*MESSAGE_FIELDS).persist(StorageLevel.DISK_ONLY)
         try:
-            topic.write(encode_messages(batch), batch_id)
-        except Exception as problem:
-            log.warning("batch %s was not sent: %s", batch_id, problem)
-            write_letter(batch, dead_letters, "batch", f"{batch_id}_{query_id}")
+            batch.count()
+            try:
+                topic.write(encode_messages(batch), batch_id)
+            except Exception as problem:
+                log.warning("batch %s was not sent: %s", batch_id, problem)
+                write_letter(batch, dead_letters, "batch", f"{batch_id}_{query_id}")
+        finally:
+            batch.unpersist()
 
     return _start_batches(games, send, checkpoint, trigger)

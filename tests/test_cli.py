@@ -24,6 +24,16 @@ def test_commands_from_pgn_to_table(spark, tmp_path, capfd):
     assert main(["load", *topic, "--table", place["table"], "--checkpoint", place["ckpt"], "--once"]) == 0
     assert main(["count", "--table", place["table"]]) == 0
     assert "| 13|" in capfd.readouterr().out
-    assert main(["create", "cli_db", "game", "--location", str(tmp_path / "db")]) == 0
-    assert main(["create", "cli_db", "game", "--location", str(tmp_path / "db")]) == 0
-    assert spark.table("cli_db.game").count() == 0
+    assert main(["create", "--table", place["table"]]) == 0
+    assert main(["compact", "--table", place["table"], place["table"] + "-compact"]) == 0
+    assert main(["create", "--table", place["table"] + "-new"]) == 0
+    assert main(["count", "--table", place["table"] + "-compact"]) == 0
+    assert main(["count", "--table", place["table"] + "-new"]) == 0
+    out = capfd.readouterr().out
+    assert "| 13|" in out and "|  0|" in out
+
+    # A second dump is numbered on from what the table holds.
+    assert main(["ingest", str(tmp_path / "a.pgn"), *topic, *letters, "--after-table", place["table"], "--batch-size", "4"]) == 0
+    assert main(["load", *topic, "--table", place["table"], "--checkpoint", place["ckpt"], "--once"]) == 0
+    assert main(["count", "--table", place["table"]]) == 0
+    assert "| 23|" in capfd.readouterr().out

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from gameflow.plans.ingest import deliver, ingest, load_table, replay
 from gameflow.plans.standins import RefusingTopic
+from gameflow.functions.codec import decode_payload
 from gameflow.schema import MESSAGE_FIELDS, message_schema
-from gameflow.sinks.table import ParquetTable
+from gameflow.sinks.table import ConnectorTable, ParquetTable
 from gameflow.sources.csv_chunks import stream_chunks, write_chunks
-from gameflow.sources.dead_letters import list_letters, read_letters
-from gameflow.sources.messages import encode_messages, file_topic
+from gameflow.sources.dead_letters import list_letters, read_letters, write_letter
+from gameflow.sources.messages import encode_messages, file_topic, kafka_topic
 from gameflow.streaming import jobs
 
 
@@ -62,9 +63,9 @@ def test_sink_fails_in_the_middle(spark, place):
         source, refusing, place.letters, place.checkpoint + "-other", jobs.AVAILABLE_NOW
     ).awaitTermination()
     assert len(list_letters(spark, place.letters)) == 2
-    assert replay(spark, place.letters, place.topic) == 2
+    assert replay(spark, place.letters, place.topic) == (2, [])
     assert list_letters(spark, place.letters) == []
-    assert replay(spark, place.letters, place.topic) == 0
+    assert replay(spark, place.letters, place.topic) == (0, [])
     load_table(spark, place.topic, place.table, place.checkpoint + "-table")
     assert sorted(stored(spark, place.table)) == list(range(1, 31))
 
@@ -73,8 +74,7 @@ def test_sink_fails_from_the_start(spark, place):
     frame = games(spark, 1, 10)
     refusing = RefusingTopic(place.topic, {None})
     assert not deliver(frame, refusing, place.letters, "day")
-    with pytest.raises(ConnectionError):
-        deliver(frame, refusing, place.letters, "day", reraise=True)
+    assert not deliver(frame, refusing, place.letters, "day")
     names = [os.path.basename(p) for p in list_letters(spark, place.letters)]
     assert len(names) == 2 and all(n.startswith("failed_df_day_") for n in names)
     replay(spark, place.letters, place.topic)
@@ -153,21 +153,129 @@ def test_letters_of_other_writers(spark, place):
     put("failed_df_3.json", "[]")
     put("other_failed_batch.json", json.dumps([record | {"GameID": 9}]))
     put("failed_batch_4.txt", json.dumps([record | {"GameID": 9}]))
-    assert replay(spark, place.letters, place.topic) == 3
+    assert replay(spark, place.letters, place.topic) == (3, [])
     load_table(spark, place.topic, place.table, place.checkpoint)
     assert sorted(stored(spark, place.table)) == [1, 2]
     assert sorted(os.listdir(place.letters)) == ["failed_batch_4.txt", "other_failed_batch.json"]
 
 
-def test_letter_over_several_lines(spark, place):
+def test_damaged_letters_stay_and_hold_nothing_up(spark, place):
     os.makedirs(place.letters)
-    path = os.path.join(place.letters, "failed_df_1.json")
-    with open(path, "w") as out:
-        json.dump([{"GameID": 1, "Moves": ["e4"]}, {"GameID": 2}], out, indent=2)
-    with pytest.raises(Exception):
-        replay(spark, place.letters, place.topic)
-    assert os.path.exists(path)
-    assert read_letters(spark, list_letters(spark, place.letters), multi_line=True).count() == 2
+    record = {f: "1" for f in MESSAGE_FIELDS} | {"Moves": ["e4"]}
+    texts = {
+        "failed_df_1.json": json.dumps([{"GameID": 1, "Moves": ["e4"]}, {"GameID": 2}], indent=2),
+        "failed_df_2.json": json.dumps([record | {"GameID": 3, "Moves": "['e4', 'e5']"}]),
+        "failed_batch_3.json": json.dumps(record | {"GameID": 4}) + "\n" + json.dumps(record)[:20],
+    }
+    for name, text in texts.items():
+        with open(os.path.join(place.letters, name), "w") as out:
+            out.write(text)
+    write_letter(games(spark, 5, 6), place.letters, "df", "good")
+    write_letter(games(spark, 7, 8), place.letters, "df", "uncommitted")
+    os.remove(os.path.join(place.letters, "failed_df_uncommitted.json", "_SUCCESS"))
+    sent, damaged = replay(spark, place.letters, place.topic)
+    assert (sent, [os.path.basename(p) for p in damaged]) == (2, ["failed_batch_3.json", "failed_df_1.json"])
+    moves = {r["GameID"]: r["Moves"] for r in decode_payload(place.topic.read(spark)).collect()}
+    assert moves == {"3": ["e4", "e5"], "5": ["e4"], "6": ["e4"]}
+    assert sorted(os.listdir(place.letters)) == ["failed_batch_3.json", "failed_df_1.json", "failed_df_uncommitted.json"]
+    assert replay(spark, place.letters, place.topic, multi_line=True).sent == 1
+    assert sorted(os.listdir(place.letters)) == ["failed_batch_3.json", "failed_df_uncommitted.json"]
+
+
+def test_later_write_wins_inside_one_batch(spark, place):
+    for result in ("1-0", "0-1"):
+        place.topic.write(encode_messages(games(spark, 1, 500, result)))
+    load_table(spark, place.topic, place.table, place.checkpoint)
+    assert stored(spark, place.table) == dict.fromkeys(range(1, 501), "0-1")
+
+
+def kafka_shaped(spark):
+    """Two versions of five games in two partitions, whose offsets run against the times."""
+    parts = []
+    for partition, offset, second, result in ((0, 900, 1, "old"), (1, 3, 2, "new")):
+        rows = encode_messages(games(spark, 1, 5, result)).withColumn("offset", F.col("offset") + offset)
+        parts.append(rows.select("value", F.lit(partition).alias("partition"), "offset",
+                                 F.lit(f"2024-01-01 00:00:0{second}").cast("timestamp").alias("timestamp")))
+    return parts[0].unionByName(parts[1])
+
+
+def test_offsets_of_different_partitions_do_not_decide(spark, place):
+    kafka_shaped(spark).write.parquet(place.topic.write_options["path"])
+    load_table(spark, place.topic, place.table, place.checkpoint)
+    assert stored(spark, place.table) == dict.fromkeys(range(1, 6), "new")
+
+
+def test_connector_gets_one_version_of_each_key(spark, place):
+    kafka_shaped(spark).write.parquet(place.topic.write_options["path"])
+    store = ConnectorTable("parquet", {"path": place.table.path})
+    load_table(spark, place.topic, store, place.checkpoint)
+    assert {r["gameid"]: r["result"] for r in store.latest(spark).collect()} == dict.fromkeys(range(1, 6), "new")
+    assert store.count(spark).first()["n"] == 5
+
+
+def test_topic_options():
+    topic = kafka_topic("a:1,b:2", "games", {"kafka.retries": "9"}, maxOffsetsPerTrigger="5", **{"kafka.security.protocol": "SSL"})
+    assert topic.read_options["maxOffsetsPerTrigger"] == "5" and "maxOffsetsPerTrigger" not in topic.write_options
+    for options in (topic.read_options, topic.write_options):
+        assert options["kafka.security.protocol"] == "SSL" and options["kafka.bootstrap.servers"] == "a:1,b:2"
+    assert topic.write_options["kafka.retries"] == "9" and topic.write_options["kafka.acks"] == "all"
+
+
+def test_source_errors_are_no_refusals(spark, place):
+    broken = games(spark, 1, 5).withColumn("White", F.raise_error(F.lit("bad row")).cast("string"))
+    source = spark.readStream.schema(message_schema()).parquet(place.landing)
+    games(spark, 1, 5).write.parquet(place.landing)
+    bad = source.withColumn("White", F.raise_error(F.lit("bad row")).cast("string"))
+    with pytest.raises(Exception, match="bad row"):
+        jobs.start_delivery(bad, place.topic, place.letters, place.checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
+    assert not os.path.exists(place.letters) and broken is not None
+
+
+def test_ingest_sends_chunk_by_chunk(spark, place, tmp_path):
+    text = "".join(f'[Event "x"]\n[White "w{g}"]\n\n1. e4 *\n\n' for g in range(10))
+    (tmp_path / "a.pgn").write_text(text)
+    result = ingest(spark, str(tmp_path / "a.pgn"), RefusingTopic(place.topic, {1}), place.letters, chunks=3)
+    assert result == (10, ["ingest_games_4_7"])
+    [letter] = list_letters(spark, place.letters)
+    assert os.path.basename(letter).startswith("failed_df_ingest_games_4_7_")
+    assert place.topic.read(spark).count() == 7
+    replay(spark, place.letters, place.topic)
+    batched = ingest(spark, str(tmp_path / "a.pgn"), RefusingTopic(place.topic, {1}), place.letters, chunks=2, start_at=10, batch_size=2)
+    assert batched == (10, ["ingest_games_10_15_1", "ingest_games_15_20_1"])
+    assert [r["GameID"] for r in read_letters(spark, list_letters(spark, place.letters)).orderBy(F.col("GameID").cast("int")).collect()] == ["13", "14", "18", "19"]
+    replay(spark, place.letters, place.topic)
+    load_table(spark, place.topic, place.table, place.checkpoint)
+    assert {r["gameid"]: r["white"] for r in place.table.latest(spark).collect()} == {g + 1: f"w{g % 10}" for g in range(20)}
+    # A bad source ends the job, sends nothing and leaves no letter.
+    (tmp_path / "bad.pgn").write_text('[White "w"]\n\n1. e4 *\n\n' * 3)
+    with pytest.raises(Exception, match="not one game"):
+        ingest(spark, str(tmp_path / "bad.pgn"), place.topic, place.letters)
+    assert list_letters(spark, place.letters) == []
+    write_chunks(games(spark, 1, 2).withColumn("chunk", F.lit(0)), place.landing)
+    with pytest.raises(Exception, match="already exists"):
+        ingest(spark, str(tmp_path / "a.pgn"), place.topic, place.letters, landing=place.landing)
+
+
+def test_key_ranges_are_pruned(spark, place, monkeypatch):
+    monkeypatch.setattr("gameflow.sinks.table.KEYS_PER_RANGE", 10)
+    place.table.create(spark)
+    assert place.table.count(spark).first()["n"] == 0
+    place.topic.write(encode_messages(games(spark, 1, 45)))
+    load_table(spark, place.topic, place.table, place.checkpoint)
+    place.table.create(spark)
+    some = place.table.latest(spark, 20, 29)
+    assert sorted(r["gameid"] for r in some.collect()) == list(range(20, 30))
+    assert {p.split("key_range=")[1].split("/")[0] for p in some.inputFiles()} >= {"2"}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "key_range" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert place.table.last_key(spark) == 45 and ParquetTable(place.table.path + "-none").last_key(spark) == 0
+
+
+def test_rejected_keys_are_kept(spark, place):
+    place.topic.write(encode_messages(games(spark, 1, 3).withColumn("GameID", F.concat(F.lit("x"), "GameID"))))
+    rejects = place.landing
+    jobs.start_upsert(place.topic.read_stream(spark), place.table, place.checkpoint, jobs.AVAILABLE_NOW, rejects).awaitTermination()
+    assert sorted(r["key_text"] for r in spark.read.json(rejects).collect()) == ["x1", "x2", "x3"]
 
 
 def test_batch_and_stream_decode_alike(spark, place):
@@ -184,7 +292,7 @@ def test_batch_and_stream_decode_alike(spark, place):
 def test_ingest_with_landing_and_short_corpus(spark, place, tmp_path):
     text = "".join(f'[Event "x"]\n[White "w{g}"]\n\n1. e4 *\n\n' for g in range(10))
     (tmp_path / "a.pgn").write_text(text)
-    assert ingest(spark, str(tmp_path / "a.pgn"), place.topic, place.letters, count=50, chunks=4, landing=place.landing)
+    assert ingest(spark, str(tmp_path / "a.pgn"), place.topic, place.letters, count=50, chunks=4, landing=place.landing) == (10, [])
     assert len(glob.glob(place.landing + "/chunk=*")) == 4
     load_table(spark, place.topic, place.table, place.checkpoint)
     assert {r["gameid"]: r["white"] for r in place.table.latest(spark).collect()} == {g + 1: f"w{g}" for g in range(10)}

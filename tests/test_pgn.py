@@ -10,7 +10,7 @@ from gameflow.functions import pgn
 from gameflow.operators.numbering import number_and_count, number_games
 from gameflow.plans.ingest import first_games_of, games_between, numbered_games
 from gameflow.schema import ROSTER_DEFAULTS
-from gameflow.sources.pgn import leading_files, read_corpus, read_games
+from gameflow.sources.pgn import files_between, read_corpus, read_games
 
 
 def game(white, moves="1. e4 e5 1-0", **tags):
@@ -37,12 +37,17 @@ EDGE = (
     + game("percent", "1. e4\n%escape d4\ne5 0-0 1-0")
     + game("line\u2028sep", "1. e4 *")
     + game("rare", "1.e4 -- 2.0-0-0+ ( 2. 0-0 ) 2... O-O 3. 0-0! bxa8=Q# @e4 12. e8=Q+?? $6 0-1")
+    + game("words", "1. e4 e.p. 1... exd6 e.p.+ resigns 2. Z0 0000 3. e7e8q Nbd2 R1xa3 N@f3 Qh4e1 12e5 e2-e4 1-0 w0 e9")
 )
+for blanks in (0, 1, 8, 9, 40):
+    EDGE += game("plain", "1. e4 *").replace("[White \"plain", " " * blanks + f'[White "indent{blanks}')
 MOVES = {
     "full": "e4 e5 Nf3 Nc6", "repeated-last": "e4 e5", "empty": "e4 e5", 'quote "q" back\\slash': "e4 e5",
     "nomoves": "", "variations": "e4 e5 f4 exf4", "tight": "e4 e5 Nf3 Nc6 O-O-O", "tagcomment": "e4 e5",
     "stray": "e4 e5", "unclosed": "e4 e5", "percent": "e4 e5 0-0", "line\u2028sep": "e4",
     "rare": "e4 -- 0-0-0+ O-O 0-0 bxa8=Q# @e4 e8=Q+",
+    "words": "e4 exd6 Z0 0000 e7e8q Nbd2 R1xa3 N@f3 Qh4e1 e5 e2-e4",
+    **{f"indent{blanks}": "e4" for blanks in (0, 1, 8, 9, 40)},
 }
 
 
@@ -80,7 +85,7 @@ def nested_main_line(text):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(st.sampled_from(["(", ")", "e", "Nf", " "]), max_size=40), min_size=1, max_size=8))
+@given(st.lists(st.lists(st.sampled_from(["(", ")", " e4 ", " Nf3 ", " "]), max_size=40), min_size=1, max_size=8))
 def test_variations_match_brute_force(spark, texts):
     texts = ["".join(t) for t in texts]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
@@ -136,14 +141,23 @@ def test_shuffled_join_above_the_broadcast_limit(spark, small_splits, tmp_path,
 def test_first_games_leave_later_files_unread(spark, tmp_path):
     for f in range(8):
         (tmp_path / f"{f}.pgn").write_text("".join(game(f"{f}-{g}") for g in range(10)))
-    assert [p[-5:] for p in leading_files(spark, str(tmp_path), 10)] == ["0.pgn"]
-    assert len(leading_files(spark, str(tmp_path), 25)) == 3
-    assert len(leading_files(spark, str(tmp_path), 1000)) == 8
+    def names(start, end):
+        files, before = files_between(spark, str(tmp_path), start, end)
+        return [p[-5] for p in files], before
+
+    assert names(0, 10) == (["0"], 0)
+    assert names(0, 25) == (["0", "1", "2"], 0)
+    assert names(0, 1000) == (list("01234567"), 0)
+    assert names(30, 40) == (["3"], 30)
+    assert names(39, 41) == (["3", "4"], 30)
+    assert names(500, 600) == (["0"], 0)
     first = first_games_of(spark, str(tmp_path), 25)
     assert sorted(r["White"] for r in first.collect()) == sorted(f"{g // 10}-{g % 10}" for g in range(25))
     assert first_games_of(spark, str(tmp_path), 0).count() == 0
     cut = games_between(spark, str(tmp_path), 15, 22)
-    assert sorted(r["GameID"] for r in cut.collect()) == list(range(16, 23))
+    assert sorted((r["GameID"], r["White"]) for r in cut.collect()) == [(g + 1, f"{g // 10}-{g % 10}") for g in range(15, 22)]
+    assert sorted(p[-5] for p in cut.inputFiles() if p.endswith(".pgn")) == ["1", "2"]
+    assert games_between(spark, str(tmp_path), 500, 600).count() == 0
 
 
 def test_corpus_reads_archives_and_picks_periods(spark, tmp_path):
@@ -169,3 +183,44 @@ def test_archives_are_numbered_and_spread(spark, tmp_path):
     assert "rebalance" in games._jdf.queryExecution().toString().lower()
     plain, _ = numbered_games(spark, str(tmp_path / "b.pgn"))
     assert "rebalance" not in plain._jdf.queryExecution().toString().lower()
+
+
+def test_archives_are_spread_in_every_reader(spark, tmp_path):
+    (tmp_path / "games_2024-08.pgn.zst").write_bytes(zstandard.ZstdCompressor().compress(game("packed").encode() * 40))
+    (tmp_path / "games_2024-09.pgn").write_text(game("plain") * 30)
+    corpus = read_corpus(spark, str(tmp_path))
+    plan = corpus._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions") == 1 and plan.count("Union") == 1
+    assert "RebalancePartitions" in plan.split("Union")[1].split("\n", 2)[2]  # in one branch
+    assert corpus.groupBy("period").count().orderBy("period").collect() == [("2024-08", 40), ("2024-09", 30)]
+
+
+ANY_ORDER = [
+    f'[White "w{k}"]\n[Event "x"]\n\n1. e4 {{ a\n[Event "in"] }} e5 *\n' if k % 2
+    else f'[Result "*"]\n[White "w{k}"]\n\n1. e4\ne5 *\n' for k in range(40)
+]
+
+
+def test_games_that_open_with_any_tag(spark, small_splits, tmp_path):
+    (tmp_path / "a.pgn").write_text("; notes\n\n" + "\n".join(ANY_ORDER))
+    (tmp_path / "b.pgn").write_text("\n\n".join(ANY_ORDER[:3]).replace("w", "v"))
+    got = read_games(spark, str(tmp_path), opening=None).collect()
+    assert sorted((r["White"], " ".join(r["Moves"])) for r in got) == sorted(
+        [(f"w{k}", "e4 e5") for k in range(40)] + [(f"v{k}", "e4 e5") for k in range(3)])
+    games, total = numbered_games(spark, str(tmp_path), opening=None)
+    assert total == 43
+    assert {r["White"]: r["GameID"] for r in games.collect()} == {f"w{k}": k + 1 for k in range(40)} | {f"v{k}": k + 41 for k in range(3)}
+    (tmp_path / "a.pgn").unlink()
+    (tmp_path / "b.pgn").write_bytes("\n".join(ANY_ORDER).replace("\n", "\r\n").encode())
+    assert read_games(spark, str(tmp_path), opening=None, newline="\r\n").count() == 40
+
+
+@pytest.mark.parametrize("text", [
+    "".join(f'[White "w{k}"]\n\n1. e4 *\n\n' for k in range(5)),  # no Event at all
+    "".join(f'[White "w{k}"]\n[Event "x"]\n\n1. e4 *\n\n' for k in range(5)),  # Event not first
+    '[Event "x"]\n[White "w"]\n\n1. e4 { see\n[Event "inner"]\n} e5 *\n',  # a comment cut in two
+])
+def test_wrong_boundaries_stop_with_an_error(spark, tmp_path, text):
+    (tmp_path / "a.pgn").write_text(text)
+    with pytest.raises(Exception, match="not one game per record"):
+        read_games(spark, str(tmp_path)).collect()
