@@ -15,7 +15,7 @@ from gameflow.operators.ranges import assign_batch, assign_chunk, first_games, r
 from gameflow.schema import MESSAGE_FIELDS
 from gameflow.session import scratch_folders
 from gameflow.sources.csv_chunks import read_chunks, write_chunks
-from gameflow.sources.dead_letters import damaged_letters, list_letters, read_letters, remove_letters, write_letter
+from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, sort_letters, write_letter
 from gameflow.sources.messages import encode_messages
 from gameflow.sources.pgn import (
     FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, list_files, parse_records, read_records,
@@ -81,15 +81,14 @@ def replay(spark: SparkSession, dead_letters: str, topic, multi_line: bool = Fal
     removed, and only after the write returned. A crash in between sends them once more, which
     the keyed table absorbs.
     """
-    letters = list_letters(spark, dead_letters)
-    damaged = damaged_letters(spark, letters, multi_line) if letters else []
-    whole = [x for x in letters if x not in damaged]
+    by_line, arrays, damaged = sort_letters(spark, list_letters(spark, dead_letters), multi_line)
     for letter in damaged:
         log.warning("not sent, since it is damaged: %s", letter)
-    if whole:
-        topic.write(encode_messages(read_letters(spark, whole, multi_line)))
-        remove_letters(spark, whole)
-    return Replayed(len(whole), damaged)
+    for letters, over_lines in ((by_line, False), (arrays, True)):
+        if letters:
+            topic.write(encode_messages(read_letters(spark, letters, over_lines)))
+            remove_letters(spark, letters)
+    return Replayed(len(by_line) + len(arrays), damaged)
 
 
 class Ingested(NamedTuple):

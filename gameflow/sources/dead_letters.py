@@ -45,14 +45,46 @@ def _reader(spark: SparkSession, multi_line: bool, mode: str, *extra: T.StructFi
     return reader.option("multiLine", str(multi_line).lower())
 
 
+def _named(letters: list[str], found: DataFrame) -> list[str]:
+    """Those of the letters whose names are in the column ``letter``, of which there are few."""
+    names = {unquote(r["letter"]) for r in found.collect()}
+    return [x for x in letters if unquote(x.rsplit("/", 1)[1]) in names]
+
+
+def _letter_name():
+    return F.regexp_extract("_metadata.file_path", r"([^/]*failed_(?:batch|df)_[^/]*\.json)", 1).alias("letter")
+
+
 def damaged_letters(spark: SparkSession, letters: list[str], multi_line: bool = False) -> list[str]:
     """Those of the letters that hold something else than whole records."""
+    if not letters:
+        return []
     bad = T.StructField("_bad", T.StringType())
     rows = _reader(spark, multi_line, "PERMISSIVE", bad).option("columnNameOfCorruptRecord", "_bad").json(letters)
-    letter = F.regexp_extract("_metadata.file_path", r"([^/]*failed_(?:batch|df)_[^/]*\.json)", 1)
-    counted = rows.groupBy(letter.alias("letter")).agg(F.count("_bad").alias("n"), F.count("GameID"))
-    names = {unquote(r["letter"]) for r in counted.filter("n > 0").collect()}
-    return [x for x in letters if unquote(x.rsplit("/", 1)[1]) in names]
+    counted = rows.groupBy(_letter_name()).agg(F.count("_bad").alias("n"), F.count("GameID"))
+    return _named(letters, counted.filter("n > 0"))
+
+
+def sort_letters(
+    spark: SparkSession, letters: list[str], multi_line: bool = False
+) -> tuple[list[str], list[str], list[str]]:
+    """The letters to be read by line, those that are one array over several lines (if these are
+    looked for), and the damaged ones.
+
+    Only what cannot be read by line and is one array from its first to its last character is read
+    as such: read over several lines, a file gives its first value and drops the rest.
+    """
+    damaged = damaged_letters(spark, letters)
+    by_line = [x for x in letters if x not in damaged]
+    if not (multi_line and damaged):
+        return by_line, [], damaged
+    text = F.btrim("value", F.lit(" \t\r\n"))
+    whole = spark.read.text(damaged, wholetext=True)
+    whole = whole.filter(F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]")))
+    arrays = _named(damaged, whole.select(_letter_name()))
+    broken = damaged_letters(spark, arrays, multi_line=True)
+    arrays = [x for x in arrays if x not in broken]
+    return by_line, arrays, [x for x in damaged if x not in arrays]
 
 
 def read_letters(spark: SparkSession, letters: list[str], multi_line: bool = False) -> DataFrame:
