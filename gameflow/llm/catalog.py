@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gameflow.llm import decontam, htmltext, katz, mixing, quality, quotes, simhash, suffixes, tokens, warc
 

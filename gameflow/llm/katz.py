@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from gameflow.llm.store import bucketed, stored, temporarily
 from gameflow.llm.texts import blocks, chain, runs, word_hashes
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 5 << 20
 #: Bytes of text for each partition of the tables.
 PARTITION_BYTES = 6 << 20
 GT_COUNTS = 5
