@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gameflow.llm.passages import repeated_passages
 from gameflow.llm.store import stored, temporarily
 from gameflow.llm.texts import Block, as_bytes, blocks, chain, mix, prefix_hashes, range_hashes
 
@@ -407,9 +408,14 @@ def _whole_characters(text: bytes, runs: list[list[int]]) -> list[list[int]]:
     return result
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
+def _with_spans(docs: DataFrame, words: int | None = None) -> DataFrame:
     keyed = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn("th", F.xxhash64("text"))
-    spans = repeated_spans(keyed.select("doc_id", "th", "text")).withColumnsRenamed({"doc_id": "__doc", "th": "__th"})
+    slim = keyed.select("doc_id", "th", "text")
+    spans = repeated_spans(slim)
+    if words:
+        both = spans.union(repeated_passages(slim, words))
+        spans = both.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = spans.withColumnsRenamed({"doc_id": "__doc", "th": "__th"})
     return keyed.join(spans, keyed["doc_id"].eqNullSafe(spans["__doc"]) & (keyed["th"] == spans["__th"]), "left")
 
 
@@ -442,9 +448,12 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length_column: str | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, length_column: str | None = None, words: int | None = None) -> DataFrame:
     """``docs`` with all columns, ``text`` without its repeats (whole characters only) and, if it
-    is named, ``length_column`` as the number of characters left."""
+    is named, ``length_column`` as the number of characters left.
+
+    With ``words``, runs of so many words that stand elsewhere too go as well, however short.
+    """
     names = docs.columns
     types = dict(docs.dtypes)
     whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
@@ -457,7 +466,7 @@ def remove_repeats(docs: DataFrame, length_column: str | None = None) -> DataFra
                 texts.append(_kept(text, _whole_characters(text, _merged(spans.as_py()))).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["__row", "__text"])
 
-    joined = _with_spans(whole)
+    joined = _with_spans(whole, words)
     cleaned = joined.where("spans is not null").select("__row", "text", "spans").mapInArrow(
         run, f"__row {dict(whole.dtypes)['__row']}, __text string"
     )

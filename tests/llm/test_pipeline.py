@@ -114,3 +114,18 @@ def test_quality_of_odd_rows(spark):
 def test_suffix_length_column_is_optional(spark):
     frame = spark.createDataFrame([(1, "ab", 7)], "doc_id long, text string, n_chars int")
     assert suffixes.remove_repeats(frame).collect()[0].n_chars == 7
+
+
+def test_repeat_stage_takes_passages_of_51_words(spark):
+    rng = random.Random(13)
+    passages = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(n)) for n in (51, 51, 50, 58)]
+    rows = [(2 * k + j, f"{words(rng, 70)}{sep}{p}{sep}{words(rng, j * 30)}") for k, p in enumerate(passages) for j, sep in enumerate((" ", "\n"))]
+    rows += [(8, "é " + " ".join(passages[0].split()[:50]) + " other"), (9, None), (10, passages[3].replace(" ", "  "))]
+    rows = [(d, t, "en", "s", len(t or "")) for d, t in rows]
+    got = {r.doc_id: r for r in corpus_pipeline.repeat_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert len(got) == len(rows)
+    for d, text, *_ in rows:
+        p = passages[d // 2] if d < 8 and d // 2 != 2 else None
+        left = text.replace(p, "") if p else text
+        assert (got[d].text or "") == ("" if d == 10 else left or ""), d
+        assert d == 9 or got[d].n_chars == len(got[d].text)
