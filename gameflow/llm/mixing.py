@@ -9,7 +9,7 @@ on its own, so slots are dealt to tasks like any range.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,6 +20,10 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MAX_PASSES = 2
 BLOCK_WORDS = 256
+#: With blocks of its own size: slots that a source's target takes at least, if it has as many
+#: words, and slots by which its stretch is longer, so that it surely gets those it needs.
+LEAST_SLOTS = 64
+SPARE_SLOTS = 16
 SEED = "mix-1"
 #: The golden ratio in 31 bits: odd, so ``i * GOLDEN % 2**31`` visits every point once.
 POINTS = 1 << 31
@@ -67,6 +71,30 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def _own_blocks(targets: DataFrame) -> DataFrame:
+    """``targets`` with blocks by source: ``long_blocks`` of ``block_words`` + 1 words and the rest of
+    ``block_words``, the slots that its target ``needs``, and stretches by slots."""
+    words = F.least(F.lit(BLOCK_WORDS), F.greatest(F.col("target") / LEAST_SLOTS, F.lit(1.0)))
+    blocks = F.greatest(F.least(F.col("source_size"), F.ceil(F.col("source_size") / words)), F.lit(1))
+    share = F.col("target") / F.greatest("source_size", F.lit(1))
+    upto, total = F.sum(F.col("needs") + SPARE_SLOTS).over(Window.orderBy("sid")), F.sum(F.col("needs") + SPARE_SLOTS).over(Window.partitionBy(F.lit(0)))
+    return (
+        targets.drop("start", "end").withColumn("blocks", blocks).withColumn("needs", F.round(share * F.col("blocks")).cast("long"))
+        .withColumn("block_words", F.expr("source_size div blocks")).withColumn("long_blocks", F.col("source_size") % F.col("blocks"))
+        .withColumn("slots", total).withColumn("end", F.floor(upto / total * POINTS).cast("long"))
+        .withColumn("start", F.coalesce(F.lag("end").over(Window.orderBy("sid")), F.lit(0)))
+    )
+
+
+def _even_blocks(targets: DataFrame, words: int) -> DataFrame:
+    """``targets`` with the columns of :func:`_own_blocks` for blocks of ``BLOCK_WORDS`` words."""
+    blocks = F.ceil(F.col("source_size") / BLOCK_WORDS)
+    return targets.withColumns({
+        "blocks": blocks, "needs": MAX_PASSES * blocks, "block_words": F.lit(BLOCK_WORDS).cast("long"),
+        "long_blocks": F.lit(0).cast("long"), "slots": F.lit(-(-words // BLOCK_WORDS)).cast("long"),
+    })
+
+
 def sequences(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents with ``sid``, ``source_size``, ``target`` and ``from_word``: their place in
     the hashed word sequence of their source.
@@ -74,7 +102,9 @@ def sequences(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     Running sums go over hash buckets first, then within each, so a source with most rows is
     still spread over many tasks.
     """
-    known = targets.select(F.col("source").alias("__source"), "sid", "source_size", "target")
+    known = targets.select(
+        F.col("source").alias("__source"), "sid", "source_size", "target", "block_words", "long_blocks"
+    )
     order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|" + SEED)))
     placed = (
         sizes.join(known, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -93,23 +123,22 @@ def sequences(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def schedule(targets: DataFrame, words: int) -> DataFrame:
+def schedule(targets: DataFrame) -> DataFrame:
     """One row per slot: ``slot``, ``sid``, ``pass`` and ``block`` of the source.
 
-    ``words`` is the number of words that the mix takes. Slots are ranked per source by counts
-    per stretch of slots and ranks within each stretch.
+    Slots are ranked per source by counts per stretch of slots and ranks within each stretch.
     """
     spark = targets.sparkSession
-    slots = -(-words // BLOCK_WORDS)
+    slots = targets.agg(F.max("slots")).first()[0] or 0
     stretch = max(1024, slots // 100_000)
     lookup = targets.where("end > start").withColumn(
         "cell", F.explode(F.sequence(F.floor(F.col("start") / CELL_POINTS), F.floor((F.col("end") - 1) / CELL_POINTS)))
-    ).select("sid", "start", "end", "cell", F.ceil(F.col("source_size") / BLOCK_WORDS).alias("blocks"))
+    ).select("sid", "start", "end", "cell", "blocks", "needs")
     at = (F.col("id") % POINTS) * GOLDEN % POINTS
     drawn = (
         spark.range(slots).withColumn("at", at).withColumn("cell", F.floor(F.col("at") / CELL_POINTS))
         .join(lookup, "cell").where("at >= start and at < end")
-        .select(F.col("id").alias("slot"), "sid", "blocks", F.floor(F.col("id") / stretch).alias("stretch"))
+        .select(F.col("id").alias("slot"), "sid", "blocks", "needs", F.floor(F.col("id") / stretch).alias("stretch"))
     )
     counts = drawn.groupBy("sid", "stretch").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("sid").orderBy("stretch")) - F.col("n")
@@ -117,7 +146,7 @@ def schedule(targets: DataFrame, words: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("sid", "stretch").orderBy("slot")) - 1 + F.col("before")
     return (
         drawn.join(counts, (F.col("sid") == F.col("__sid")) & (F.col("stretch") == F.col("__stretch")))
-        .withColumn("rank", rank).where(F.col("rank") < MAX_PASSES * F.col("blocks"))
+        .withColumn("rank", rank).where(F.col("rank") < F.col("needs"))
         .select("slot", "sid", F.floor(F.col("rank") / F.col("blocks")).alias("pass"),
                 (F.col("rank") % F.col("blocks")).alias("block"))
     )
@@ -128,26 +157,39 @@ def pieces(placed: DataFrame) -> DataFrame:
 
     A document without words has one row with null ``block``.
     """
+    def block_of(word: Column) -> Column:
+        size, after = F.col("block_words"), word - F.col("long_blocks") * (F.col("block_words") + 1)
+        return F.when(after < 0, F.floor(word / (size + 1))).otherwise(F.col("long_blocks") + F.floor(after / size))
+
+    def start_of(block: Column) -> Column:
+        return block * F.col("block_words") + F.least(block, F.col("long_blocks"))
+
     last = F.col("from_word") + F.col("size")
-    first_block, last_block = F.floor(F.col("from_word") / BLOCK_WORDS), F.floor((last - 1) / BLOCK_WORDS)
-    cut = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first_block, last_block))))
-    inside = F.least(last, (F.col("block") + 1) * BLOCK_WORDS) - F.greatest("from_word", F.col("block") * BLOCK_WORDS)
+    blocks = F.sequence(block_of(F.col("from_word")), block_of(last - 1))
+    cut = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, blocks)))
+    inside = F.least(last, start_of(F.col("block") + 1)) - F.greatest(F.col("from_word"), start_of(F.col("block")))
     return cut.withColumn("words", F.coalesce(inside, F.lit(0)))
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
+def mix_sources(docs: DataFrame, own_blocks: bool = False) -> DataFrame:
     """Per row of ``docs(doc_id, text, source)``: ``size``, ``source_size``, ``target``, ``taken``.
 
     ``taken`` counts the words of the row in all blocks that the schedule plays, repeats
     included; a block is played once per pass and there are ``MAX_PASSES`` passes at most.
     Null texts have no words; the null source comes last; repeated rows are taken one by one;
     an empty table gives an empty result. Other columns are not used. Reruns agree.
+
+    Blocks have ``BLOCK_WORDS`` words in all sources, so a small source misses its target by up to
+    some blocks. With ``own_blocks`` each source is cut by its own size and target and comes near
+    the target whatever its size.
     """
     spark = docs.sparkSession
     sizes = stored(spark, sized(docs), "mix-sizes")
     words = sizes.agg(F.sum("size")).first()[0] or 0
-    targets = stored(spark, source_targets(sizes), "mix-targets")
-    plays = schedule(targets, -(-words * SHARE_PERCENT // 100)).groupBy("sid", "block").agg(F.count("*").alias("plays"))
+    targets = source_targets(sizes)
+    targets = _own_blocks(targets) if own_blocks else _even_blocks(targets, -(-words * SHARE_PERCENT // 100))
+    targets = stored(spark, targets, "mix-targets")
+    plays = schedule(targets).groupBy("sid", "block").agg(F.count("*").alias("plays"))
     plays = plays.select(F.col("sid").alias("__sid"), F.col("block").alias("__block"), "plays")
     cut = pieces(sequences(sizes, targets))
     taken = F.sum(F.col("words") * F.coalesce("plays", F.lit(0)))

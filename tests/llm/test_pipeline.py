@@ -98,6 +98,21 @@ def test_mix_is_near_its_targets(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mix_stage_serves_small_sources(spark):
+    small = {f"t{n:04}": n for n in (1, 7, 40, 41, 90, 255, 256, 257, 260, 300, 520, 777, 1000)}
+    rows = [(k, "w " * 500, "a" if k % 2 else "b") for k in range(200)]
+    for s, n in small.items():
+        rows += [(len(rows), "w " * (n // 3), s), (len(rows) + 1, "w " * (n - n // 3), s)]
+    got = corpus_pipeline.mixing_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    taken, target = {}, {r.source: r.target for r in got}
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 0.02 * target[s], s
+    assert all(target[s] == taken[s] == 2 * n for s, n in small.items())
+
+
 def test_quality_of_odd_rows(spark):
     rows = [(1, None, None, None, "x"), (2, "", "en", None, "x"), (3, "a b " * 40, None, "s", "x"), (3, "a b " * 40, None, "s", "x"),
             (None, " ".join(f"w{k}" for k in range(80)), "en", "s", "x")]
