@@ -136,38 +136,47 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+#: The level of the sources that are not full is found here by resharing until no more is left over.
 OP9_SQL = r"""
-WITH sizes AS (
+WITH RECURSIVE sizes AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
-numbered AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM src),
 weighed AS (
-  SELECT *, [3, 1, 2][(sid % 3 + 1)::INT] AS weight, 2 * source_size AS cap,
-         (sum(source_size) OVER () * 150 / 100)::DOUBLE AS mix FROM numbered),
-filled AS (
-  SELECT *, cap / weight AS ratio, (mix - (sum(cap) OVER f - cap)) / (sum(weight) OVER () - (sum(weight) OVER f - weight)) AS l
-  FROM weighed WINDOW f AS (ORDER BY cap / weight, sid)),
-levels AS (SELECT *, min(CASE WHEN l < ratio THEN l END) OVER () AS level FROM filled),
+  SELECT source, source_size, sid, [3, 1, 2][(sid % 3 + 1)::INT] AS weight, 2 * source_size AS cap
+  FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM src)),
+reshared AS (
+  SELECT 0 AS round, (SELECT sum(source_size) * 1.5 FROM weighed)::DOUBLE / (SELECT sum(weight) FROM weighed)::DOUBLE AS level
+  UNION ALL
+  SELECT round + 1, left_over / open_weight
+  FROM (SELECT round, level, sum(source_size) * 1.5::DOUBLE - sum(CASE WHEN cap < level * weight THEN cap ELSE 0 END)::DOUBLE AS left_over,
+               sum(CASE WHEN cap < level * weight THEN 0 ELSE weight END)::DOUBLE AS open_weight
+        FROM reshared, weighed GROUP BY round, level)
+  WHERE open_weight > 0 AND left_over / open_weight > level),
 targets AS (
-  SELECT source, sid, source_size, mix, CASE WHEN level IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, level * weight) END AS target FROM levels),
-stretches AS (
-  SELECT *, CASE WHEN sid = max(sid) OVER () THEN 2147483648 ELSE floor(sum(target) OVER (ORDER BY sid) / greatest(mix, 1.0) * 2147483648)::BIGINT END AS stop
-  FROM targets),
-bounds AS (SELECT *, coalesce(lag(stop) OVER (ORDER BY sid), 0) AS start FROM stretches),
+  SELECT source, sid, source_size, least(cap::DOUBLE, (SELECT max(level) FROM reshared) * weight) AS target FROM weighed),
+cut AS (
+  SELECT *, greatest(least(source_size, ceil(source_size / least(256.0::DOUBLE, greatest(target / 64, 1.0::DOUBLE)))::BIGINT), 1) AS blocks FROM targets),
+needed AS (
+  SELECT *, round(target / greatest(source_size, 1) * blocks)::BIGINT AS needs, source_size // blocks AS short, source_size % blocks AS longer FROM cut),
+bounds AS (
+  SELECT *, floor((sum(needs + 16) OVER (ORDER BY sid))::DOUBLE / (sum(needs + 16) OVER ())::DOUBLE * 2147483648)::BIGINT AS stop FROM needed),
 slots AS (
   SELECT i AS slot, (i % 2147483648) * 1327217885 % 2147483648 AS point
-  FROM (SELECT unnest(range(CAST((SELECT (ceil(sum(size) * 3 / 2) + 255) // 256 FROM sizes) AS BIGINT))) AS i)),
+  FROM (SELECT unnest(range(CAST((SELECT sum(needs + 16) FROM needed) AS BIGINT))) AS i)),
 ranked AS (
-  SELECT b.sid, (source_size + 255) // 256 AS blocks, row_number() OVER (PARTITION BY b.sid ORDER BY slot) - 1 AS r
-  FROM slots JOIN bounds b ON point >= start AND point < stop),
-plays AS (SELECT sid, r % blocks AS block, count(*) AS plays FROM ranked WHERE r < 2 * blocks GROUP BY ALL),
+  SELECT b.sid, blocks, needs, row_number() OVER (PARTITION BY b.sid ORDER BY slot) - 1 AS r
+  FROM slots JOIN (SELECT *, coalesce(lag(stop) OVER (ORDER BY sid), 0) AS start FROM bounds) b ON point >= start AND point < stop),
+plays AS (SELECT sid, r % blocks AS block, count(*) AS plays FROM ranked WHERE r < needs GROUP BY ALL),
+played AS (
+  SELECT p.sid, plays, block * short + least(block, longer) AS first, (block + 1) * short + least(block + 1, longer) AS last
+  FROM plays p JOIN needed n ON n.sid = p.sid),
 placed AS (
   SELECT doc_id, s.source, size, t.sid, source_size, target,
          sum(size) OVER (PARTITION BY t.sid ORDER BY md5(concat(doc_id::VARCHAR, '|mix-1')), doc_id ROWS UNBOUNDED PRECEDING) - size AS a
-  FROM sizes s JOIN bounds t ON s.source IS NOT DISTINCT FROM t.source),
+  FROM sizes s JOIN needed t ON s.source IS NOT DISTINCT FROM t.source),
 taken AS (
-  SELECT doc_id, sum((least(a + size, (p.block + 1) * 256) - greatest(a, p.block * 256)) * plays)::BIGINT AS taken
-  FROM placed JOIN plays p ON p.sid = placed.sid AND p.block * 256 < a + size AND (p.block + 1) * 256 > a
+  SELECT doc_id, sum((least(a + size, last) - greatest(a, first)) * plays)::BIGINT AS taken
+  FROM placed JOIN played p ON p.sid = placed.sid AND first < a + size AND last > a
   WHERE size > 0 GROUP BY doc_id)
 SELECT doc_id, source, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM placed LEFT JOIN taken USING (doc_id)

@@ -1,7 +1,7 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 Documents of a source, in hashed order, form one sequence of words that is cut into blocks of
-equally many words. Slot ``i`` of the schedule is the point ``i * golden ratio`` modulo 1; the
+equally many words, smaller ones in a small source, so that each source can come near its target. Slot ``i`` of the schedule is the point ``i * golden ratio`` modulo 1; the
 source whose stretch of the cumulative weights holds that point gives the slot its next block.
 Every prefix of the schedule is then mixed close to the weights, and any slot can be computed
 on its own, so slots are dealt to tasks like any range.
@@ -20,8 +20,8 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MAX_PASSES = 2
 BLOCK_WORDS = 256
-#: With blocks of its own size: slots that a source's target takes at least, if it has as many
-#: words, and slots by which its stretch is longer, so that it surely gets those it needs.
+#: Slots that a source's target takes at least, if it has as many words, and slots by which its
+#: stretch is longer, so that it surely gets those it needs.
 LEAST_SLOTS = 64
 SPARE_SLOTS = 16
 SEED = "mix-1"
@@ -40,11 +40,13 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """One row per source: ``sid``, ``source_size``, ``target`` and its stretch of points.
+    """One row per source: ``sid``, ``source_size`` and ``target``.
 
-    A source is full when its weight's part would exceed ``MAX_PASSES`` times its words. Sources
-    fill up in the order of cap over weight, so the level at which the others stay is the first
-    one that the next source's cap exceeds. All windows here have one row per source.
+    A source is full when its weight's part would exceed ``MAX_PASSES`` times its words. The words
+    that the sources give at a level (words per weight) are the least of the lines in which the
+    first few sources, in the order of cap over weight, are full and the others rise; so the level
+    that gives the mix is the largest of those at which the lines do. All windows here have one row
+    per source. Targets are never negative and their sum is the mix.
     """
     ordered = Window.orderBy(F.col("source").asc_nulls_last())
     filling = Window.orderBy("ratio", "sid")
@@ -53,48 +55,34 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     place = F.row_number().over(ordered) - 1
     weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("sid") % len(WEIGHTS) + 1).cast("int"))
     cap = MAX_PASSES * F.col("source_size")
-    levels = (
+    return (
         sources.withColumn("sid", place).withColumn("weight", weight).withColumn("ratio", cap / F.col("weight"))
         .withColumn("mix", F.sum("source_size").over(everything) * SHARE_PERCENT / 100)
         .withColumn("level", (F.col("mix") - (F.sum(cap).over(filling) - cap))
                     / (F.sum("weight").over(everything) - (F.sum("weight").over(filling) - F.col("weight"))))
-        .withColumn("level", F.min(F.when(F.col("level") < F.col("ratio"), F.col("level"))).over(everything))
-        .withColumn("target", F.when(F.col("level").isNull(), cap.cast("double"))
-                    .otherwise(F.least(cap.cast("double"), F.col("level") * F.col("weight"))))
-        .withColumn("upto", F.sum("target").over(Window.orderBy("sid")))
-    )
-    end = F.floor(F.col("upto") / F.greatest("mix", F.lit(1.0)) * POINTS).cast("long")
-    return (
-        levels.withColumn("end", F.when(F.col("sid") == F.max("sid").over(everything), F.lit(POINTS)).otherwise(end))
-        .withColumn("start", F.coalesce(F.lag("end").over(Window.orderBy("sid")), F.lit(0)))
-        .select("source", "sid", "source_size", "target", "start", "end")
+        .withColumn("level", F.max("level").over(everything))
+        .select("source", "sid", "source_size",
+                F.least(cap.cast("double"), F.col("level") * F.col("weight")).alias("target"))
     )
 
 
-def _own_blocks(targets: DataFrame) -> DataFrame:
-    """``targets`` with blocks by source: ``long_blocks`` of ``block_words`` + 1 words and the rest of
-    ``block_words``, the slots that its target ``needs``, and stretches by slots."""
+def source_blocks(targets: DataFrame) -> DataFrame:
+    """``targets`` with how each source is cut and where it stands in the schedule: ``long_blocks``
+    of ``block_words`` + 1 words and the rest of ``blocks`` of ``block_words``, the slots that its
+    target ``needs``, all ``slots``, and its stretch of points from ``start`` to ``end``."""
     words = F.least(F.lit(BLOCK_WORDS), F.greatest(F.col("target") / LEAST_SLOTS, F.lit(1.0)))
     blocks = F.greatest(F.least(F.col("source_size"), F.ceil(F.col("source_size") / words)), F.lit(1))
     share = F.col("target") / F.greatest("source_size", F.lit(1))
-    upto, total = F.sum(F.col("needs") + SPARE_SLOTS).over(Window.orderBy("sid")), F.sum(F.col("needs") + SPARE_SLOTS).over(Window.partitionBy(F.lit(0)))
+    upto = F.sum(F.col("needs") + SPARE_SLOTS).over(Window.orderBy("sid"))
+    total = F.sum(F.col("needs") + SPARE_SLOTS).over(Window.partitionBy(F.lit(0)))
     return (
-        targets.drop("start", "end").withColumn("blocks", blocks).withColumn("needs", F.round(share * F.col("blocks")).cast("long"))
+        targets.withColumn("blocks", blocks).withColumn("needs", F.round(share * F.col("blocks")).cast("long"))
         .withColumn("block_words", F.expr("source_size div blocks")).withColumn("long_blocks", F.col("source_size") % F.col("blocks"))
         .withColumn("slots", total).withColumn("end", F.floor(upto / total * POINTS).cast("long"))
         .withColumn("start", F.coalesce(F.lag("end").over(Window.orderBy("sid")), F.lit(0)))
     )
 
 
-def _even_blocks(targets: DataFrame, words: int) -> DataFrame:
-    """``targets`` with the columns of :func:`_own_blocks` for blocks of ``BLOCK_WORDS`` words."""
-    blocks = F.ceil(F.col("source_size") / BLOCK_WORDS)
-    return targets.withColumns({
-        "blocks": blocks, "needs": MAX_PASSES * blocks, "block_words": F.lit(BLOCK_WORDS).cast("long"),
-        "long_blocks": F.lit(0).cast("long"), "slots": F.lit(-(-words // BLOCK_WORDS)).cast("long"),
-    })
-
-
 def sequences(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Documents with ``sid``, ``source_size``, ``target`` and ``from_word``: their place in
     the hashed word sequence of their source.
@@ -171,24 +159,19 @@ def pieces(placed: DataFrame) -> DataFrame:
     return cut.withColumn("words", F.coalesce(inside, F.lit(0)))
 
 
-def mix_sources(docs: DataFrame, own_blocks: bool = False) -> DataFrame:
+def mix_sources(docs: DataFrame) -> DataFrame:
     """Per row of ``docs(doc_id, text, source)``: ``size``, ``source_size``, ``target``, ``taken``.
 
     ``taken`` counts the words of the row in all blocks that the schedule plays, repeats
-    included; a block is played once per pass and there are ``MAX_PASSES`` passes at most.
-    Null texts have no words; the null source comes last; repeated rows are taken one by one;
-    an empty table gives an empty result. Other columns are not used. Reruns agree.
-
-    Blocks have ``BLOCK_WORDS`` words in all sources, so a small source misses its target by up to
-    some blocks. With ``own_blocks`` each source is cut by its own size and target and comes near
-    the target whatever its size.
+    included; a block is played once per pass and there are ``MAX_PASSES`` passes at most. A
+    source's taken words differ from its target by half a block at most, and a block is a 64th of
+    the target or less, if the source has as many words. Null texts have no words; the null source
+    comes last; repeated rows are taken one by one; an empty table gives an empty result. Other
+    columns are not used. Reruns agree.
     """
     spark = docs.sparkSession
     sizes = stored(spark, sized(docs), "mix-sizes")
-    words = sizes.agg(F.sum("size")).first()[0] or 0
-    targets = source_targets(sizes)
-    targets = _own_blocks(targets) if own_blocks else _even_blocks(targets, -(-words * SHARE_PERCENT // 100))
-    targets = stored(spark, targets, "mix-targets")
+    targets = stored(spark, source_blocks(source_targets(sizes)), "mix-targets")
     plays = schedule(targets).groupBy("sid", "block").agg(F.count("*").alias("plays"))
     plays = plays.select(F.col("sid").alias("__sid"), F.col("block").alias("__block"), "plays")
     cut = pieces(sequences(sizes, targets))
