@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gameflow.llm import decontam, htmltext, katz, mixing, quality, quotes, simhash, suffixes, tokens, warc
+from gameflow.llm import (
+    codes, collocations, decontam, htmltext, katz, mixing, quality, quotes, simhash, suffixes, tokens, toxicity, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -201,13 +203,98 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(rounds: int = 6) -> str:
+    """The rounds written out one after the other, in integers, with a row per component."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+d{k} AS MATERIALIZED (
+  SELECT p.id, p.part, e.entry, sum((p.x - e.x) * (p.x - e.x)) AS d
+  FROM parts p JOIN e{k} e ON e.part = p.part AND e.pos = p.pos GROUP BY p.id, p.part, e.entry),
+a{k} AS MATERIALIZED (
+  SELECT id, part, entry, d FROM (SELECT *, row_number() OVER (PARTITION BY id, part ORDER BY d, entry) AS r FROM d{k}) WHERE r = 1),
+m{k} AS (
+  SELECT a.part, a.entry, p.pos, sum(p.x)::BIGINT AS s, count(*)::BIGINT AS n
+  FROM a{k} a JOIN parts p ON p.id = a.id AND p.part = a.part GROUP BY a.part, a.entry, p.pos),
+e{k + 1} AS MATERIALIZED (
+  SELECT e.part, e.entry, e.pos, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, e.x) AS x
+  FROM e{k} e LEFT JOIN m{k} m ON m.part = e.part AND m.entry = e.entry AND m.pos = e.pos)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id AS id, label, [floor(4096 * v::DOUBLE)::BIGINT FOR v IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = len(embedding)),
+parts AS MATERIALIZED (
+  SELECT id, (i - 1) // (n // 8) AS part, (i - 1) % (n // 8) AS pos, v[i] AS x
+  FROM (SELECT id, v, len(v) AS n, unnest(range(1, len(v) + 1)) AS i FROM kept)),
+firsts AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS entry FROM kept ORDER BY id LIMIT 16),
+e0 AS MATERIALIZED (SELECT p.part, f.entry, p.pos, p.x FROM firsts f JOIN parts p ON p.id = f.id),{",".join(steps)},
+coded AS (
+  SELECT a.id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} a GROUP BY a.id),
+book AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM e{rounds})
+SELECT id AS vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (id), book
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f1 AS (SELECT lang, p, count(*) AS n FROM (SELECT lang, unnest(w) AS p FROM w) GROUP BY ALL),
+f2 AS (
+  SELECT lang, u, v, count(*) AS n FROM (SELECT lang, w[i] AS u, w[i + 1] AS v FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w))
+  GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (
+  SELECT lang, u, v, x, count(*) AS n
+  FROM (SELECT lang, w[i] AS u, w[i + 1] AS v, w[i + 2] AS x FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w))
+  GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, u, v, max(n) AS n FROM (SELECT lang, u, v, n FROM f3 UNION ALL SELECT lang, v AS u, x AS v, n FROM f3) GROUP BY lang, u, v),
+cuts AS (
+  SELECT f.lang, f.u || ' ' || f.v AS phrase, 1 AS k, f.n AS a, p.n AS l, q.n AS r
+  FROM f2 f JOIN f1 p ON p.lang = f.lang AND p.p = f.u JOIN f1 q ON q.lang = f.lang AND q.p = f.v
+  LEFT JOIN longer g ON g.lang = f.lang AND g.u = f.u AND g.v = f.v WHERE 100 * coalesce(g.n, 0) < 50 * f.n
+  UNION ALL
+  SELECT f.lang, f.u || ' ' || f.v || ' ' || f.x, 1, f.n, p.n, q.n
+  FROM f3 f JOIN f1 p ON p.lang = f.lang AND p.p = f.u JOIN f2 q ON q.lang = f.lang AND q.u = f.v AND q.v = f.x
+  UNION ALL
+  SELECT f.lang, f.u || ' ' || f.v || ' ' || f.x, 2, f.n, p.n, q.n
+  FROM f3 f JOIN f2 p ON p.lang = f.lang AND p.u = f.u AND p.v = f.v JOIN f1 q ON q.lang = f.lang AND q.p = f.x),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE cut = 1)
+SELECT ranked.lang, rank, phrase, a, l, r, t.n, score
+FROM ranked JOIN (SELECT lang, sum(n)::BIGINT AS n FROM f1 GROUP BY lang) t ON t.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_benchmark_decontamination, op2_quotation_linking, op3_visible_text, op4_quality_rules, op5_simhash_components,
         op6_suffix_dedup, op7_katz_scores, op8_length_histogram, op9_source_mix, op10_warc_salvage,
+        op11_toxicity_scores, op12_vector_codes, op13_collocations,
     )
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_quotation_linking": OP2_SQL, "op4_quality_rules": OP4_SQL, "op9_source_mix": OP9_SQL, "op10_warc_salvage": OP10_SQL,
+    "op12_vector_codes": OP12_SQL, "op13_collocations": OP13_SQL,
 }
