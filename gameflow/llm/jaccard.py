@@ -4,8 +4,13 @@ Each text gets ``BANDS`` band values of ``ROWS`` minima each; two texts of simil
 none of them with a probability of 5e-5, of 0.9 with 1e-10. Texts that agree on a band are
 candidates, and the shingle sets themselves decide. Only what joins components is compared: first
 each text with the smallest one it meets, then, where a bucket still holds several components,
-each text with the likest of another component, and at last all pairs of different components
-that sketches do not rule out.
+each text with the likest of another component. What is then still open is decided inside the
+buckets, which get the shingle sets of the texts in question: each pair of different components
+that sketches do not rule out is compared in the first band on which it agrees, and only links that
+join components leave the task. So no step gives more rows than texts times bands.
+
+A bucket of many texts is dealt out in parts, each pair of which is a group of its own, so that a
+group has a bounded size and a hot bucket is spread over tasks.
 """
 
 from __future__ import annotations
@@ -14,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gameflow.llm.components import connected
 from gameflow.llm.store import stored
-from gameflow.llm.texts import BASE, Block, blocks, chain, mix, powers, u64, word_hashes
+from gameflow.llm.texts import BASE, Block, blocks, chain, mix, powers, runs, u64, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILAR = 0.8
@@ -29,8 +35,11 @@ FACTORS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) | u64(1)
 #: Minima of which a byte each is kept, and how many agree at least: at 0.8, 51 are expected, with a deviation of 3.2.
 SKETCH = 64
 AGREE = 35
-#: Rows compared with a bucket at once.
+#: Rows compared with a group at once.
 COMPARED = 64
+#: Rows and shingles of a part of a bucket, about; a group holds one part or two.
+PART_ROWS = 2000
+PART_SHINGLES = 1 << 21
 
 
 def _shingles(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,45 +129,167 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def _across(rows: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs of nodes of different ``root`` in each bucket ``band`` whose sketches are similar."""
+def _groups(rows: DataFrame, units: str = "0") -> DataFrame:
+    """``rows`` with ``part``, ``low`` and ``high``, dealt out and sorted by group ``band``, ``low``, ``high``.
+
+    A small bucket is one group. The rows of a larger one have a part, and go to a group for each
+    other part and to one of their own, so each two rows meet in one group. ``units`` is a column
+    whose sum tells, beside the number of rows, how many parts a bucket has.
+    """
+    spark = rows.sparkSession
+    size = F.greatest(F.count("*") / PART_ROWS, F.sum(F.expr(units)) / PART_SHINGLES)
+    large = rows.groupBy("band").agg(F.ceil(size).alias("parts")).where("parts > 1").withColumnRenamed("band", "__band")
+    large = stored(spark, large, "jaccard-large")
+    dealt = rows.join(large, rows["band"] == large["__band"], "left").drop("__band").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = dealt.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("parts", "other")
+    return dealt.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+
+
+def _each_group(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """The groups of sorted rows, some whole ones at a time, without the ones that may go on."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        same = np.ones(len(table), bool)
+        for name in columns:
+            values = table.column(name).to_numpy()
+            same &= values == values[-1]
+        last = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if last:
+            yield table.slice(0, last)
+            held = table.slice(last).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class _Group:
+    """Rows that are compared with each other."""
+
+    def __init__(self, arrays: dict[str, np.ndarray], at: slice):
+        self.node, self.root, self.sketch, self.part = (arrays[k][at] for k in ("node", "root", "sketch", "part"))
+        self.split = bool(arrays["low"][at.start] != arrays["high"][at.start])
+        self.band = arrays["band"][at.start]
+        self.bands = arrays["bands"][at] if "bands" in arrays else None
+
+    def agreement(self, at: int) -> np.ndarray:
+        """How much the sketches of ``COMPARED`` rows agree with all; 0 where two are not to be compared."""
+        part = slice(at, at + COMPARED)
+        agree = np.stack([(self.sketch == s).sum(axis=1) for s in self.sketch[part]])
+        agree[self.root[part][:, None] == self.root[None, :]] = 0
+        if self.split:  # two rows of one part meet in another group
+            agree[self.part[part][:, None] == self.part[None, :]] = 0
+        return agree
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs ``i < j`` of different components whose sketches are similar and that agree on no earlier band."""
+        for at in range(0, len(self.node), COMPARED):
+            i, j = np.nonzero(self.agreement(at) >= AGREE)
+            i += at
+            i, j = i[i < j], j[i < j]
+            same = self.bands[i] == self.bands[j]
+            here = self.bands[i, same.argmax(axis=1)] == self.band
+            yield i[here], j[here]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Group, pa.Table]]:
+    for table in _each_group(batches, ["band", "low", "high"]):
+        table = table.combine_chunks()
+        arrays = {k: table.column(k).to_numpy() for k in ("band", "low", "high", "node", "root", "part")}
+        arrays["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        if "bands" in table.column_names:
+            arrays["bands"] = pa.compute.list_flatten(table.column("bands")).to_numpy().reshape(-1, BANDS)
+        changed = np.zeros(len(table) - 1, bool)
+        for k in ("band", "low", "high"):
+            changed |= arrays[k][1:] != arrays[k][:-1]
+        edges = np.concatenate(([0], np.flatnonzero(changed) + 1, [len(table)])).tolist()
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            if j - i > 1:
+                yield _Group(arrays, slice(i, j)), table.slice(i, j - i)
+
+
+def _best(rows: DataFrame) -> DataFrame:
+    """For each row and group the likest row of another component, if the sketches are similar: pairs ``a``, ``b``."""
 
-    def pairs(node: np.ndarray, root: np.ndarray, sketch: np.ndarray) -> Iterator[np.ndarray]:
-        for at in range(0, len(node), COMPARED):
-            part = slice(at, at + COMPARED)
-            agree = np.stack([(sketch == s).sum(axis=1) for s in sketch[part]])
-            agree[root[part][:, None] == root[None, :]] = 0
-            if best_only:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, _ in _grouped(batches):
+            for at in range(0, len(group.node), COMPARED):
+                agree = group.agreement(at)
                 best = agree.argmax(axis=1)
                 i = np.flatnonzero(agree[np.arange(len(best)), best] >= AGREE)
-                j = best[i]
-            else:
-                i, j = np.nonzero(agree >= AGREE)
-            yield np.stack([node[part][i], node[j]])
+                a, b = group.node[at + i], group.node[best[i]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return _groups(rows).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _in_question(rows: DataFrame) -> DataFrame:
+    """The rows (``band``, ``node``) that have a candidate of another component which they meet in no earlier band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        for group, _ in _grouped(batches):
+            found = np.zeros(len(group.node), bool)
+            for i, j in group.candidates():
+                found[i] = found[j] = True
+            node = group.node[found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), group.band)), pa.array(node)], names=["band", "node"])
 
-        def results(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            band, node, root = (table.column(k).to_numpy() for k in range(3))
-            sketch = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint8).reshape(-1, SKETCH)
-            edges = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1], [True])))
-            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                for a, b in pairs(node[i:j], root[i:j], sketch[i:j]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+    return _groups(rows).mapInArrow(run, "band bigint, node bigint").distinct()
 
+
+def _shingle_sets(texts: DataFrame) -> DataFrame:
+    """``__node``, ``shingles`` (sorted hashes) and ``units`` (how many) of ``texts(node, text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            last = int(np.searchsorted(table.column(0).to_numpy(), table.column(0)[-1].as_py())) if table.num_rows else 0
-            if last:  # the last bucket may go on
-                yield from results(table.slice(0, last))
-                held = table.slice(last).to_batches()
-        if sum(b.num_rows for b in held):
-            yield from results(pa.Table.from_batches(held))
+            for block in blocks(batch.column(1)):
+                hashes, counts, _ = _shingles(block)
+                sets = [np.unique(x) for x in np.split(hashes, np.cumsum(counts)[:-1])]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(block.first, len(block)), pa.array([x.tobytes() for x in sets], pa.binary()),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                ], names=["__node", "shingles", "units"])
+
+    return texts.select("node", "text").mapInArrow(run, "__node bigint, shingles binary, units bigint")
+
+
+def _joining(rows: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that join components within the groups of rows with ``shingles``."""
+
+    def links(group: _Group, shingles: list[bytes]) -> Iterator[tuple[int, int]]:
+        sets = [np.frombuffer(x, np.uint64) for x in shingles]
+        sizes = np.array([len(x) for x in sets])
+        ends = np.cumsum(sizes)
+        known, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        marked_ = np.zeros(len(known), bool)
+        component = np.unique(group.root, return_inverse=True)[1]
+        for i, j in group.candidates():
+            rows, n = runs(i)  # ascending
+            for x, others in zip(rows.tolist(), np.split(j, np.cumsum(n)[:-1]) if len(rows) else [], strict=True):
+                others = others[component[others] != component[x]]
+                if not len(others):
+                    continue
+                own = ids[ends[x] - sizes[x]:ends[x]]
+                marked_[own] = True
+                for y in others.tolist():
+                    if component[y] == component[x]:
+                        continue
+                    shared = int(np.count_nonzero(marked_[ids[ends[y] - sizes[y]:ends[y]]]))
+                    if shared >= SIMILAR * (sizes[x] + sizes[y] - shared) - 1e-9:
+                        component[component == component[y]] = component[x]
+                        yield x, y
+                marked_[own] = False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, table in _grouped(batches):
+            found = np.array(list(links(group, table.column("shingles").to_pylist())), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(group.node[found[:, 0]]), pa.array(group.node[found[:, 1]])], names=["a", "b"])
 
-    dealt = rows.select("band", "node", "root", "sketch").repartition("band").sortWithinPartitions("band")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return _groups(rows, "units").mapInArrow(run, "a bigint, b bigint")
 
 
 def roots(prints: DataFrame, docs: DataFrame) -> DataFrame:
@@ -174,15 +305,15 @@ def roots(prints: DataFrame, docs: DataFrame) -> DataFrame:
     met = bands.join(shared, bands["band"] == shared["__band"]).select("band", "node", "centre")
     met = stored(spark, met, "jaccard-met")  # texts that meet no other are not looked at again
     nodes = met.select(F.col("node").alias("__n")).distinct()
-    known = prints.join(nodes, prints["node"] == nodes["__n"], "left_semi").select("node", "sketch", "best.__doc", "best.__hash")
+    known = prints.join(nodes, prints["node"] == nodes["__n"], "left_semi").select("node", "sketch", "bands", "best.__doc", "best.__hash")
     known = known.withColumnsRenamed({"__doc": "__d", "__hash": "__h"})
     texts = docs.join(known, docs["__doc"].eqNullSafe(known["__d"]) & (docs["__hash"] == known["__h"]))
-    texts = texts.groupBy("node").agg(F.any_value("sketch").alias("sketch"), F.any_value(F.col("text").cast("string")).alias("text"))
+    texts = texts.groupBy("node").agg(F.any_value("sketch").alias("sketch"), F.any_value("bands").alias("bands"), F.any_value(F.col("text").cast("string")).alias("text"))
     texts = stored(spark, texts, "jaccard-texts")
 
     pairs = met.groupBy("node").agg(F.min("centre").alias("a")).where("node <> a").select("a", F.col("node").alias("b"))
     links = stored(spark, _similar(pairs, texts), "jaccard-links")
-    for best_only in (True, False):
+    for last in (False, True):
         ends = stored(spark, connected(links), "jaccard-roots").select(F.col("node").alias("__node"), F.col("root").alias("__root"))
         named = met.join(ends, met["node"] == ends["__node"], "left").select("band", "node", F.coalesce("__root", "node").alias("root"))
         named = stored(spark, named, "jaccard-named")
@@ -191,8 +322,16 @@ def roots(prints: DataFrame, docs: DataFrame) -> DataFrame:
         if mixed.isEmpty():
             break
         open_ = named.join(mixed, named["band"] == mixed["__band"], "left_semi")
-        sketches = texts.select(F.col("node").alias("__node"), "sketch")
-        open_ = open_.join(sketches, open_["node"] == sketches["__node"]).select("band", "node", "root", "sketch")
-        pairs = stored(spark, _across(open_, best_only), "jaccard-pairs")
-        links = stored(spark, links.union(_similar(pairs, texts)), "jaccard-links")
+        details = texts.select(F.col("node").alias("__node"), "sketch", "bands")
+        open_ = open_.join(details, open_["node"] == details["__node"]).drop("__node")
+        if not last:
+            links = stored(spark, links.union(_similar(stored(spark, _best(open_.drop("bands")), "jaccard-pairs"), texts)), "jaccard-links")
+            continue
+        open_ = stored(spark, open_, "jaccard-open")
+        asked = stored(spark, _in_question(open_), "jaccard-asked").withColumnsRenamed({"band": "__band", "node": "__n"})
+        asked = open_.join(asked, (open_["band"] == asked["__band"]) & (open_["node"] == asked["__n"]), "left_semi")
+        sets = texts.join(asked.select(F.col("node").alias("__a")).distinct(), F.col("node") == F.col("__a"), "left_semi")
+        sets = _shingle_sets(sets)
+        asked = stored(spark, asked.join(sets, asked["node"] == sets["__node"]).drop("__node"), "jaccard-asked-sets")
+        links = stored(spark, links.union(_joining(asked)), "jaccard-links")
     return connected(links).select(F.col("node").alias("__node"), "root")

@@ -1,0 +1,100 @@
+"""Kept documents of the near-duplicate stage against all pairs compared one by one."""
+
+import random
+import re
+from itertools import combinations
+
+import pytest
+
+from gameflow.llm import jaccard, simhash
+
+SCHEMA = "doc_id long, text string, bands string, root int"
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    """The smallest doc_id of each component of texts with a similarity of 0.8 or more."""
+    sets = [(d, shingles(t)) for d, t in rows]
+    by_shingle, up = {}, {d: d for d, _ in rows}
+
+    def top(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    for d, s in sets:
+        for x in s or [None]:
+            by_shingle.setdefault(x, []).append(d)
+    shared = {}
+    for members in by_shingle.values():
+        for a, b in combinations(members, 2):
+            shared[a, b] = shared.get((a, b), 0) + 1
+    size = {d: len(s) for d, s in sets}
+    for (a, b), n in shared.items():
+        if n >= 0.8 * (size[a] + size[b] - n) - 1e-9:
+            a, b = top(a), top(b)
+            up[max(a, b)] = min(a, b)
+    return sorted({top(d) for d, _ in rows})
+
+
+def kept(spark, rows):
+    frame = spark.createDataFrame([(d, t, "clash", 1) for d, t in rows], SCHEMA)
+    return sorted(r.doc_id for r in simhash.keep_one(frame).collect())
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**9)}"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """A large group around one text, most of whose members are only like some others."""
+    rng = random.Random(21)
+    base = [f"w{k}" for k in range(150)]
+    texts = [edited(rng, base, rng.choice([0, 1, 2, 3, 4, 5, 6])) for _ in range(120)]
+    for _ in range(20):
+        own = [f"v{rng.randrange(5000)}" for _ in range(rng.randint(6, 90))]
+        texts += [edited(rng, own, rng.randint(0, 2)) for _ in range(rng.randint(1, 4))]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("part", [2000, 7])
+def test_large_group(spark, rows, monkeypatch, part):
+    expected = brute(rows)
+    assert 20 < len(expected) < 100
+    monkeypatch.setattr(jaccard, "PART_ROWS", part)
+    assert kept(spark, rows) == expected
+
+
+def test_given_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    assert kept(spark, rows) == brute(rows)
+
+
+def test_rows_stay_in_proportion(spark, rows, monkeypatch):
+    """What the last step asks for and gives is bounded by texts and bands, not by pairs."""
+    seen = {}
+
+    def counted(name):
+        run = getattr(jaccard, name)
+
+        def step(frame):
+            result = run(frame)
+            seen[name] = (frame.count(), result.count())
+            return result
+
+        monkeypatch.setattr(jaccard, name, step)
+
+    for name in ("_best", "_in_question", "_joining"):
+        counted(name)
+    kept(spark, rows)
+    assert seen
+    assert all(out <= came for came, out in seen.values())
