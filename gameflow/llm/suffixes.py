@@ -323,7 +323,9 @@ def _on_key(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
 
 def _solve(spark: SparkSession, classes: DataFrame, splits: tuple[int, ...]) -> DataFrame:
     """Ranges ``near``..``far`` of repeating windows of classes that share a gram with others."""
-    few, many = _grams_between(classes, 2, MAX_GROUP), _grams_between(classes, MAX_GROUP + 1, None)
+    # Written before they are joined, so that Spark can split a string that stands in most classes.
+    few = stored(spark, _grams_between(classes, 2, MAX_GROUP), "suffix-few")
+    many = stored(spark, _grams_between(classes, MAX_GROUP + 1, None), "suffix-many")
     result = _by_sorting(classes.join(few, classes["gram"] == few["__gram"], "left_semi"))
     if not splits:
         return result
@@ -367,7 +369,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "th", "anchor", "first", "last")
     folded = again.groupBy(*KEY).agg(F.count("*").alias("n"), F.min(place).alias("place")).select(*KEY, "n", "place.*")
     folded = stored(spark, folded, "suffix-classes")
-    several = _grams_between(folded, 2, None)
+    several = stored(spark, _grams_between(folded, 2, None), "suffix-several")
     classes = stored(spark, _texts_of(docs, folded.join(several, folded["gram"] == several["__gram"], "left_semi")), "suffix-texts")
     settled = folded.where("n > 1").select(
         *KEY, (F.col("anchor") - F.col("last")).alias("near"), (F.col("anchor") - F.col("first")).alias("far")

@@ -61,6 +61,33 @@ def test_against_all_windows(spark, monkeypatch, seed, group):
     assert got == dict(enumerate(brute(texts)))
 
 
+def test_hot_passage_and_large_groups_of_copies(spark):
+    """A passage in a third of all texts, copies by the hundred, passages of 51 to 62 words, a long text."""
+    rng = random.Random(17)
+    hot = words(rng, 110)
+    passages = [words(rng, n) for n in range(51, 63) for _ in range(2)]
+    texts = [words(rng, 40) + " " + hot + " " + words(rng, 40) for _ in range(120)]
+    texts += [words(rng, 150)] * 90 + [words(rng, 200)] * 2
+    for p in passages:
+        texts += [f"{words(rng, 30)} {p} {words(rng, 30)}" for _ in range(2)]
+    texts += [words(rng, 6000) + hot[:420] + words(rng, 3000), None, ""]
+    rng.shuffle(texts)
+    got = {r[0]: tuple(r)[1:] for r in suffixes.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    expected = brute(texts)
+    assert got == dict(enumerate(expected))
+    assert 200 < sum(e[1] > 0 for e in expected) < len(texts)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(23)
+    unit = "".join(rng.choice("abcdefgh") for _ in range(1000))
+    long = "".join(rng.choice("abcdefgh") for _ in range(1_000_000))
+    texts = [long + unit, "\n" * 1_000_000, "x" * 399, unit + "y", "q" * 300_000 + unit[:399], None]
+    got = {r[0]: tuple(r)[1:4] for r in suffixes.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    assert got == {0: (1_001_000, 1000, 1), 1: (1_000_000, 1_000_000, 1), 2: (399, 0, 0), 3: (1001, 1000, 1),
+                   4: (300_399, 300_000, 1), 5: (0, 0, 0)}
+
+
 def test_sort_is_confirmed_by_bytes(monkeypatch):
     """A hash that takes everything for equal is found out."""
     rng = np.random.default_rng(3)
