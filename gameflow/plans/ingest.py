@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from gameflow.operators.numbering import number_and_count
 from gameflow.operators.ranges import assign_batch, assign_chunk, first_games, range_bounds, slice_range
 from gameflow.schema import MESSAGE_FIELDS
-from gameflow.session import scratch_folders
+from gameflow.session import scratch_folders, side_by_side
 from gameflow.sources.csv_chunks import read_chunks, write_chunks
 from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, sort_letters, write_letter
 from gameflow.sources.messages import encode_messages
@@ -26,7 +27,7 @@ log = logging.getLogger(__name__)
 
 
 def numbered_games(
-    spark: SparkSession, paths: str | Sequence[str], before: int = 0, opening: str | None = FIRST_TAG
+    spark: SparkSession, paths: str | Sequence[str], before: int = 0, opening: str | None = FIRST_TAG, newline: str = "\n"
 ) -> tuple[DataFrame, int]:
     """Parsed games with their numbers, counted on from ``before``, and how many there are.
 
@@ -34,22 +35,28 @@ def numbered_games(
     unpacking, so where there is one the numbered records are spread over the cluster first;
     other files are parsed where they are read.
     """
-    records, total = number_and_count(read_records(spark, paths, opening))
+    records, total = number_and_count(read_records(spark, paths, opening, newline))
     records = records.withColumn("GameID", F.col("GameID") + before)
     if any(path.endswith(UNSPLITTABLE) for path in list_files(spark, paths)):
         records = records.hint("rebalance")
     return parse_records(records, keep=("GameID", *PLACE_COLUMNS)), total
 
 
-def first_games_of(spark: SparkSession, paths: str | Sequence[str], count: int) -> DataFrame:
+def first_games_of(
+    spark: SparkSession, paths: str | Sequence[str], count: int, opening: str | None = FIRST_TAG, newline: str = "\n"
+) -> DataFrame:
     """The first ``count`` games in file order; files after the one that holds the last are not read."""
-    return games_between(spark, paths, 0, count)
+    return games_between(spark, paths, 0, count, opening, newline)
 
 
-def games_between(spark: SparkSession, paths: str | Sequence[str], start: int, end: int) -> DataFrame:
-    """The games at positions ``[start, end)``; the scan holds only the files with those games."""
-    files, before = files_between(spark, paths, start, end)
-    return slice_range(numbered_games(spark, files, before)[0], start, end)
+def games_between(
+    spark: SparkSession, paths: str | Sequence[str], start: int, end: int,
+    opening: str | None = FIRST_TAG, newline: str = "\n",
+) -> DataFrame:
+    """The games at positions ``[start, end)``; the scan holds only the files with those games.
+    ``opening`` and ``newline`` say how games begin, see :func:`gameflow.sources.pgn.read_records`."""
+    files, before = files_between(spark, paths, start, end, opening, newline)
+    return slice_range(numbered_games(spark, files, before, opening, newline)[0], start, end)
 
 
 def deliver(games: DataFrame, topic, dead_letters: str, label: str, kind: str = "df", batch_id: int | None = None) -> bool:
@@ -110,42 +117,48 @@ def ingest(
     start_at: int = 0,
     batch_size: int | None = None,
     opening: str | None = FIRST_TAG,
+    newline: str = "\n",
+    senders: int = 4,
 ) -> Ingested:
-    """PGN files to messages: scan, number, land as CSV chunks, send chunk by chunk.
+    """PGN files to messages: scan, number, land as CSV chunks, send chunks side by side.
 
     One job scans and lands all games; chunks are a column, so no game is read once per chunk.
-    Each chunk is then sent from its landed files, whole or in batches of ``batch_size`` games,
-    and one that the topic refuses becomes a dead letter named by its range. Errors of the scan
-    are no refusals and end the job before anything is sent. ``landing`` keeps the chunks and must
-    not exist yet. ``start_at`` is the number of games sent before, so that a later dump gets keys
-    of its own.
+    Each chunk is then sent from its landed files, ``senders`` chunks at a time, whole or in batches
+    of ``batch_size`` games one after the other, and what the topic refuses becomes a dead letter
+    named by its range. Batches are landed in folders of their own, so each is read once and opens
+    its own files only. With several topics (ways into one cluster, such as its brokers) chunk ``k``
+    goes through number ``k`` modulo how many there are. Errors of the scan are no refusals and end
+    the job before anything is sent. ``landing`` keeps the chunks and must not exist yet.
+    ``start_at`` is the number of games sent before, so that a later dump gets keys of its own.
     """
+    topics = list(topic) if isinstance(topic, (list, tuple)) else [topic]
     if count is not None:
-        paths, _ = files_between(spark, paths, 0, count)
-    games, total = numbered_games(spark, paths, opening=opening)
+        paths, _ = files_between(spark, paths, 0, count, opening, newline)
+    games, total = numbered_games(spark, paths, opening=opening, newline=newline)
     if count is not None:
         games, total = first_games(games, count), min(count, total)
     with scratch_folders(spark, "landing") as [scratch]:
         landed = landing or scratch
-        chunked = assign_chunk(games, total, chunks).withColumn("GameID", F.col("GameID") + start_at)
-        write_chunks(chunked, landed)
-        refused = []
-        for chunk, start, end in range_bounds(total, chunks):
-            if start == end:
-                continue
-            rows = read_chunks(spark, landed).filter(F.col("chunk") == chunk)
-            name = f"{label}_games_{start + start_at}_{end + start_at}"
+        chunked = assign_chunk(games, total, chunks)
+        if batch_size is not None:
+            chunked = assign_batch(chunked, batch_size)
+        write_chunks(chunked.withColumn("GameID", F.col("GameID") + start_at), landed)
+        rows = read_chunks(spark, landed, batches=batch_size is not None)
+
+        def send(chunk: int, start: int, end: int) -> list[str]:
+            name, way = f"{label}_games_{start + start_at}_{end + start_at}", topics[chunk % len(topics)]
+            own = rows.filter(F.col("chunk") == chunk).drop("chunk")
             if batch_size is None:
-                if not deliver(rows, topic, dead_letters, name, batch_id=chunk):
-                    refused.append(name)
-                continue
-            numbered = rows.withColumn("GameID", F.col("GameID").cast("bigint"))
-            batched = assign_batch(numbered.withColumn("range_start", F.lit(start + start_at)), batch_size)
-            for batch in range(-(-(end - start) // batch_size)):
-                part = f"{name}_{batch}"
-                if not deliver(batched.filter(F.col("batch") == batch), topic, dead_letters, part, "batch", batch):
-                    refused.append(part)
-    return Ingested(total, refused)
+                return [] if deliver(own, way, dead_letters, name, batch_id=chunk) else [name]
+            batches = range(-(-(end - start) // batch_size))
+            return [
+                f"{name}_{batch}" for batch in batches
+                if not deliver(own.filter(F.col("batch") == batch), way, dead_letters, f"{name}_{batch}", "batch", batch)
+            ]
+
+        bounds = [b for b in range_bounds(total, chunks) if b[1] < b[2]]
+        refused = side_by_side(spark, [partial(send, *b) for b in bounds], senders)
+    return Ingested(total, [name for names in refused for name in names])
 
 
 def load_table(spark: SparkSession, topic, table, checkpoint: str) -> None:

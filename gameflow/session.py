@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 _local_roots: dict[str, str] = {}
 
 
@@ -18,6 +23,8 @@ def build_session(app_name: str = "gameflow", master: str | None = None, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Chunks are sent side by side, each in a pool of its own.
+        .config("spark.scheduler.mode", "FAIR")
         # Chunk folders are written side by side, which saves sorting each task by chunk.
         .config("spark.sql.maxConcurrentOutputFileWriters", "64")
     )
@@ -60,6 +67,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, in order."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jvm_path)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    paths = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    if not paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(*paths):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(jvm_path, True).close()
+
+
 @contextmanager
 def scratch_folders(spark: SparkSession, *names: str) -> Iterator[list[str]]:
     """Scratch paths for the steps of one job, deleted when it is done."""
@@ -69,3 +95,20 @@ def scratch_folders(spark: SparkSession, *names: str) -> Iterator[list[str]]:
     finally:
         for path in paths:
             delete_path(spark, path)
+
+
+def side_by_side(spark: SparkSession, calls: Sequence[Callable[[], Result]], workers: int) -> list[Result]:
+    """Results of the calls, in their order, at most ``workers`` of them running Spark jobs at a time.
+
+    Each call has a fair-scheduler pool of its own, so a large one does not hold the others up.
+    All calls are let end; then the first error, if there is one, is raised.
+    """
+    pool = f"side-{uuid.uuid4().hex[:8]}"
+
+    def in_pool(number: int) -> Result:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{pool}-{number}")
+        return calls[number]()
+
+    with ThreadPoolExecutor(max(1, workers)) as threads:
+        futures = [threads.submit(inheritable_thread_target(spark)(in_pool), k) for k in range(len(calls))]
+    return [future.result() for future in futures]

@@ -15,15 +15,17 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 _TEXT_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in MESSAGE_FIELDS])
-_CHUNK_SCHEMA = _TEXT_SCHEMA.add("chunk", T.LongType())
+_CHUNK_SCHEMA = T.StructType([*_TEXT_SCHEMA.fields, T.StructField("chunk", T.LongType())])
 
 
 def write_chunks(games: DataFrame, path: str) -> None:
     """Writes ``games`` with their ``chunk`` column, without a shuffle: a task holds a
-    contiguous run of games and so touches few chunks. A folder that is there already may hold
-    another dump's chunks and is refused."""
+    contiguous run of games and so touches few chunks. With a ``batch`` column each batch has a
+    folder of its own in that of its chunk, so that reading a batch opens its own files only. A
+    folder that is there already may hold another dump's chunks and is refused."""
     columns = [list_to_text(F.col(f)).alias(f) if f == "Moves" else F.col(f) for f in MESSAGE_FIELDS]
-    games.select(*columns, "chunk").write.mode("error").partitionBy("chunk").options(**CSV_OPTIONS).csv(path)
+    folders = [c for c in ("chunk", "batch") if c in games.columns]
+    games.select(*columns, *folders).write.mode("error").partitionBy(*folders).options(**CSV_OPTIONS).csv(path)
 
 
 def _to_games(text: DataFrame) -> DataFrame:
@@ -31,9 +33,11 @@ def _to_games(text: DataFrame) -> DataFrame:
     return text.select(*columns, *[c for c in text.columns if c not in MESSAGE_FIELDS])
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunks written here. A chunk that holds no game is simply no row."""
-    return _to_games(spark.read.schema(_CHUNK_SCHEMA).options(**CSV_OPTIONS).csv(path))
+def read_chunks(spark: SparkSession, path: str, batches: bool = False) -> DataFrame:
+    """Chunks written here. A chunk that holds no game is simply no row. With ``batches`` the
+    chunks were written with their ``batch``, which is a column then."""
+    schema = T.StructType([*_CHUNK_SCHEMA.fields, T.StructField("batch", T.LongType())]) if batches else _CHUNK_SCHEMA
+    return _to_games(spark.read.schema(schema).options(**CSV_OPTIONS).csv(path))
 
 
 def read_chunk_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gameflow.functions.codec import encode_payload
 from gameflow.schema import TOPIC_COLUMNS, TOPIC_SCHEMA
+from gameflow.session import delete_path, list_paths, move_path, path_exists, touch
 
 # Delivery settings of the message producers.
 PRODUCER_OPTIONS = {
@@ -44,14 +46,58 @@ class Topic:
 
     def write(self, messages: DataFrame, batch_id: int | None = None) -> None:
         """Appends messages. A folder stores the time of sending with them, one for each write, as
-        Kafka does for each message."""
+        Kafka does for each message.
+
+        Rows may name their own ``topic`` and ``partition``; Kafka puts each where it says, and a row
+        without a topic into this one. A folder is one topic and stores the partition; files are
+        moved into it when they are finished, so that several writers do not disturb each other.
+        """
+        if self.format == "kafka":
+            self._frame(messages).write.format(self.format).options(**self.write_options).mode("append").save()
+            return
+        spark, path = messages.sparkSession, self.write_options["path"]
+        staged = f"{path}/_staged/{uuid.uuid4().hex}"
+        try:
+            self._frame(messages).write.format(self.format).save(staged)
+            self._moved_in(spark, staged, "")
+        finally:
+            delete_path(spark, staged)
+
+    def _moved_in(self, spark: SparkSession, staged: str, prefix: str) -> None:
+        for file in list_paths(spark, f"{staged}/part-*"):
+            move_path(spark, file, f"{self.write_options['path']}/{prefix}{file.rsplit('/', 1)[1]}")
+
+    def _frame(self, messages: DataFrame) -> DataFrame:
+        if self.format == "kafka":
+            routed = {
+                "topic": F.coalesce("topic", F.lit(self.write_options["topic"])) if "topic" in messages.columns else None,
+                "partition": F.col("partition").cast("int") if "partition" in messages.columns else None,
+            }
+            return messages.select("value", *[c.alias(name) for name, c in routed.items() if c is not None])
+        partition = F.col("partition").cast("int") if "partition" in messages.columns else F.lit(0)
+        return messages.select(
+            "value", F.coalesce(partition, F.lit(0)).alias("partition"), "offset", F.current_timestamp().alias("timestamp")
+        )
+
+    def write_once(self, messages: DataFrame, name: str) -> None:
+        """Appends messages that are known by ``name``; a repetition of the call adds nothing.
+
+        A folder gets them by moving finished files: first all are written beside the topic, then
+        moved into it one by one, then the name is noted down. A call that was stopped in between is
+        taken up where it stopped. Kafka has no such step, so a repetition there sends them again.
+        """
         if self.format == "kafka":
-            frame = messages.select("value")
-        else:
-            frame = messages.select(
-                "value", F.lit(0).alias("partition"), "offset", F.current_timestamp().alias("timestamp")
-            )
-        frame.write.format(self.format).options(**self.write_options).mode("append").save()
+            self.write(messages)
+            return
+        spark, path = messages.sparkSession, self.write_options["path"]
+        staged, done = f"{path}/_staged/{name}", f"{path}/_sent/{name}"
+        if path_exists(spark, done):
+            return
+        if not path_exists(spark, f"{staged}/_SUCCESS"):
+            self._frame(messages).write.format(self.format).mode("overwrite").save(staged)
+        self._moved_in(spark, staged, f"{name}-")
+        touch(spark, done)
+        delete_path(spark, staged)
 
 
 def kafka_topic(
@@ -79,8 +125,10 @@ def file_topic(path: str, **options: str) -> Topic:
 def encode_messages(games: DataFrame, offset: str = "GameID") -> DataFrame:
     """Keyless messages: the row as JSON, plus the place in the topic a file-backed one needs.
 
-    ``offset`` orders the messages of one write; between writes the time of sending does.
+    ``offset`` orders the messages of one write; between writes the time of sending does. Where
+    the games carry a ``topic`` or a ``partition``, the messages do too and are sent there.
     """
+    routed = [c for c in ("topic", "partition") if c in games.columns]
     return games.select(
-        encode_payload().alias("value"), F.col(offset).try_cast("bigint").alias("offset")
+        encode_payload().alias("value"), F.col(offset).try_cast("bigint").alias("offset"), *routed
     )

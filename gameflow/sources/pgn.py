@@ -27,7 +27,8 @@ def read_records(
     the tag ``opening``, in LF and CRLF files and after any number of blank lines. With
     ``opening=None`` games may open with any tag, also with different ones in one file; they are
     cut where a line with a tag follows an empty line, whose line ends must be ``newline``.
-    :func:`parse_records` stops with an error where a record turns out not to be one game.
+    A record that turns out not to be one game stops the query, also one that only counts records
+    or reads their numbers: the check is a filter, which pruning of columns keeps.
     Compressed archives are read as they are, one task each.
     """
     separator = f"\n[{opening} " if opening else f"{newline}{newline}["
@@ -41,11 +42,12 @@ def read_records(
     rest, lost = ('"', f"[{opening} ") if opening else (r'[^\s\["]+[ \t]+"', "[")
     games = raw.filter(F.col("value").rlike(rf"^[\s\x{{FEFF}}]*(?:\[|{rest})"))
     text = F.regexp_replace(F.replace(F.col("value"), F.lit("\r"), F.lit("")), r"^[\s\x{FEFF}]+", "")
-    return games.select(
+    records = games.select(
         F.when(F.startswith(text, F.lit("[")), text).otherwise(F.concat(F.lit(lost), text)).alias("record"),
         F.col("file_path").alias("source_path"),
         F.col("file_block_start").alias("block_start"),
     )
+    return records.filter(pgn.one_game(F.col("record")))
 
 
 def spread_archives(records: DataFrame) -> DataFrame:
@@ -67,8 +69,7 @@ def parse_records(
     defaults = defaults or {}
     keep = list(keep)
     found = records.select(*keep, "record", pgn.movetext_start(F.col("record")).alias("start"))
-    cut = found.select(*keep, "start", pgn.checked_record(F.col("record"), F.col("start")).alias("record"))
-    parts = cut.select(
+    parts = found.select(
         *keep,
         "record",
         pgn.header_text(F.col("record"), F.col("start")).alias("header"),
@@ -133,7 +134,8 @@ def _plain(path: str) -> str:
 
 
 def files_between(
-    spark: SparkSession, paths: str | Sequence[str], start: int, end: int
+    spark: SparkSession, paths: str | Sequence[str], start: int, end: int,
+    opening: str | None = FIRST_TAG, newline: str = "\n",
 ) -> tuple[list[str], int]:
     """The files, in path order, that hold the games at positions ``[start, end)``, and how many
     games lie before the first of them.
@@ -146,7 +148,7 @@ def files_between(
     while taken < len(files) and seen < end:
         group = files[taken:taken + step]
         counts = {
-            _plain(r["source_path"]): r["count"] for r in read_records(spark, group).groupBy("source_path").count().collect()
+            _plain(r["source_path"]): r["count"] for r in read_records(spark, group, opening, newline).groupBy("source_path").count().collect()
         }
         for file in group:
             n = counts.get(_plain(file), 0)
