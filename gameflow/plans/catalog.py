@@ -15,10 +15,10 @@ from gameflow.functions.codec import decode_payload, encode_payload
 from gameflow.functions.scalars import chunk_name, dotted_date, rating
 from gameflow.operators import decode, ranges
 from gameflow.plans import standins
-from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, numbered_games, replay
+from gameflow.plans.ingest import first_games_of, games_between, ingest, load_table, numbered_games, replay, start_dumps
 from gameflow.schema import TABLE_SCHEMA
 from gameflow.session import scratch_folders, scratch_path
-from gameflow.sinks.table import ParquetTable
+from gameflow.sinks.table import BucketedTable, ParquetTable
 from gameflow.sources.csv_chunks import read_chunks, stream_chunks
 from gameflow.sources.messages import encode_messages, file_topic
 from gameflow.sources.pgn import read_corpus, read_games
@@ -166,6 +166,27 @@ def game_range_slice(spark, sf_dir):
     return games.select(F.col("GameID").alias("gameid"), F.col("Black").alias("black"))
 
 
+@query(f"""
+SELECT * FROM (
+  SELECT row_number() OVER (ORDER BY event_id) AS gameid, 'b' || CAST(event_id AS VARCHAR) AS black FROM events
+) WHERE gameid <= {FIRST_N}
+""")
+def first_n_any_order(spark, sf_dir):
+    """The first games of files none of whose games opens with Event."""
+    games = first_games_of(spark, standins.any_order_files(spark, sf_dir), FIRST_N, opening=None)
+    return games.select(F.col("GameID").alias("gameid"), F.col("Black").alias("black"))
+
+
+@query(f"""
+SELECT * FROM (
+  SELECT row_number() OVER (ORDER BY event_id) AS gameid, 'b' || CAST(event_id AS VARCHAR) AS black FROM events
+) WHERE gameid - 1 >= {RANGE[0]} AND gameid - 1 < {RANGE[1]}
+""")
+def range_any_order(spark, sf_dir):
+    games = games_between(spark, standins.any_order_files(spark, sf_dir), *RANGE, opening=None)
+    return games.select(F.col("GameID").alias("gameid"), F.col("Black").alias("black"))
+
+
 _RANGES_SQL = f"""
 SELECT i AS chunk, i * (n // {CHUNKS}) + least(i, n % {CHUNKS}) AS range_start,
        (i + 1) * (n // {CHUNKS}) + least(i + 1, n % {CHUNKS}) AS range_end
@@ -409,6 +430,39 @@ def keyed_upsert_same_batch(spark, sf_dir):
     return table.latest(spark).select("gameid", "result")
 
 
+@query(GAMES_SQL)
+def bucketed_table_latest(spark, sf_dir):
+    """The table in buckets, loaded by a stream and rewritten with one version per key."""
+    table = BucketedTable(scratch_path(spark, "bucketed"), CHUNKS)
+    with scratch_folders(spark, "checkpoint") as [checkpoint]:
+        load_table(spark, standins.message_topic(spark, sf_dir), table, checkpoint)
+    return table.compact(spark, scratch_path(spark, "bucketed-compact")).latest(spark)
+
+
+@query("""
+WITH last AS (SELECT user_id AS gameid, arg_max(event_id, (ts, event_id)) AS last_event FROM events GROUP BY 1)
+SELECT gameid, last_event, 1 AS n_written FROM last
+""")
+def stream_latest_changes(spark, sf_dir):
+    """One game per user. The later half of the events comes first, then the earlier half, then all
+    again: only users that the later half does not have are written by the second load, and none
+    by the third."""
+    keyed = standins.spread(standins.games(spark, sf_dir, "event_id", "ts")).withColumn("GameID", F.col("White").cast("bigint"))
+    keyed = keyed.withColumn("Variant", F.col("event_id").cast("string"))
+    sent = keyed.select(encode_payload().alias("value"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+                        F.col("ts").cast("timestamp").alias("timestamp"))
+    late = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
+    table = ParquetTable(scratch_path(spark, "changes"))
+    with scratch_folders(spark, "changes-topic", "checkpoint") as [messages, checkpoint]:
+        topic = file_topic(messages)
+        for wave in (late, ~late, F.lit(True)):
+            sent.filter(wave).write.mode("append").parquet(messages)
+            jobs.start_changes(topic.read_stream(spark), table, checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
+    written = table.versions(spark).groupBy("gameid").agg(F.count("*").cast("int").alias("n_written"))
+    latest = table.latest(spark).select(F.col("gameid"), F.col("variant").cast("bigint").alias("last_event"))
+    return latest.join(written, "gameid").select("gameid", "last_event", "n_written")
+
+
 # ---- streams -----------------------------------------------------------------------
 
 
@@ -474,6 +528,38 @@ def dead_letter_replay(spark, sf_dir):
     return table.latest(spark)
 
 
+@query(f"SELECT g.*, (SELECT count(*) FROM events) AS n_messages FROM ({GAMES_SQL}) g")
+def dead_letter_stream_replay(spark, sf_dir):
+    """Two batches are refused; a stream sends their letters, is started again and sends nothing more."""
+    landing = standins.chunk_files(spark, sf_dir)
+    size = _files_per_trigger(read_chunks(spark, landing), 5)
+    table = ParquetTable(scratch_path(spark, "stream-replayed"))
+    names = ("sent", "letters", "archive", "rejects", "sending", "replaying", "loading")
+    with scratch_folders(spark, *names) as [sent, letters, archive, rejects, sending, replaying, loading]:
+        topic = file_topic(sent)
+        source = stream_chunks(spark, landing, maxFilesPerTrigger=size)
+        jobs.start_delivery(source, standins.RefusingTopic(topic, {1, 3}), letters, sending, jobs.AVAILABLE_NOW).awaitTermination()
+        for _ in range(2):
+            jobs.start_replay(spark, letters, topic, replaying, archive, rejects, jobs.AVAILABLE_NOW).awaitTermination()
+        n_messages = topic.read(spark).count()
+        load_table(spark, topic, table, loading)
+    return table.latest(spark).withColumn("n_messages", F.lit(n_messages))
+
+
+@query(GAMES_SQL)
+def stream_new_dumps(spark, sf_dir):
+    """Two dumps dropped one after the other, ingested by a stream that numbers on."""
+    table = ParquetTable(scratch_path(spark, "dumps-table"))
+    names = ("dumps", "sent", "letters", "ledger", "taking", "loading")
+    with scratch_folders(spark, *names) as [dumps, sent, letters, ledger, taking, loading]:
+        topic = file_topic(sent)
+        for number, upper in enumerate((False, True)):
+            standins.dump_files(spark, sf_dir, f"{dumps}/{number}", upper)
+            start_dumps(spark, dumps, topic, letters, ledger, taking, jobs.AVAILABLE_NOW, chunks=2).awaitTermination()
+        load_table(spark, topic, table, loading)
+    return table.latest(spark).withColumn("moves", F.concat_ws(" ", "result", "variant"))
+
+
 @query("""
 SELECT event_id + 1 AS gameid, event_type || ' ' || json_extract_string(props, '$.k') AS moves,
        CASE WHEN event_type = 'click' THEN '180+0' ELSE '' END AS timecontrol

@@ -10,18 +10,20 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from gameflow.operators.numbering import number_and_count
 from gameflow.operators.ranges import assign_batch, assign_chunk, first_games, range_bounds, slice_range
 from gameflow.schema import MESSAGE_FIELDS
-from gameflow.session import scratch_folders, side_by_side
+from gameflow.session import path_exists, scratch_folders, side_by_side
 from gameflow.sources.csv_chunks import read_chunks, write_chunks
 from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, sort_letters, write_letter
 from gameflow.sources.messages import encode_messages
 from gameflow.sources.pgn import (
     FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, list_files, parse_records, read_records,
 )
-from gameflow.streaming.jobs import AVAILABLE_NOW, start_upsert
+from gameflow.streaming.jobs import AVAILABLE_NOW, start_batches, start_upsert
 
 log = logging.getLogger(__name__)
 
@@ -161,6 +163,44 @@ def ingest(
     return Ingested(total, [name for names in refused for name in names])
 
 
+_FILES = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
+])
+_LEDGER = "run string, batch_id long, start long, games long, refused array<string>, files array<string>"
+
+
+def start_dumps(
+    spark: SparkSession, folder: str, topic, dead_letters: str, ledger: str, checkpoint: str,
+    trigger: dict | None = None, start_at: int = 0, files_per_batch: int | None = None, **options,
+) -> StreamingQuery:
+    """Ingests dumps as they are dropped into ``folder`` (or folders in it), numbered on from each other.
+
+    The stream only finds new files and does not read them; each group of them is ingested as
+    :func:`ingest` does (``options`` go to it) and noted in ``ledger`` with its first number, so the
+    next one begins where it ended, without a gap. A batch that is repeated after a crash gets the
+    same numbers. Files that the ledger knows are left out, also under a fresh checkpoint.
+    """
+    files = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", "true")
+    if files_per_batch:
+        files = files.option("maxFilesPerTrigger", str(files_per_batch))
+
+    def take(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        session = batch.sparkSession
+        known = session.read.schema(_LEDGER).option("recursiveFileLookup", "true").json(ledger).collect() if path_exists(session, ledger) else []
+        others = [r for r in known if (r["run"], r["batch_id"]) != (query_id, batch_id)]
+        seen = {f for r in others for f in r["files"]}
+        paths = sorted(r["path"] for r in batch.select("path").collect() if r["path"] not in seen)
+        if not paths:
+            return
+        start = start_at + sum(r["games"] for r in others)
+        done = ingest(session, paths, topic, dead_letters, start_at=start, label=f"dumps_{query_id}_{batch_id}", **options)
+        entry = session.createDataFrame([(query_id, batch_id, start, done.games, done.refused, paths)], _LEDGER)
+        entry.coalesce(1).write.mode("overwrite").json(f"{ledger}/{query_id}-{batch_id}")
+
+    return start_batches(files.load(folder).select("path"), take, checkpoint, trigger)
+
+
 def load_table(spark: SparkSession, topic, table, checkpoint: str) -> None:
     """Everything the topic holds that this checkpoint has not seen, into the table."""
     start_upsert(topic.read_stream(spark), table, checkpoint, AVAILABLE_NOW).awaitTermination()

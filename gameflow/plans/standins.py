@@ -96,6 +96,14 @@ def pgn_files(spark: SparkSession, sf_dir: str) -> str:
     return land_once(spark, sf_dir, "pgn", write)
 
 
+def dump_files(spark: SparkSession, sf_dir: str, path: str, upper: bool) -> None:
+    """The lower or the upper half of the event games, by number, as PGN files in event order."""
+    half = game_count(events(spark, sf_dir)) / 2
+    rows = _in_files(games(spark, sf_dir, "event_id"), "event_id").withColumn("movetext", event_movetext())
+    chosen = F.col("event_id") >= half
+    _pgn_text(rows.filter(chosen if upper else ~chosen)).write.text(path)
+
+
 def event_movetext() -> Column:
     """Two moves, by event type and ``k``, among all that the move scan must drop."""
     first = F.concat(F.lit("N"), _square(F.length("Result"), F.lit(2)))

@@ -80,6 +80,11 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be moved to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

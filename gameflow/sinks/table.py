@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gameflow.schema import GAME_COLUMNS, SENT_ORDER, TABLE_SCHEMA
-from gameflow.session import path_exists
+from gameflow.session import list_paths, make_folder, path_exists
 
 # Versions of a game in the order in which they were sent; repeated deliveries of one message
 # are told apart by when they were stored.
@@ -94,6 +96,80 @@ class ParquetTable:
         return ParquetTable(path)
 
 
+@dataclass(frozen=True)
+class BucketedTable:
+    """The keyed table with its files dealt into buckets and sorted by key.
+
+    All versions of a game lie in one bucket, so the latest of each and their number need no shuffle
+    of the versions, and a batch writes one file for each bucket. A batch is a partition that its
+    repetition replaces. How many buckets a table has is part of its folder's name; one that is
+    there keeps its number, whatever is asked for. Spark knows buckets by a catalog table, which is
+    made in the session's catalog when it is first used there.
+    """
+
+    path: str
+    buckets: int = 64
+
+    def _name(self, spark: SparkSession) -> str:
+        found = list_paths(spark, f"{self.path}/buckets-*")
+        buckets = int(found[0].rsplit("-", 1)[1]) if found else self.buckets
+        name = f"games_{hashlib.md5(self.path.encode()).hexdigest()}_{buckets}"
+        if not spark.catalog.tableExists(name):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _STORED.fields if f.name != "key_range")
+            make_folder(spark, f"{self.path}/buckets-{buckets}")
+            location = f"{self.path}/buckets-{buckets}".replace("'", "\\'")
+            spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (run, batch_id) "
+                f"CLUSTERED BY (gameid) SORTED BY (gameid) INTO {buckets} BUCKETS LOCATION '{location}'"
+            )
+            spark.sql(f"MSCK REPAIR TABLE {name}")  # batches of other sessions
+        return name
+
+    def create(self, spark: SparkSession) -> None:
+        """An empty table to load, count and show; one that is there keeps its rows."""
+        self._name(spark)
+
+    def write_batch(self, rows: DataFrame, run: str, batch_id: int) -> None:
+        spark = rows.sparkSession
+        name = self._name(spark)
+        buckets, view = int(name.rsplit("_", 1)[1]), f"batch_{uuid.uuid4().hex}"
+        columns = [*GAME_COLUMNS, *SENT_ORDER, "written_at"]
+        rows.select(*columns).repartition(buckets, "gameid").createOrReplaceTempView(view)
+        try:
+            spark.sql(f"INSERT OVERWRITE {name} PARTITION (run = '{run}', batch_id = {batch_id}) SELECT {', '.join(columns)} FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
+
+    def versions(self, spark: SparkSession) -> DataFrame:
+        name = self._name(spark)
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
+
+    def latest(self, spark: SparkSession, first: int | None = None, last: int | None = None) -> DataFrame:
+        """The newest version of each game, of the keys ``first`` to ``last`` if they are given; files
+        are sorted by key, so only row groups that can hold such keys are read."""
+        rows = self.versions(spark)
+        if first is not None:
+            rows = rows.filter(F.col("gameid") >= first)
+        if last is not None:
+            rows = rows.filter(F.col("gameid") <= last)
+        return newest(rows, VERSION).select(*GAME_COLUMNS)
+
+    def count(self, spark: SparkSession) -> DataFrame:
+        """Number of stored games as ``n``; reads the key column only."""
+        return self.versions(spark).agg(F.count_distinct("gameid").alias("n"))
+
+    def last_key(self, spark: SparkSession) -> int:
+        """The largest game number stored, 0 in an empty or missing table."""
+        return self.versions(spark).agg(F.max("gameid")).first()[0] or 0
+
+    def compact(self, spark: SparkSession, path: str) -> BucketedTable:
+        """Writes the latest rows, with their versions, as a fresh table in the same layout."""
+        target = BucketedTable(path, int(self._name(spark).rsplit("_", 1)[1]))
+        target.write_batch(newest(self.versions(spark), VERSION), "compacted", -1)
+        return target
+
+
 @dataclass(frozen=True)
 class ConnectorTable:
     """A store that upserts by key itself, reached through its Spark connector.

@@ -97,6 +97,20 @@ def read_letters(spark: SparkSession, letters: list[str], multi_line: bool = Fal
     return text.select(*[text_to_list(F.col(f)).alias(f) if f == "Moves" else f for f in MESSAGE_FIELDS])
 
 
+def stream_letters(spark: SparkSession, folder: str, archive: str) -> DataFrame:
+    """The records of letters as they come, with what cannot be read as a record in ``_bad``.
+
+    Files that were read are moved below ``archive`` by a later batch; which were read is known from
+    the checkpoint of the query. Letters are read by line, see :func:`read_letters`.
+    """
+    fields = [T.StructField(f, T.StringType()) for f in (*MESSAGE_FIELDS, "_bad")]
+    text = (
+        spark.readStream.schema(T.StructType(fields)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
+        .option("cleanSource", "archive").option("sourceArchiveDir", archive).json(f"{folder}/{LETTER_GLOB}")
+    )
+    return text.select(*[text_to_list(F.col(f)).alias(f) if f == "Moves" else f for f in MESSAGE_FIELDS], "_bad")
+
+
 def remove_letters(spark: SparkSession, letters: list[str]) -> None:
     for letter in letters:
         delete_path(spark, letter)

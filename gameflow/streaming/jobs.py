@@ -7,15 +7,15 @@ import threading
 from collections.abc import Callable
 from typing import Any
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gameflow.functions.codec import decode_payload
 from gameflow.operators.decode import select_games, to_table_types
-from gameflow.schema import MESSAGE_FIELDS, SENT_ORDER
-from gameflow.sources.dead_letters import write_letter
+from gameflow.schema import GAME_COLUMNS, MESSAGE_FIELDS, SENT_ORDER
+from gameflow.session import scratch_folders
+from gameflow.sources.dead_letters import stream_letters, write_letter
 from gameflow.sources.messages import encode_messages
 
 log = logging.getLogger(__name__)
@@ -28,7 +28,7 @@ def _start(writer, trigger: dict[str, Any] | None) -> StreamingQuery:
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def _start_batches(
+def start_batches(
     frame: DataFrame, handle: Callable[[DataFrame, str, int], None], checkpoint: str,
     trigger: dict[str, Any] | None, output_mode: str = "append",
 ) -> StreamingQuery:
@@ -83,7 +83,53 @@ def start_upsert(
             bad = batch.filter(F.col("gameid").isNull()).drop("gameid")
             bad.write.mode("overwrite").json(f"{rejects}/run={query_id}/batch_id={batch_id}")
 
-    return _start_batches(games, write, checkpoint, trigger)
+    return start_batches(games, write, checkpoint, trigger)
+
+
+def start_changes(
+    messages: DataFrame, table, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Games into a keyed table, but only those whose latest version a batch has changed.
+
+    The query's state holds the latest version of each game, by time of sending and place in the
+    topic. A message that comes late and is older, or comes again, changes nothing and writes nothing,
+    so the table grows with changes and not with messages. Rows whose key is no number are left out.
+    The state grows with the games; keep it in RocksDB (``spark.sql.streaming.stateStore.providerClass``)
+    when they do not fit into memory.
+    """
+    games = to_table_types(select_games(messages, carry=SENT_ORDER), carry=SENT_ORDER).filter("gameid is not null")
+    games = games.withColumn("written_at", F.current_timestamp())
+    # Of equal versions the one that came first stays.
+    version = [*SENT_ORDER, (-F.unix_micros("written_at")).alias("earlier"), "written_at"]
+    latest = games.groupBy("gameid").agg(F.max(F.struct(*version, *[c for c in GAME_COLUMNS if c != "gameid"])).alias("latest"))
+    changed = latest.select("gameid", "latest.*").filter(F.col("written_at") == F.current_timestamp()).drop("earlier")
+
+    def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        table.write_batch(batch, query_id, batch_id)
+
+    return start_batches(changed, write, checkpoint, trigger, "update")
+
+
+def start_replay(
+    spark: SparkSession, dead_letters: str, topic, checkpoint: str, archive: str, rejects: str,
+    trigger: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """Sends dead letters again as they come, each once.
+
+    The checkpoint knows which letters were taken, and a batch that is repeated after a crash
+    adds nothing to a folder topic (:meth:`gameflow.sources.messages.Topic.write_once`), wherever the
+    crash was. Letters that were sent are moved below ``archive`` by a later batch or run. What is no
+    record is kept as text below ``rejects``, and the rest of its letter is sent.
+    """
+
+    def send(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        topic.write_once(encode_messages(batch.filter("_bad is null")), f"replay-{query_id}-{batch_id}")
+        bad = batch.filter("_bad is not null").select("_bad")
+        if not bad.isEmpty():
+            log.warning("letters of batch %s hold text that is no record", batch_id)
+            bad.write.mode("overwrite").text(f"{rejects}/run={query_id}/batch_id={batch_id}")
+
+    return start_batches(stream_letters(spark, dead_letters, archive), send, checkpoint, trigger)
 
 
 def start_count(
@@ -97,7 +143,7 @@ def start_count(
     def write(batch: DataFrame, query_id: str, batch_id: int) -> None:
         batch.coalesce(1).write.mode("overwrite").parquet(path)
 
-    return _start_batches(counts, write, checkpoint, trigger, "complete")
+    return start_batches(counts, write, checkpoint, trigger, "complete")
 
 
 def start_delivery(
@@ -111,15 +157,14 @@ def start_delivery(
     """
 
     def send(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        batch = batch.select(*MESSAGE_FIELDS).persist(StorageLevel.DISK_ONLY)
-        try:
-            batch.count()
+        batch = batch.select(*MESSAGE_FIELDS)
+        with scratch_folders(batch.sparkSession, "delivery") as [path]:
+            batch.write.parquet(path)
+            landed = batch.sparkSession.read.schema(batch.schema).parquet(path)
             try:
-                topic.write(encode_messages(batch), batch_id)
+                topic.write(encode_messages(landed), batch_id)
             except Exception as problem:
                 log.warning("batch %s was not sent: %s", batch_id, problem)
-                write_letter(batch, dead_letters, "batch", f"{batch_id}_{query_id}")
-        finally:
-            batch.unpersist()
+                write_letter(landed, dead_letters, "batch", f"{batch_id}_{query_id}")
 
-    return _start_batches(games, send, checkpoint, trigger)
+    return start_batches(games, send, checkpoint, trigger)

@@ -308,3 +308,232 @@ def test_a_later_dump_gets_keys_of_its_own(spark, place, tmp_path, landed):
     load_table(spark, place.topic, place.table, place.checkpoint)
     got = {r["gameid"]: r["white"] for r in place.table.latest(spark).collect()}
     assert got == {4 * m + g + 1: f"{month}{g}" for m, month in enumerate("ab") for g in range(4)}
+
+
+def test_chunks_are_sent_side_by_side(spark, place, tmp_path):
+    import threading
+
+    (tmp_path / "a.pgn").write_text("".join(f'[Event "x"]\n[White "w{g}"]\n\n1. e4 *\n\n' for g in range(12)))
+    met, seen = threading.Barrier(3, timeout=120), []
+
+    class Meeting:
+        """Each send waits for two others."""
+
+        def __init__(self, name):
+            self.name = name
+
+        def write(self, messages, batch_id=None):
+            met.wait()
+            seen.append((self.name, batch_id))
+            place.topic.write(messages, batch_id)
+
+    ways = [Meeting("a"), Meeting("b")]
+    assert ingest(spark, str(tmp_path / "a.pgn"), ways, place.letters, chunks=3, senders=3) == (12, [])
+    assert sorted(seen) == [("a", 0), ("a", 2), ("b", 1)]
+    assert sorted(int(r["GameID"]) for r in decode_payload(place.topic.read(spark)).collect()) == list(range(1, 13))
+
+    class Broken:
+        def write(self, messages, batch_id=None):
+            raise ConnectionError("refused")
+
+    # A letter that cannot be written is an error, raised after the other chunks were tried.
+    (tmp_path / "blocked").write_text("")
+    with pytest.raises(Exception):
+        ingest(spark, str(tmp_path / "a.pgn"), Broken(), str(tmp_path / "blocked" / "x"), chunks=2)
+
+
+def test_a_batch_reads_its_own_rows(spark, place, tmp_path):
+    (tmp_path / "a.pgn").write_text("".join(f'[Event "x"]\n[White "w{g}"]\n\n1. e4 *\n\n' for g in range(60)))
+    read = []
+
+    class Watching:
+        def write(self, messages, batch_id=None):
+            read.append((len(messages.inputFiles()), messages.count()))
+
+    ingest(spark, str(tmp_path / "a.pgn"), Watching(), place.letters, chunks=2, batch_size=10, landing=place.landing)
+    assert sorted(n for _, n in read) == [10] * 6
+    folders = glob.glob(place.landing + "/chunk=*/batch=*")
+    assert len(folders) == 6
+    batch = folders[0].rsplit("=", 1)[1]
+    from gameflow.sources.csv_chunks import read_chunks
+
+    one = read_chunks(spark, place.landing, batches=True).filter(f"chunk = 0 and batch = {batch}")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "batch" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_rows_say_where_they_go(spark, place):
+    from gameflow.operators.ranges import round_robin_target
+    from gameflow.sources.messages import Topic
+
+    routed = round_robin_target(games(spark, 1, 9).withColumn("chunk", F.col("GameID") % 5), 3).withColumnRenamed("target", "partition")
+    place.topic.write(encode_messages(routed))
+    got = {int(r["offset"]): r["partition"] for r in place.topic.read(spark).collect()}
+    assert got == {g: g % 5 % 3 for g in range(1, 10)}
+    kafka = Topic("kafka", {}, {"topic": "games"})
+    frame = kafka._frame(encode_messages(routed.withColumn("topic", F.when(F.col("partition") == 0, "first"))))
+    assert frame.columns == ["value", "topic", "partition"]
+    assert {(r["topic"], r["partition"]) for r in frame.collect()} == {("first", 0), ("games", 1), ("games", 2)}
+    assert kafka._frame(encode_messages(games(spark, 1, 2))).columns == ["value"]
+
+
+def test_messages_written_once(spark, place, monkeypatch):
+    from gameflow.sources import messages
+
+    topic, frame = place.topic, encode_messages(games(spark, 1, 40).repartition(4))
+    moves = []
+
+    def crash(spark, source, target, move=messages.move_path):
+        if len(moves) == 2:
+            raise RuntimeError("lost while moving")
+        moves.append(target)
+        move(spark, source, target)
+
+    monkeypatch.setattr(messages, "move_path", crash)
+    with pytest.raises(RuntimeError):
+        topic.write_once(frame, "r1")
+    monkeypatch.undo()
+    for _ in range(2):
+        topic.write_once(frame, "r1")
+    assert sorted(r["offset"] for r in topic.read(spark).collect()) == list(range(1, 41))
+    topic.write_once(frame, "r2")
+    assert topic.read(spark).count() == 80
+
+
+@pytest.mark.parametrize("after", ["send", "reject"])
+def test_stream_replay_sends_nothing_twice(spark, place, monkeypatch, after):
+    write_letter(games(spark, 1, 20).repartition(3), place.letters, "df", "a")
+    os.makedirs(place.letters, exist_ok=True)
+    with open(os.path.join(place.letters, "failed_batch_7.json"), "w") as out:
+        out.write(json.dumps([{"GameID": 21, "Moves": "['e4']"}, {"GameID": 22}]) + '\n{"GameID": 23, "Mo')
+    rest = [place.checkpoint + "-replay", place.landing + "-archive", place.landing + "-rejects"]
+
+    class Crashing:
+        def write_once(self, messages, name):
+            place.topic.write_once(messages, name)
+            raise RuntimeError("lost after the send")
+
+    if after == "send":
+        with pytest.raises(Exception, match="lost after the send"):
+            jobs.start_replay(spark, place.letters, Crashing(), *rest, jobs.AVAILABLE_NOW).awaitTermination()
+    for _ in range(2):
+        jobs.start_replay(spark, place.letters, place.topic, *rest, jobs.AVAILABLE_NOW).awaitTermination()
+    sent = sorted(int(r["GameID"]) for r in decode_payload(place.topic.read(spark)).collect())
+    assert sent == list(range(1, 23))
+    assert [r["value"] for r in spark.read.option("recursiveFileLookup", "true").text(rest[2]).collect()] == ['{"GameID": 23, "Mo']
+    # A later letter is sent by the next run, which also puts the earlier ones away.
+    write_letter(games(spark, 30, 31), place.letters, "batch", "b")
+    jobs.start_replay(spark, place.letters, place.topic, *rest, jobs.AVAILABLE_NOW).awaitTermination()
+    assert place.topic.read(spark).count() == 24
+    assert glob.glob(rest[1] + "/**/failed_batch_7.json", recursive=True)
+    assert not os.path.exists(os.path.join(place.letters, "failed_batch_7.json"))
+
+
+def test_only_changes_are_written(spark, place):
+    def load():
+        jobs.start_changes(place.topic.read_stream(spark), place.table, place.checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
+        return place.table.versions(spark).count()
+
+    place.table.create(spark)
+    first = kafka_shaped(spark)
+    first.write.parquet(place.topic.write_options["path"])
+    assert load() == 5
+    assert stored(spark, place.table) == dict.fromkeys(range(1, 6), "new")
+    assert load() == 5
+    first.write.mode("append").parquet(place.topic.write_options["path"])  # all again: the same and older versions
+    assert load() == 5
+    place.topic.write(encode_messages(games(spark, 5, 7, "newest")))
+    assert load() == 8
+    assert stored(spark, place.table) == dict.fromkeys(range(1, 5), "new") | dict.fromkeys(range(5, 8), "newest")
+
+
+def test_bucketed_table(spark, place):
+    from gameflow.sinks.table import BucketedTable
+
+    table = BucketedTable(place.table.path, 3)
+    table.create(spark)
+    assert table.count(spark).first()["n"] == 0 == table.last_key(spark)
+    place.topic.write(encode_messages(games(spark, 1, 500)))
+    load_table(spark, place.topic, table, place.checkpoint)
+    place.topic.write(encode_messages(games(spark, 400, 600, "0-1")))
+    load_table(spark, place.topic, table, place.checkpoint)
+    table.create(spark)
+    expected = {g: "1-0" if g < 400 else "0-1" for g in range(1, 601)}
+    assert stored(spark, table) == expected
+    assert table.count(spark).first()["n"] == 600 == table.last_key(spark)
+    assert sorted(r["gameid"] for r in table.latest(spark, 90, 99).collect()) == list(range(90, 100))
+    # A batch has a file for each bucket, and a read of the table moves no version.
+    assert len(glob.glob(table.path + "/buckets-3/run=*/batch_id=0/part-*")) == 3
+    assert "Exchange" not in table.latest(spark)._jdf.queryExecution().executedPlan().toString()
+    # A repeated batch replaces itself; another number of buckets is not taken.
+    versions = table.versions(spark)
+    last = versions.filter("batch_id = 1").collect()
+    again = spark.createDataFrame(last, versions.schema)
+    BucketedTable(table.path, 8).write_batch(again, last[0]["run"], 1)
+    assert table.versions(spark).count() == 701 and stored(spark, BucketedTable(table.path, 8)) == expected
+    compact = table.compact(spark, table.path + "-compact")
+    assert compact.versions(spark).count() == 600 and stored(spark, compact) == expected
+    assert "Exchange" not in compact.latest(spark)._jdf.queryExecution().executedPlan().toString()
+    # Another session finds the batches that are there.
+    other = spark.newSession()
+    spark.sql(f"DROP TABLE {table._name(spark)}")
+    assert stored(other, BucketedTable(table.path)) == expected
+
+
+def test_dumps_are_numbered_on(spark, place, tmp_path, monkeypatch):
+    from gameflow.plans import ingest as plans
+
+    dumps, ledger = tmp_path / "dumps", str(tmp_path / "ledger")
+    dumps.mkdir()
+
+    def drop(name, n):
+        (dumps / name).write_text("".join(f'[Event "x"]\n[White "{name}{g}"]\n\n1. e4 *\n\n' for g in range(n)))
+
+    def run(checkpoint=place.checkpoint + "-dumps"):
+        plans.start_dumps(spark, str(dumps), place.topic, place.letters, ledger, checkpoint, jobs.AVAILABLE_NOW, chunks=2).awaitTermination()
+
+    drop("b", 5)
+    run()
+    drop("a", 4)  # later, though its name comes first
+    run()
+    run()
+    run(checkpoint=place.checkpoint + "-fresh")  # the ledger knows all of them
+    sent = [(int(r["GameID"]), r["White"]) for r in decode_payload(place.topic.read(spark)).collect()]
+    assert sorted(sent) == [(g + 1, f"b{g}") for g in range(5)] + [(g + 6, f"a{g}") for g in range(4)]
+
+    def crash(*args, real=plans.ingest, **options):
+        real(*args, **options)
+        raise RuntimeError("lost before the ledger")
+
+    drop("c", 3)
+    monkeypatch.setattr(plans, "ingest", crash)
+    with pytest.raises(Exception, match="lost before the ledger"):
+        run()
+    monkeypatch.undo()
+    drop("d", 2)
+    run()
+    load_table(spark, place.topic, place.table, place.checkpoint)
+    got = {r["gameid"]: r["white"] for r in place.table.latest(spark).collect()}
+    assert sorted(got) == list(range(1, 15)) and {got[g] for g in (10, 11, 12)} == {"c0", "c1", "c2"}
+
+
+def test_progress_is_reported(spark, place):
+    from gameflow.streaming.progress import ProgressLog
+
+    place.topic.write(encode_messages(games(spark, 1, 5).withColumn("GameID", F.concat(F.lit("x"), "GameID"))))
+    place.topic.write(encode_messages(games(spark, 6, 8)))
+    progress = ProgressLog()
+    spark.streams.addListener(progress)
+    try:
+        topic = file_topic(place.topic.read_options["path"], maxFilesPerTrigger="1")
+        jobs.start_upsert(topic.read_stream(spark), place.table, place.checkpoint, jobs.AVAILABLE_NOW).awaitTermination()
+        import time
+
+        for _ in range(100):
+            if sum(p.rows for p in progress.seen) == 8:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(progress)
+    assert sum(p.rows for p in progress.seen) == 8 and sum(p.rejected for p in progress.seen) == 5
+    assert len({p.batch_id for p in progress.seen if p.rows}) >= 2 and {p.lag for p in progress.seen} == {None}

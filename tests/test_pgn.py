@@ -224,3 +224,21 @@ def test_wrong_boundaries_stop_with_an_error(spark, tmp_path, text):
     (tmp_path / "a.pgn").write_text(text)
     with pytest.raises(Exception, match="not one game per record"):
         read_games(spark, str(tmp_path)).collect()
+
+
+def test_merged_games_stop_every_reader(spark, tmp_path):
+    text = "".join(f'[White "w{g}"]\n\n1. e4 *\n\n' for g in range(5))
+    for name in "abc":
+        (tmp_path / f"{name}.pgn").write_text(text)
+    path = str(tmp_path)
+    for use in (
+        lambda: read_games(spark, path).count(),
+        lambda: first_games_of(spark, path, 7).select("GameID").collect(),
+        lambda: numbered_games(spark, path)[0].select("GameID").collect(),
+    ):
+        with pytest.raises(Exception, match="not one game per record"):
+            use()
+    assert read_games(spark, path, opening=None).count() == 15
+    assert [r["GameID"] for r in first_games_of(spark, path, 7, opening=None).select("GameID").orderBy("GameID").collect()] == list(range(1, 8))
+    got = games_between(spark, path, 4, 9, opening=None).orderBy("GameID").select("GameID", "White").collect()
+    assert [tuple(r) for r in got] == [(5, "w4"), (6, "w0"), (7, "w1"), (8, "w2"), (9, "w3")]
