@@ -9,6 +9,7 @@ documents hold in total or cut off at any context limit, and which length a quan
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,6 +25,30 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Blanks as the split pattern knows them, and how many in a row it is not asked to split: it would
+#: go back over them one by one, each on the stack.
+BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+MANY_BLANKS = 100_000
+_MANY = re.compile(f"(?<![{BLANK}])[{BLANK}]{{{MANY_BLANKS},}}")
+
+
+def encoded_length(encoding: tiktoken.Encoding, text: str) -> int:
+    """How many tokens a text has, also where it holds very many blanks in a row.
+
+    Such a run is one piece up to its last blank, which belongs to what follows; at the end of the
+    text it is one piece as a whole. So it is cut there and encoded without splitting.
+    """
+    if len(text) < MANY_BLANKS:
+        return len(encoding.encode_ordinary(text))
+    length, at = 0, 0
+    for run in _MANY.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        length += len(encoding.encode_ordinary(text[at:run.start()]))
+        length += len(encoding._encode_single_piece(text[run.start():end]))
+        at = end
+    return length + len(encoding.encode_ordinary(text[at:]))
+
+
 @lru_cache(maxsize=2)
 def _encoding(vocabulary: bytes, pattern: str) -> tiktoken.Encoding:
     ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
@@ -39,11 +64,11 @@ def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(sent.value, pattern).encode_ordinary
+        encoding = _encoding(sent.value, pattern)
         for batch in batches:
             counts: Counter = Counter()
             for source, text in zip(batch.column(0), batch.column(1), strict=True):
-                counts[source.as_py(), len(encode(text.as_py() or ""))] += 1
+                counts[source.as_py(), encoded_length(encoding, text.as_py() or "")] += 1
             yield pa.RecordBatch.from_arrays([
                 pa.array([s for s, _ in counts], pa.string()), pa.array([k for _, k in counts], pa.int64()),
                 pa.array(counts.values(), pa.int64()),

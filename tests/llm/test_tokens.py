@@ -40,3 +40,19 @@ def test_against_single_documents(spark, rows):
 
 def test_empty_table(spark):
     assert tokens.token_counts(spark.createDataFrame([], "text string, source string")).collect() == []
+
+
+def test_very_many_blanks(spark, monkeypatch):
+    with open(tokens.VOCABULARY, "rb") as file:
+        encoding = tokens._encoding(file.read(), tokens.PATTERN)
+    monkeypatch.setattr(tokens, "MANY_BLANKS", 50)
+    monkeypatch.setattr(tokens, "_MANY", tokens.re.compile(f"(?<![{tokens.BLANK}])[{tokens.BLANK}]{{50,}}"))
+    for blank in (" ", "\n", "\t", "\u3000", " \n", "\x1c"):
+        run = blank * 90
+        for text in (run, run + "word", "word" + run, f"one{run}two{run[:40]}three{run}", f"a {run}1{run}.", f"it's{run}'s", f"\x1c{run}\x1cx"):
+            assert tokens.encoded_length(encoding, text) == len(encoding.encode_ordinary(text)), repr(text[:20])
+    monkeypatch.undo()
+    long = " " * 1_000_000
+    rows = [(t, "a") for t in (long, "\n" * 1_000_000, long + "word", f"one{long}two", "y" * 1_000_000, "x " * 500_000)]
+    got = tokens.length_histogram(spark.createDataFrame(rows, "text string, source string")).collect()
+    assert sum(r.n for r in got) == len(rows)
