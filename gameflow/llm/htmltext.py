@@ -46,8 +46,10 @@ CLOSES: dict[str, tuple[set[str], set[str]]] = {
 #: Blocks that end an open paragraph.
 ENDS_P = (set(BLOCKS) - {"tr", "caption", "option", "html", "body"} - SECTIONS) | {"table"}
 SCOPE = CELLS | {"table", "caption", "button", "object", "template"}
-MAX_SPAN = 1000
-#: Columns are padded up to this width; longer cells run over.
+#: The largest colspan and rowspan that HTML knows.
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65_534
+#: Columns are padded up to this width, so that a table with one very long cell does not become as
+#: long as that cell times its rows; longer cells run over.
 MAX_PAD = 60
 GAP = "  "
 
@@ -178,18 +180,18 @@ class Builder:
     """Open elements and the flows they write to."""
 
     def __init__(self) -> None:
-        self.open: list[list] = []  # name, hides, what to undo at the end
+        self.open: list[tuple] = []  # name, hides, what to undo at the end, the nearest element that text depends on
         self.hidden = 0
         self.flows = [Flow()]
         self.tables: list[Table] = []
         self.lists: list[list] = []  # ordered, next number
         self.pre = 0
-        self.count: dict[str, int] = {}
+        self.at: dict[str, list[int]] = {}  # places of the open elements of a name
 
     def text(self, data: str) -> None:
         if self.hidden or not data:
             return
-        in_table = next((n for n, *_ in reversed(self.open) if n in SCOPE or n in SECTIONS or n == "tr"), "")
+        in_table = self.open[-1][3] if self.open else ""
         flow = self.flows[-1]
         if in_table in SECTIONS | {"tr", "table"} and not data.strip():
             return  # between cells; other text there goes before the table
@@ -221,8 +223,9 @@ class Builder:
                 nested = name in LISTS and self.lists
                 flow.block(0 if nested else BLOCKS[name])
             undo = self._begin(name, attributes, flow)
-        self.open.append([name, hides, undo])
-        self.count[name] = self.count.get(name, 0) + 1
+        scope = name if name in SCOPE or name in SECTIONS or name == "tr" else self.open[-1][3] if self.open else ""
+        self.at.setdefault(name, []).append(len(self.open))
+        self.open.append((name, hides, undo, scope))
 
     def _begin(self, name: str, attributes: dict[str, str], flow: Flow):
         if name in LISTS:
@@ -246,17 +249,17 @@ class Builder:
             self.tables[-1].row()
         elif name in CELLS and self.tables:
             self.flows.append(Flow())
-            return _number(attributes.get("colspan"), 1, MAX_SPAN), _number(attributes.get("rowspan"), 1, MAX_SPAN)
+            return _number(attributes.get("colspan"), 1, MAX_COLSPAN), _number(attributes.get("rowspan"), 1, MAX_ROWSPAN)
         elif name == "q":
             flow.text('"')
         return None
 
     def _implied(self, name: str) -> None:
-        if name in ENDS_P and self.count.get("p") and name != "option":
+        if name in ENDS_P and self.at.get("p") and name != "option":
             self._close({"p"}, SCOPE)
         if name in CLOSES:
             closing, limit = CLOSES[name]
-            if any(self.count.get(c) for c in closing):
+            if any(self.at.get(c) for c in closing):
                 while self._close(closing, limit):
                     pass
         if name in CELLS and self.tables and not self._inside("tr", "table"):
@@ -265,25 +268,25 @@ class Builder:
             self.start("tbody", "")
 
     def _inside(self, name: str, limit: str) -> bool:
-        if not self.count.get(name):
-            return False
-        return next((n for n, *_ in reversed(self.open) if n in (name, limit)), limit) == name
+        return self._last({name}) > self._last({limit})
+
+    def _last(self, names: set[str]) -> int:
+        """Place of the innermost open element of ``names``, -1 if there is none."""
+        return max((self.at[name][-1] for name in names if self.at.get(name)), default=-1)
 
     def _close(self, names: set[str], limit: set[str]) -> bool:
         """Closes the innermost of ``names`` with all in it, unless an element of ``limit`` is nearer."""
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in names:
-                while len(self.open) > k:
-                    self._end()
-                return True
-            if self.open[k][0] in limit:
-                return False
-        return False
+        k = self._last(names)
+        if k < 0 or self._last(limit) > k:
+            return False
+        while len(self.open) > k:
+            self._end()
+        return True
 
     def end(self, name: str) -> None:
         if name == "br":
             return self.start("br", "")
-        if not self.count.get(name):
+        if not self.at.get(name):
             if name == "p" and not self.hidden:
                 self.flows[-1].block(1)
             return None
@@ -292,8 +295,8 @@ class Builder:
         return None
 
     def _end(self) -> None:
-        name, hides, undo = self.open.pop()
-        self.count[name] -= 1
+        name, hides, undo, _ = self.open.pop()
+        self.at[name].pop()
         if not self.hidden:
             if undo and len(self.flows) > 1:
                 lines = self.flows.pop().finished()

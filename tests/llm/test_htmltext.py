@@ -84,3 +84,18 @@ def test_rows(spark):
     assert sorted(map(tuple, got), key=str) == sorted(
         [(1, None), (1, None), (None, ""), (2, "é\n\né\n\né" + "x" * 100_000)], key=str)
     assert visible_text(spark.createDataFrame([], "page_id long, html string")).collect() == []
+
+
+@pytest.mark.parametrize("name", ["b", "div", "p", "li", "span", "td", "x-y"])
+def test_deep_pages_take_linear_time(name):
+    import time
+
+    started = time.time()
+    assert render(f"<{name}>x " * 200_000 if name != "li" else "<ul><li>x</ul>" * 100_000).count("x") >= 100_000
+    assert time.time() - started < 30
+
+
+def test_rowspan_over_a_thousand_rows():
+    rows = "".join(f"<tr><td>r{k}" for k in range(1, 1500))
+    lines = render(f"<table><tr><td rowspan=1500>a<td>r0{rows}</table>").split("\n")
+    assert [line.split()[-1] for line in lines] == [f"r{k}" for k in range(1500)] and lines[1400].startswith("   r")
