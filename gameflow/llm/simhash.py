@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gameflow.llm import jaccard
 from gameflow.llm.components import connected
 from gameflow.llm.store import stored
 from gameflow.llm.texts import LOWER, Block, blocks
@@ -240,21 +239,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each group of near copies the row with the smallest doc_id (nulls last), with all its columns.
+    """Of each component of :func:`near_duplicates` the row with the smallest doc_id (nulls last), with all its columns.
 
-    Near copies are texts whose sets of five-word shingles have a similarity of 0.8 or more, see
-    :mod:`gameflow.llm.jaccard`; fingerprints are not used. Rows are told apart by doc_id and a
-    hash of the text; of equal rows one stays.
+    Null, empty and wordless texts share the fingerprint zero, so one of them stays. Rows are told
+    apart by doc_id and a hash of the text; of equal rows one stays. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     slim = docs.select(F.col("doc_id").alias("__doc"), text_hash.alias("__hash"), "text")
-    marked = jaccard.marked(slim, "__doc", "__hash")
-    best = F.min(F.struct(F.col("__doc").isNull(), "__doc", "__hash"))
-    prints = marked.groupBy("node").agg(best.alias("best"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
-    prints = stored(spark, prints, "jaccard-prints")
-    ends = stored(spark, jaccard.roots(prints, slim), "jaccard-ends")
-    named = prints.join(ends, prints["node"] == ends["__node"], "left").select("best", F.coalesce("root", "node").alias("root"))
+    marked = stored(spark, fingerprints(slim, "__doc", "__hash"), "fingerprints")
+    prints = marked.groupBy("fp").agg(F.min(F.struct(F.col("__doc").isNull(), "__doc", "__hash")).alias("best"))
+    ends = roots(prints)
+    named = prints.join(ends, prints["fp"] == ends["__fp"], "left").select("best", F.coalesce("root", "fp").alias("root"))
     winners = named.groupBy("root").agg(F.min("best").alias("best")).select("best.__doc", "best.__hash")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").alias("__id"), text_hash.alias("__th"))
     kept = whole.join(winners, whole["__id"].eqNullSafe(winners["__doc"]) & (whole["__th"] == winners["__hash"]), "left_semi")
