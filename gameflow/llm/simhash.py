@@ -2,13 +2,15 @@
 
 Fingerprints that differ in at most three of 64 bits agree on one of four blocks of 16 bits, so
 each fingerprint goes into four shards, by the values of its blocks, and links are sought within
-shards only. A shard's fingerprints form a BK-tree: the children of a node hang at their Hamming
+shards only. A shard of many fingerprints is split again: its members agree on one block, so those
+that are near agree on one of four blocks of the other bits too. A shard's fingerprints form a BK-tree: the children of a node hang at their Hamming
 distance to it, and a search follows the edges within the radius of the distance it finds. The
 trees of all shards that a task holds are built and searched level by level as arrays.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,9 @@ SHINGLE_WORDS = 3
 SEED = 42
 RADIUS = 3
 BLOCKS = RADIUS + 1
-BLOCK_BITS = 64 // BLOCKS
-#: A shard of more fingerprints deals its searches to several tasks, each with the whole tree.
+#: How often the bits are cut into blocks: 16 bits, 12 of the other 48, 9 of the other 36.
+LEVELS = 3
+#: A shard of more fingerprints is split; on the last level its searches go to several tasks, each with the whole tree.
 SHARD_SEARCHES = 20_000
 #: Fingerprints whose trees a task holds at once; a larger shard is held alone.
 TREE_ROWS = 200_000
@@ -167,21 +170,47 @@ def _shard_links(shard: np.ndarray, fp: np.ndarray, asks: np.ndarray) -> tuple[n
     return fp[by[inner]], fp[by[start[inner] + (rank[inner] - 1) // 8]]
 
 
+def _agreed_bits() -> list[list[int]]:
+    """Masks of the bits on which a shard's members agree, by level; mask ``i`` is split into ``BLOCKS * i`` and the next."""
+    levels, masks = [], [0]
+    for _ in range(LEVELS):
+        split = []
+        for mask in masks:
+            free = [b for b in range(64) if not mask >> b & 1]
+            split += [mask | sum(1 << int(b) for b in block) for block in np.array_split(free, BLOCKS)]
+        masks = split
+        levels.append(masks)
+    return levels
+
+
+def _shards(prints: DataFrame) -> DataFrame:
+    """``fp``, ``key`` (its shard) and ``asks`` (whether it is searched there): all that are near meet in a shard."""
+    spark, rows, parts = prints.sparkSession, prints.select("fp", F.lit(0).alias("at")), []
+    for level, masks in enumerate(_agreed_bits()):
+        bits = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in masks])
+        at = F.explode(F.sequence(F.col("at") * BLOCKS, F.col("at") * BLOCKS + F.lit(BLOCKS - 1)))
+        rows = rows.select("fp", at.alias("at"))
+        rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.element_at(bits, F.col("at") + 1)))
+        large = rows.groupBy(F.col("at").alias("__at"), F.col("value").alias("__value")).count().where(F.col("count") > SHARD_SEARCHES)
+        large = stored(spark, large, "large-shards")
+        key = F.xxhash64(F.lit(level), "at", "value")
+        if large.isEmpty():
+            return _union([*parts, rows.select("fp", key.alias("key"), F.lit(True).alias("asks"))])
+        found = rows.join(large, (rows["at"] == large["__at"]) & (rows["value"] == large["__value"]), "left")
+        parts.append(found.where("count IS NULL").select("fp", key.alias("key"), F.lit(True).alias("asks")))
+        rows = stored(spark, found.where("count IS NOT NULL").select("fp", "at", "value", "count"), "split-shards")
+    deal = F.ceil(F.col("count") / SHARD_SEARCHES).cast("int")
+    dealt = rows.select("fp", "at", "value", deal.alias("n"), F.explode(F.sequence(F.lit(0), deal - 1)).alias("part"))
+    asks = F.pmod(F.xxhash64("fp"), F.col("n")) == F.col("part")
+    return _union([*parts, dealt.select("fp", F.xxhash64(F.lit(LEVELS), "at", "value", "part").alias("key"), asks.alias("asks"))])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def links(prints: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` that connect all fingerprints ``fp`` (distinct) within the radius."""
-    value = [F.shiftrightunsigned("fp", k * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) for k in range(BLOCKS)]
-    sharded = prints.select("fp", F.explode(F.array(*[v + (k << BLOCK_BITS) for k, v in enumerate(value)])).alias("shard"))
-    large = sharded.groupBy("shard").count().where(F.col("count") > SHARD_SEARCHES).select(
-        F.col("shard").alias("__shard"), F.ceil(F.col("count") / SHARD_SEARCHES).cast("int").alias("parts"),
-    )
-    large = stored(prints.sparkSession, large, "large-shards")
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = (
-        sharded.join(large, F.col("shard") == F.col("__shard"), "left")
-        .select("fp", "shard", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-        .withColumn("asks", F.pmod(F.xxhash64("fp"), F.col("parts")) == F.col("part"))
-        .select("shard", "part", "fp", "asks")
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -194,8 +223,7 @@ def links(prints: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_pydict({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
         for batch in batches:
-            shard, part, fp, asks = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
-            held.append(np.stack([part * (BLOCKS << BLOCK_BITS) + shard, fp, asks]))
+            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
             if sum(h.shape[1] for h in held) < TREE_ROWS:
                 continue
             rows = np.concatenate(held, axis=1)
@@ -208,8 +236,8 @@ def links(prints: DataFrame) -> DataFrame:
             if rows.shape[1]:
                 yield search(rows)
 
-    key = F.col("part") * F.lit(BLOCKS << BLOCK_BITS) + F.col("shard")
-    return dealt.repartition(key).sortWithinPartitions(key).mapInArrow(run, "a bigint, b bigint").distinct()
+    dealt = _shards(prints).select("key", "fp", "asks").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def roots(prints: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def test_links_join_all_that_are_near(spark, monkeypatch):
     expected = {}
     for p, c in zip(prints, labels, strict=True):
         expected.setdefault(c, set()).add(p)
-    for searches, rows in ((20_000, 200_000), (3, 7)):  # whole shards, and dealt searches over many batches
+    for searches, rows in ((20_000, 200_000), (8, 40), (1, 7)):  # whole shards, split ones, and dealt searches over many batches
         monkeypatch.setattr(simhash, "SHARD_SEARCHES", searches)
         monkeypatch.setattr(simhash, "TREE_ROWS", rows)
         found = {}
@@ -117,6 +118,20 @@ def test_keep_one_by_bits(spark):
     assert {r.doc_id for r in simhash.keep_one(frame).collect()} == set(labels)
 
 
+def test_hot_shard_is_split(spark):
+    """Very many fingerprints that agree on one block: each shard searched stays small, and no link is lost."""
+    rng = np.random.default_rng(17)
+    own = np.unique(rng.integers(0, 1 << 48, 200_000))
+    near = own[:500] ^ (1 << rng.integers(0, 48, 500)) ^ (1 << rng.integers(0, 48, 500))
+    prints = np.unique(np.concatenate([own, near])) | (0x5A5A << 48)
+    frame = spark.createDataFrame(pd.DataFrame({"fp": prints})).repartition(8)
+    shards = simhash._shards(frame).groupBy("key").agg(F.count("*").alias("n"), F.min("asks").alias("all")).agg(F.max("n"), F.min("all")).first()
+    assert shards[0] <= simhash.SHARD_SEARCHES and shards[1]
+    found = {frozenset((r.a, r.b)) for r in simhash.links(frame).collect()}
+    assert {frozenset((int(a) | 0x5A5A << 48, int(b) | 0x5A5A << 48)) for a, b in zip(own[:500], near, strict=True) if a != b} <= found
+    assert all((a ^ b).bit_count() <= 9 for a, b in map(tuple, found))  # a set's members hang under one that is a few links off
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).collect() == [] == simhash.keep_one(empty).collect()
