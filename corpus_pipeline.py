@@ -18,7 +18,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with similar five-word shingles the document with the smallest doc_id."""
+    """Of each group of texts with near fingerprints the document with the smallest doc_id."""
     return simhash.keep_one(docs)
 
 
