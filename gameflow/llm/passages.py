@@ -105,8 +105,10 @@ def repeated_passages(docs: DataFrame, words: int) -> DataFrame:
             places = stored(spark, places, "passage-places")
     near = slim.join(places, slim["doc_id"].eqNullSafe(places["__doc"]) & (slim["th"] == places["__th"]))
     schema = f"h1 bigint, h2 bigint, doc_id {kind}, th bigint, start int, end int"
-    windows = stored(spark, near.select("doc_id", "th", "text", "ranges").mapInArrow(hashed, schema), "passage-windows")
-    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
-    twice = stored(spark, twice.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2")), "passage-twice")
-    hit = windows.join(twice, (windows["h1"] == twice["__h1"]) & (windows["h2"] == twice["__h2"]), "left_semi")
-    return hit.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    # The windows are by far the largest table here, so they go as soon as their runs are known.
+    with temporarily(spark, near.select("doc_id", "th", "text", "ranges").mapInArrow(hashed, schema), "passage-windows") as windows:
+        twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
+        with temporarily(spark, twice.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2")), "passage-twice") as twice:
+            hit = windows.join(twice, (windows["h1"] == twice["__h1"]) & (windows["h2"] == twice["__h2"]), "left_semi")
+            spans = hit.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+            return stored(spark, spans, "passage-spans")

@@ -23,11 +23,12 @@ more than ``MAX_GROUP`` occurrences of one string.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gameflow.llm.passages import repeated_passages
@@ -321,22 +322,22 @@ def _on_key(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     return joined.drop(*[f"__{k}" for k in KEY])
 
 
-def _solve(spark: SparkSession, classes: DataFrame, splits: tuple[int, ...]) -> DataFrame:
+def _solve(keep: Callable[[DataFrame, str], DataFrame], classes: DataFrame, splits: tuple[int, ...]) -> DataFrame:
     """Ranges ``near``..``far`` of repeating windows of classes that share a gram with others."""
     # Written before they are joined, so that Spark can split a string that stands in most classes.
-    few = stored(spark, _grams_between(classes, 2, MAX_GROUP), "suffix-few")
-    many = stored(spark, _grams_between(classes, MAX_GROUP + 1, None), "suffix-many")
+    few = keep(_grams_between(classes, 2, MAX_GROUP), "suffix-few")
+    many = keep(_grams_between(classes, MAX_GROUP + 1, None), "suffix-many")
     result = _by_sorting(classes.join(few, classes["gram"] == few["__gram"], "left_semi"))
     if not splits:
         return result
     hot = classes.join(many, classes["gram"] == many["__gram"], "left_semi")
-    parts = stored(spark, _split(hot, splits[0]), "suffix-parts")
+    parts = keep(_split(hot, splits[0]), "suffix-parts")
     folded = parts.groupBy(*KEY, "nearest", "farthest").agg(F.count("*").alias("n"), F.any_value("text").alias("text"))
-    folded = stored(spark, folded, "suffix-folded")
+    folded = keep(folded, "suffix-folded")
     if folded.isEmpty():
         return result
     settled = folded.where("n > 1").select(*KEY, F.col("nearest").alias("near"), F.col("farthest").alias("far"))
-    inner = settled.union(_solve(spark, folded, splits[1:]))
+    inner = settled.union(_solve(keep, folded, splits[1:]))
     back = _on_key(parts.select(*KEY, "o_gram", "o_c1", "o_c2"), inner)
     return result.union(back.select(*[F.col(f"o_{k}").alias(k) for k in KEY], "near", "far"))
 
@@ -358,23 +359,28 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``th`` and ``spans``, the byte ranges to remove (they may overlap), of the rows
     of ``docs(doc_id, th, text)`` that have any; ``th`` is a hash of the text."""
-    spark = docs.sparkSession
+    with ExitStack() as scratch:  # tables that go once the spans are written
+        spans = _spans(docs, lambda frame, name: scratch.enter_context(temporarily(docs.sparkSession, frame, name)))
+        return stored(docs.sparkSession, spans, "suffix-spans")
+
+
+def _spans(docs: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     # Most anchors occur once and go here; the texts around the others are read again.
-    with temporarily(spark, anchors(docs), "suffix-anchors") as found:
+    with temporarily(docs.sparkSession, anchors(docs), "suffix-anchors") as found:
         # Written first, so that the join deals out both sides anew and Spark can split a string
         # that stands in most rows.
         often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("__gram"))
-        with temporarily(spark, often, "suffix-often") as often:
-            again = stored(spark, found.join(often, found["gram"] == often["__gram"], "left_semi"), "suffix-repeated")
+        with temporarily(docs.sparkSession, often, "suffix-often") as often:
+            again = keep(found.join(often, found["gram"] == often["__gram"], "left_semi"), "suffix-repeated")
     place = F.struct("doc_id", "th", "anchor", "first", "last")
     folded = again.groupBy(*KEY).agg(F.count("*").alias("n"), F.min(place).alias("place")).select(*KEY, "n", "place.*")
-    folded = stored(spark, folded, "suffix-classes")
-    several = stored(spark, _grams_between(folded, 2, None), "suffix-several")
-    classes = stored(spark, _texts_of(docs, folded.join(several, folded["gram"] == several["__gram"], "left_semi")), "suffix-texts")
+    folded = keep(folded, "suffix-classes")
+    several = keep(_grams_between(folded, 2, None), "suffix-several")
+    classes = keep(_texts_of(docs, folded.join(several, folded["gram"] == several["__gram"], "left_semi")), "suffix-texts")
     settled = folded.where("n > 1").select(
         *KEY, (F.col("anchor") - F.col("last")).alias("near"), (F.col("anchor") - F.col("first")).alias("far")
     )
-    ranges = settled.union(_solve(spark, classes, SPLITS))
+    ranges = settled.union(_solve(keep, classes, SPLITS))
     span = F.struct((F.col("anchor") - F.col("far")).alias("start"), (F.col("anchor") - F.col("near") + LENGTH).alias("end"))
     return _on_key(again, ranges).groupBy("doc_id", "th").agg(F.collect_set(span).alias("spans"))
 
@@ -458,7 +464,9 @@ def remove_repeats(docs: DataFrame, length_column: str | None = None, words: int
     """
     names = docs.columns
     types = dict(docs.dtypes)
-    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
+    # The text goes through the joins once, beside the other columns.
+    others = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("__row")
+    whole = docs.select("doc_id", "text", F.col("text").isNull().alias("__null"), others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -472,8 +480,8 @@ def remove_repeats(docs: DataFrame, length_column: str | None = None, words: int
     cleaned = joined.where("spans is not null").select("__row", "text", "spans").mapInArrow(
         run, f"__row {dict(whole.dtypes)['__row']}, __text string"
     )
-    untouched = joined.where("spans is null").select("__row", F.col("__row.text").alias("__text"))
-    special = {"text": F.col("__text")}
+    untouched = joined.where("spans is null").select("__row", F.when(~F.col("__null"), F.col("text")).alias("__text"))
+    special = {"text": F.col("__text").cast(types["text"])}
     if length_column:
         special[length_column] = F.when(F.col("__text").isNotNull(), F.length("__text")).cast(types[length_column])
     return untouched.union(cleaned).select(*[special.get(c, F.col("__row")[c]).alias(c) for c in names])
