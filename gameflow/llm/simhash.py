@@ -279,9 +279,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     prints = marked.groupBy("fp").agg(F.min(F.struct(F.col("__doc").isNull(), "__doc", "__hash")).alias("best"))
     ends = roots(prints)
     named = prints.join(ends, prints["fp"] == ends["__fp"], "left").select("best", F.coalesce("root", "fp").alias("root"))
-    winners = named.groupBy("root").agg(F.min("best").alias("best")).select("best.__doc", "best.__hash")
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").alias("__id"), text_hash.alias("__th"))
-    kept = whole.join(winners, whole["__id"].eqNullSafe(winners["__doc"]) & (whole["__th"] == winners["__hash"]), "left_semi")
-    # Equal rows lie side by side after the join; which of them is the first does not matter.
-    place = F.row_number().over(Window.partitionBy("__id", "__th").orderBy("__id", "__th"))
+    winners = named.groupBy("root").agg(F.min("best").alias("best"))
+    # One key for the join and for telling equal rows apart, so that whole rows are shuffled once.
+    winners = winners.select(F.xxhash64("best.__doc", F.col("best.__doc").isNull()).alias("__k"), F.col("best.__hash").alias("__h"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    whole = docs.select(row, F.xxhash64("doc_id", F.col("doc_id").isNull()).alias("__id"), text_hash.alias("__th"))
+    kept = whole.join(winners, (whole["__id"] == winners["__k"]) & (whole["__th"] == winners["__h"]), "left_semi")
+    # Which of equal rows is the first does not matter.
+    place = F.row_number().over(Window.partitionBy("__id", "__th").orderBy("__id"))
     return kept.withColumn("__place", place).where("__place = 1").select("__row.*")
