@@ -33,7 +33,7 @@ RESUME = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r?\n")
 VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
 
 RECORD_SCHEMA = (
-    "kind string, archive string, offset bigint, length bigint, reason string, record_type string, record_id string, "
+    "kind string, archive string, offset bigint, length bigint, inner_offset bigint, inner_length bigint, reason string, record_type string, record_id string, "
     "target_uri string, refers_to string, payload_digest string, payload_bytes bigint, payload binary"
 )
 
@@ -138,7 +138,7 @@ def _parse(data: bytes, at: int) -> tuple[dict | str, int]:
         http, _, payload = block.partition(END)
         http_length = _headers(http).get("content-length")
     kind = headers["warc-type"]
-    declared = headers.get("warc-payload-digest", "")
+    declared, verified = headers.get("warc-payload-digest", ""), False
     digest = hashlib.sha1(payload).hexdigest()
     if declared.startswith("sha1:"):
         try:
@@ -147,71 +147,114 @@ def _parse(data: bytes, at: int) -> tuple[dict | str, int]:
             return "digest", min(end + 4, len(data))
         if kind != "revisit" and stated != digest:
             return "digest", min(end + 4, len(data))
-        digest = stated
+        digest, verified = stated, kind != "revisit" and "warc-record-id" in headers
     size = len(payload)
     if kind == "revisit":
         payload, size = None, int(http_length) if http_length and http_length.isdigit() else None
     return {
         "record_type": kind, "record_id": headers.get("warc-record-id"), "target_uri": headers.get("warc-target-uri"),
         "refers_to": headers.get("warc-refers-to"), "payload_digest": digest, "payload_bytes": size, "payload": payload,
+        "verified": verified,
     }, min(end + 4, len(data))
 
 
-def _unpack(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """The content of the gzip member at ``at`` and its end, or None if it is damaged or cut off."""
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """The content of the gzip member at ``at``, its end, and whether it is whole.
+
+    Of a damaged or cut member it is the content before the damage, and the place of that.
+    """
     unpacker = zlib.decompressobj(31)
     parts, place = [], at
-    try:
-        while not unpacker.eof and place < len(data):
+    while not unpacker.eof and place < len(data):
+        before = unpacker.copy()
+        try:
             parts.append(unpacker.decompress(data[place:place + 65536]))
             place += 65536
-    except zlib.error:
-        return None, at + 1
+        except zlib.error:
+            try:  # byte by byte up to the damage
+                while True:
+                    parts.append(before.decompress(data[place:place + 1]))
+                    place += 1
+            except zlib.error:
+                return b"".join(parts), place, False
     if not unpacker.eof:
-        return None, at + 1
-    return b"".join(parts), min(place, len(data)) - len(unpacker.unused_data)
+        return b"".join(parts), len(data), False
+    return b"".join(parts), min(place, len(data)) - len(unpacker.unused_data), True
+
+
+def _scan(data: bytes, whole: bool) -> Iterator[dict]:
+    """Records of a member's content and the gaps between them, with their places in it.
+
+    If the member is not ``whole``, its checksum vouches for nothing, and a record counts only if
+    its payload meets a stated digest.
+    """
+    at = gap = 0
+    reason = ""
+    while at < len(data):
+        if not reason and data[at] in b"\r\n":
+            at += 1
+            continue
+        record, end = _parse(data, at)
+        if isinstance(record, dict) and (whole or record["verified"]):
+            if reason:
+                yield {"kind": "gap", "inner_offset": gap, "inner_length": at - gap, "reason": reason}
+            yield {"kind": "record", "inner_offset": at, "inner_length": end - at, "reason": None} | record
+            at, reason = end, ""
+            continue
+        if not reason:
+            gap, reason = at, record if isinstance(record, str) else "unverified"
+        resume = VERSION.search(data, max(end, at + 1))
+        at = resume.start() if resume else len(data)
+    if reason:
+        yield {"kind": "gap", "inner_offset": gap, "inner_length": len(data) - gap, "reason": reason}
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Records of an archive in order, and the gaps (``kind`` gap) where none could be read.
 
-    ``offset`` and ``length`` are bytes of the archive. A gap ends where a record is valid again,
-    so what looks like a beginning but fails its checks stays inside the gap. Line ends between
-    records are padding. Nothing of a record that fails is returned.
+    ``offset`` and ``length`` are bytes of the archive; rows from within a gzip member carry the
+    member's, and ``inner_offset`` and ``inner_length`` tell the place in its content. A gap ends
+    where a record is valid again, so what looks like a beginning but fails its checks stays inside
+    the gap. Line ends between records are padding. Nothing of a record that fails is returned.
+
+    A member whose checksum holds loses only the records in it that fail, each a gap of that member.
+    A damaged or cut member is part of a gap; records before the damage that meet their digests are
+    returned, with the bytes up to the damage, ahead of the gap they lie in.
     """
-    at = gap = 0
+    at = gap = damage = 0
     reason = ""
+    saved: set[tuple[str | None, str]] = set()
 
     def closed(end: int) -> Iterator[dict]:
         if reason:
             yield {"kind": "gap", "offset": gap, "length": end - gap, "reason": reason}
 
     while at < len(data):
-        found, end = None, at
+        found, end, problem = [], at + 1, "garbage"
         if data.startswith(MAGIC, at):
-            inside, end = _unpack(data, at)
-            problem = "gzip"
-            if inside is not None:
-                records, place = [], 0
-                while place < len(inside):
-                    record, place = _parse(inside, place)
-                    if isinstance(record, str):
-                        records, problem = None, record
-                        break
-                    records.append(record)
-                found = records or None
+            inside, end, whole = _unpack(data, at)
+            found = [{"offset": at, "length": end - at} | row for row in _scan(inside, whole)]
+            problem = found[0]["reason"] if whole and found else "gzip"
+            if not whole:
+                kept = [r for r in found if r["kind"] == "record"]
+                yield from kept
+                # Uncompressed blocks show their version lines, where the same records must not count again.
+                saved |= {(r["record_id"], r["payload_digest"]) for r in kept}
+                found, damage, end = [], max(damage, end), at + 1
+            elif all(r["kind"] == "gap" for r in found):
+                found = []
         elif data.startswith(b"WARC/", at):
             record, end = _parse(data, at)
-            found, problem = (None, record) if isinstance(record, str) else ([record], "")
+            if isinstance(record, str):
+                problem = record
+            elif at >= damage or (record["record_id"], record["payload_digest"]) not in saved:
+                found = [{"kind": "record", "offset": at, "length": end - at, "reason": None} | record]
         elif not reason and data[at] in b"\r\n":
             at += 1
             continue
-        else:
-            problem, end = "garbage", at + 1
         if found:
             yield from closed(at)
-            for record in found:
-                yield {"kind": "record", "offset": at, "length": end - at, "reason": None} | record
+            yield from found
             at, reason = end, ""
             continue
         if not reason:
@@ -228,7 +271,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     source ends at 2 GB. ``payloads=False`` leaves the payload bytes out.
     """
     names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
-    types = {"offset": pa.int64(), "length": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
+    types = {n: pa.int64() for n in ("offset", "length", "inner_offset", "inner_length")} | {"payload_bytes": pa.int64(), "payload": pa.binary()}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

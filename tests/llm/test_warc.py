@@ -112,6 +112,53 @@ def test_wrong_length_and_digest():
     assert ids(found) == [0, 2] and [r["reason"] for r in found if r["kind"] == "gap"] == ["digest"]
 
 
+def test_failed_record_costs_its_member_nothing_else():
+    parts = records()
+    for bad in range(8):
+        for how, reason in (("digest", "digest"), ("version", "header"), ("length", None)):
+            broken = list(parts)
+            broken[bad] = {
+                "digest": parts[bad].replace(b"payload", b"payloaD", 1) if b"payload" in parts[bad] else parts[bad],
+                "version": parts[bad].replace(b"WARC/1.1", b"WARX/1.1", 1),
+                "length": parts[bad].replace(b"\r\nContent-Length: ", b"\r\nContent-Length: 9"),
+            }[how]
+            data = parts[0] + gzip.compress(b"".join(broken)) + parts[7]
+            found = list(warc.salvage(data))
+            assert ids(found) == [0, *(k for k in range(8) if k != bad), 7], (bad, how)
+            gap, = (r for r in found if r["kind"] == "gap")
+            assert reason in (None, gap["reason"])
+            start = len(b"".join(broken[:bad]))
+            assert (gap["inner_offset"], gap["inner_length"]) == (start, len(broken[bad]))
+            assert gap["offset"] == len(parts[0]) and gap["offset"] + gap["length"] == len(data) - len(parts[7])
+
+
+def test_cut_and_flipped_members_of_many_records():
+    parts = records()
+    plain = b"".join(parts)
+    number = {f"payload {k} ".encode() * (50 + k): k for k in range(8)}
+    for level in (0, 6):
+        packed = gzip.compress(plain, level)
+        rng = random.Random(level)
+        damaged = [(packed[:n], n) for n in (len(packed) - 1, len(packed) - 9, len(packed) // 2, 20, 3)]
+        for _ in range(60):
+            n = rng.randrange(10, len(packed))
+            damaged.append((packed[:n] + bytes([packed[n] ^ 1 << rng.randrange(8)]) + packed[n + 1:], n))
+        for x, n in damaged:
+            data = parts[7] + x + warc._member(parts[0])
+            found = list(warc.salvage(data))
+            got = [number[r["payload"]] for r in found if r["kind"] == "record"]  # none is altered
+            assert got[0] == 7 and got[-1] == 0
+            assert len(set(got[1:-1])) == len(got) - 2  # none twice
+            # Where a damaged length shows uncompressed records, they part the gap.
+            gaps = [(r["offset"], r["offset"] + r["length"]) for r in found if r["kind"] == "gap"]
+            assert gaps[0][0] == len(parts[7]) and gaps[-1][1] == len(parts[7]) + len(x)
+            assert level == 0 or len(gaps) == 1
+            if n >= len(packed) - 8:  # only the checksum is hurt
+                assert got == [7, *range(8), 0]
+    half = list(warc.salvage(gzip.compress(plain, 0)[:len(plain) // 2]))
+    assert ids(half) == [0, 1, 2, 3]
+
+
 def test_random_bytes_never_stop_the_reader(spark, tmp_path):
     rng = random.Random(6)
     (tmp_path / "a").mkdir()
