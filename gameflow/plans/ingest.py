@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
-from functools import partial
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,26 +20,27 @@ from gameflow.session import path_exists, scratch_folders, side_by_side
 from gameflow.sources.csv_chunks import read_chunks, write_chunks
 from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, sort_letters, write_letter
 from gameflow.sources.messages import encode_messages
-from gameflow.sources.pgn import (
-    FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, list_files, parse_records, read_records,
-)
+from gameflow.sources.archives import FRAME_BYTES
+from gameflow.sources.pgn import FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, parse_records, read_by_frame
 from gameflow.streaming.jobs import AVAILABLE_NOW, start_batches, start_upsert
 
 log = logging.getLogger(__name__)
 
 
 def numbered_games(
-    spark: SparkSession, paths: str | Sequence[str], before: int = 0, opening: str | None = FIRST_TAG, newline: str = "\n"
+    spark: SparkSession, paths: str | Sequence[str], before: int = 0, opening: str | None = FIRST_TAG, newline: str = "\n",
+    frame_bytes: int = FRAME_BYTES,
 ) -> tuple[DataFrame, int]:
     """Parsed games with their numbers, counted on from ``before``, and how many there are.
 
-    An archive that cannot be split is unpacked by one task. Parsing costs far more than
-    unpacking, so where there is one the numbered records are spread over the cluster first;
-    other files are parsed where they are read.
+    An archive of several frames is unpacked and parsed by a task for every ``frame_bytes`` packed
+    bytes, any other by one. Parsing costs far more than unpacking, so where there is one of those
+    the numbered records are spread over the cluster first; other files are parsed where they are read.
     """
-    records, total = number_and_count(read_records(spark, paths, opening, newline))
+    parts = [part for part in read_by_frame(spark, paths, opening, newline, frame_bytes) if part is not None]
+    records, total = number_and_count(reduce(DataFrame.union, parts))
     records = records.withColumn("GameID", F.col("GameID") + before)
-    if any(path.endswith(UNSPLITTABLE) for path in list_files(spark, paths)):
+    if any(path.endswith(UNSPLITTABLE) for path in parts[0].inputFiles()):
         records = records.hint("rebalance")
     return parse_records(records, keep=("GameID", *PLACE_COLUMNS)), total
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gameflow.functions import pgn
 from gameflow.schema import FIELD_TAGS, MESSAGE_FIELDS
+from gameflow.sources.archives import FRAME_BYTES, index_frames, read_frames
 
 FIRST_TAG = "Event"
 PLACE_COLUMNS = ("source_path", "block_start")
@@ -29,14 +31,40 @@ def read_records(
     cut where a line with a tag follows an empty line, whose line ends must be ``newline``.
     A record that turns out not to be one game stops the query, also one that only counts records
     or reads their numbers: the check is a filter, which pruning of columns keeps.
-    Compressed archives are read as they are, one task each.
+    Compressed archives are read as they are, one task each; :func:`read_by_frame` splits them.
     """
-    separator = f"\n[{opening} " if opening else f"{newline}{newline}["
     raw = (
-        spark.read.option("lineSep", separator)
+        spark.read.option("lineSep", _separator(opening, newline))
         .text(paths if isinstance(paths, str) else list(paths))
         .select("value", "_metadata.file_path", "_metadata.file_block_start")
     )
+    return _records(raw, opening)
+
+
+def read_by_frame(
+    spark: SparkSession, paths: str | Sequence[str], opening: str | None = FIRST_TAG, newline: str = "\n",
+    frame_bytes: int = FRAME_BYTES, only: Column | None = None,
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Records as :func:`read_records` gives them, in two frames: those of files that the text source
+    reads, and those of archives with several frames, a task for every ``frame_bytes`` packed bytes.
+
+    Either is None if there are no such files. The archives are looked through when this is called;
+    ``only`` is a condition on ``file_path`` that leaves archives unopened, not a filter on the rest.
+    """
+    index, framed = index_frames(spark, paths, frame_bytes, only)
+    if not framed:
+        return read_records(spark, paths, opening, newline), None
+    split = {_plain(path) for path in framed}
+    others = [path for path in list_files(spark, paths) if _plain(path) not in split]
+    pieces = _records(read_frames(spark, index, _separator(opening, newline)), opening)
+    return read_records(spark, others, opening, newline) if others else None, pieces
+
+
+def _separator(opening: str | None, newline: str) -> str:
+    return f"\n[{opening} " if opening else f"{newline}{newline}["
+
+
+def _records(raw: DataFrame, opening: str | None) -> DataFrame:
     # A piece is a game if it starts with a tag (first in its file) or with what the separator
     # left of one; anything else is text before the first game.
     rest, lost = ('"', f"[{opening} ") if opening else (r'[^\s\["]+[ \t]+"', "[")
@@ -109,18 +137,29 @@ def read_corpus(
     root: str,
     periods: Iterable[str] | None = None,
     period_pattern: str = r"(\d{4}-\d{2})",
+    frame_bytes: int = FRAME_BYTES,
 ) -> DataFrame:
     """Games of a folder of dumps, with the ``period`` found in each file path.
 
     ``periods`` picks dumps; the condition is on file metadata alone, so Spark drops the
-    other files when it lists the folder and never opens them.
+    other files when it lists the folder and never opens them. Archives of several frames
+    are unpacked by a task for every ``frame_bytes`` packed bytes, others by one.
     """
-    records = read_records(spark, root).withColumn(
-        "period", F.regexp_extract("source_path", period_pattern, 1)
-    )
-    if periods is not None:
-        records = records.filter(F.col("period").isin(list(periods)))
-    return parse_records(spread_archives(records), keep=(*PLACE_COLUMNS, "period"))
+    def period(path: str) -> Column:
+        return F.regexp_extract(path, period_pattern, 1)
+
+    chosen = None if periods is None else list(periods)
+    only = None if chosen is None else period("file_path").isin(chosen)
+    scanned, framed = read_by_frame(spark, root, frame_bytes=frame_bytes, only=only)
+
+    def dated(records: DataFrame) -> DataFrame:
+        records = records.withColumn("period", period("source_path"))
+        return records if chosen is None else records.filter(F.col("period").isin(chosen))
+
+    parts = [spread_archives(dated(scanned))] if scanned is not None else []
+    if framed is not None:
+        parts.append(dated(framed))
+    return parse_records(reduce(DataFrame.union, parts), keep=(*PLACE_COLUMNS, "period"))
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
