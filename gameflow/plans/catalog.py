@@ -101,6 +101,22 @@ def corpus_scan(spark, sf_dir):
     )
 
 
+# Small, since the given tables are: their archives then have several tasks too.
+FRAME_BYTES = 4 << 10
+
+
+@query("""
+SELECT strftime(ts, '%Y-%m-%d') AS period, event_type AS result, count(*) AS n_games,
+       count(DISTINCT user_id) AS n_white
+FROM events GROUP BY 1, 2
+""")
+def corpus_scan_frames(spark, sf_dir):
+    games = read_corpus(spark, standins.frame_corpus_files(spark, sf_dir), period_pattern=r"day=(\d{4}-\d{2}-\d{2})", frame_bytes=FRAME_BYTES)
+    return games.groupBy("period", F.col("Result").alias("result")).agg(
+        F.count("*").alias("n_games"), F.countDistinct("White").alias("n_white")
+    )
+
+
 @query("""
 SELECT 'b' || CAST(event_id AS VARCHAR) AS black, '-' AS round,
        CASE WHEN event_type = 'click' THEN '180+0' ELSE '' END AS timecontrol,

@@ -7,6 +7,11 @@ whole table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,6 +150,57 @@ def corpus_files(spark: SparkSession, sf_dir: str) -> str:
     return land_once(spark, sf_dir, "corpus", write)
 
 
+def frame_corpus_files(spark: SparkSession, sf_dir: str) -> str:
+    """The corpus with a third of its dumps as archives of many frames, cut anywhere in a game;
+    a third are archives of one frame, the others plain."""
+
+    def write(path: str) -> None:
+        dated = games(spark, sf_dir).withColumn("movetext", event_movetext())
+        day = F.replace("Date", F.lit("."), F.lit("-")).alias("day")
+        for part, options in ((0, {}), (1, {"compression": "gzip"})):
+            chosen = dated.filter(F.substring("Date", 9, 2).cast("int") % 3 == part)
+            _pgn_text(chosen, day).write.mode("append").partitionBy("day").options(**options).text(path)
+        framed = _in_files(_pgn_text(dated.filter(F.substring("Date", 9, 2).cast("int") % 3 == 2), day), "day")
+        written = framed.mapInArrow(partial(_write_frames, path=path), "n_frames long")
+        written.write.format("noop").mode("overwrite").save()
+
+    return land_once(spark, sf_dir, "frame-corpus", write)
+
+
+FRAME_CHARS = 8192
+
+
+def _write_frames(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Writes the texts of each day to an archive whose frames end every ``FRAME_CHARS`` bytes."""
+    import zstandard
+    from pyspark import TaskContext
+
+    system, folder = pyarrow.fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    task, frames, day, archive, held = TaskContext.get(), 0, None, None, b""
+    name = f"part-{task.partitionId():05d}.zst"
+
+    def close() -> None:
+        if archive is not None:
+            archive.write(zstandard.ZstdCompressor().compress(held))
+            archive.close()
+            # Under its name only when whole, so that a repeated attempt replaces it.
+            system.move(f"{folder}/day={day}/_{task.taskAttemptId()}", f"{folder}/day={day}/{name}")
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["day"] != day:
+                close()
+                day, held = row["day"], b""
+                system.create_dir(f"{folder}/day={day}")
+                archive = system.open_output_stream(f"{folder}/day={day}/_{task.taskAttemptId()}")
+            held += row["value"].encode() + b"\n"
+            while len(held) >= FRAME_CHARS:
+                archive.write(zstandard.ZstdCompressor().compress(held[:FRAME_CHARS]))
+                frames, held = frames + 1, held[FRAME_CHARS:]
+    close()
+    yield pa.RecordBatch.from_arrays([pa.array([frames], pa.int64())], names=["n_frames"])
+
+
 def conversation_files(spark: SparkSession, sf_dir: str) -> str:
     """Conversation texts as movetext, wrapped in what the move scan must drop."""
 
