@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gameflow.session import scratch_path
+from gameflow.session import path_exists, scratch_path
 
 # One index row per input split takes about 100 bytes in a broadcast hash table.
 MAX_BROADCAST_SPLITS = 2_000_000
@@ -15,7 +15,7 @@ def number_games(games: DataFrame, scope: str = "corpus") -> DataFrame:
     return number_and_count(games, scope)[0]
 
 
-def number_and_count(games: DataFrame, scope: str = "corpus") -> tuple[DataFrame, int]:
+def number_and_count(games: DataFrame, scope: str = "corpus", kept: str | None = None) -> tuple[DataFrame, int]:
     """The numbered games and how many there are.
 
     Adds ``GameID``: the position of a game in its corpus, or in its file (``scope="file"``).
@@ -32,6 +32,9 @@ def number_and_count(games: DataFrame, scope: str = "corpus") -> tuple[DataFrame
 
     Both passes must see the same split layout. Every row is checked against the index
     and a difference stops the query rather than misnumbering a game.
+
+    ``kept`` is a path for the index. If it is there already the first pass is left out, so its
+    name must change with the files and with the split layout (see ``sources.pgn.layout_key``).
     """
     if scope not in ("corpus", "file"):
         raise ValueError(f"scope must be 'corpus' or 'file', not {scope!r}")
@@ -42,12 +45,13 @@ def number_and_count(games: DataFrame, scope: str = "corpus") -> tuple[DataFrame
         F.spark_partition_id().alias("_task"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    path = scratch_path(spark, "split-index")
-    (
-        placed.groupBy("source_path", "_file", "block_start", "_task")
-        .agg(F.count("*").alias("n"), F.min("_row").alias("first"))
-        .write.parquet(path)
-    )
+    path = kept or scratch_path(spark, "split-index")
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        (
+            placed.groupBy("source_path", "_file", "block_start", "_task")
+            .agg(F.count("*").alias("n"), F.min("_row").alias("first"))
+            .write.mode("overwrite").parquet(path)
+        )
     index = spark.read.parquet(path)
     size = index.agg(
         F.count("*").alias("splits"),

@@ -21,7 +21,7 @@ from gameflow.sources.csv_chunks import read_chunks, write_chunks
 from gameflow.sources.dead_letters import list_letters, read_letters, remove_letters, sort_letters, write_letter
 from gameflow.sources.messages import encode_messages
 from gameflow.sources.archives import FRAME_BYTES
-from gameflow.sources.pgn import FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, parse_records, read_by_frame
+from gameflow.sources.pgn import FIRST_TAG, PLACE_COLUMNS, UNSPLITTABLE, files_between, layout_key, parse_records, read_by_frame
 from gameflow.streaming.jobs import AVAILABLE_NOW, start_batches, start_upsert
 
 log = logging.getLogger(__name__)
@@ -29,16 +29,21 @@ log = logging.getLogger(__name__)
 
 def numbered_games(
     spark: SparkSession, paths: str | Sequence[str], before: int = 0, opening: str | None = FIRST_TAG, newline: str = "\n",
-    frame_bytes: int = FRAME_BYTES,
+    frame_bytes: int = FRAME_BYTES, index: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Parsed games with their numbers, counted on from ``before``, and how many there are.
 
     An archive of several frames is unpacked and parsed by a task for every ``frame_bytes`` packed
     bytes, any other by one. Parsing costs far more than unpacking, so where there is one of those
     the numbered records are spread over the cluster first; other files are parsed where they are read.
+
+    ``index`` is a folder that keeps where frames begin and how many games each split holds. While
+    the files and the split settings are as they were, a later call counts nothing again.
     """
-    parts = [part for part in read_by_frame(spark, paths, opening, newline, frame_bytes) if part is not None]
-    records, total = number_and_count(reduce(DataFrame.union, parts))
+    kept = f"{index}/{layout_key(spark, paths, opening, newline, frame_bytes)}" if index else None
+    both = read_by_frame(spark, paths, opening, newline, frame_bytes, kept=kept and f"{kept}/frames")
+    parts = [part for part in both if part is not None]
+    records, total = number_and_count(reduce(DataFrame.union, parts), kept=kept and f"{kept}/splits")
     records = records.withColumn("GameID", F.col("GameID") + before)
     if any(path.endswith(UNSPLITTABLE) for path in parts[0].inputFiles()):
         records = records.hint("rebalance")
@@ -46,20 +51,22 @@ def numbered_games(
 
 
 def first_games_of(
-    spark: SparkSession, paths: str | Sequence[str], count: int, opening: str | None = FIRST_TAG, newline: str = "\n"
+    spark: SparkSession, paths: str | Sequence[str], count: int, opening: str | None = FIRST_TAG, newline: str = "\n",
+    index: str | None = None,
 ) -> DataFrame:
     """The first ``count`` games in file order; files after the one that holds the last are not read."""
-    return games_between(spark, paths, 0, count, opening, newline)
+    return games_between(spark, paths, 0, count, opening, newline, index)
 
 
 def games_between(
     spark: SparkSession, paths: str | Sequence[str], start: int, end: int,
-    opening: str | None = FIRST_TAG, newline: str = "\n",
+    opening: str | None = FIRST_TAG, newline: str = "\n", index: str | None = None,
 ) -> DataFrame:
     """The games at positions ``[start, end)``; the scan holds only the files with those games.
-    ``opening`` and ``newline`` say how games begin, see :func:`gameflow.sources.pgn.read_records`."""
-    files, before = files_between(spark, paths, start, end, opening, newline)
-    return slice_range(numbered_games(spark, files, before, opening, newline)[0], start, end)
+    ``opening`` and ``newline`` say how games begin, see :func:`gameflow.sources.pgn.read_records`.
+    ``index`` is a folder in which counts are kept for later calls; files that changed are counted again."""
+    files, before = files_between(spark, paths, start, end, opening, newline, index)
+    return slice_range(numbered_games(spark, files, before, opening, newline, index=index)[0], start, end)
 
 
 def deliver(games: DataFrame, topic, dead_letters: str, label: str, kind: str = "df", batch_id: int | None = None) -> bool:
@@ -122,6 +129,7 @@ def ingest(
     opening: str | None = FIRST_TAG,
     newline: str = "\n",
     senders: int = 4,
+    index: str | None = None,
 ) -> Ingested:
     """PGN files to messages: scan, number, land as CSV chunks, send chunks side by side.
 
@@ -133,11 +141,12 @@ def ingest(
     goes through number ``k`` modulo how many there are. Errors of the scan are no refusals and end
     the job before anything is sent. ``landing`` keeps the chunks and must not exist yet.
     ``start_at`` is the number of games sent before, so that a later dump gets keys of its own.
+    ``index`` is a folder in which counts of games are kept between calls.
     """
     topics = list(topic) if isinstance(topic, (list, tuple)) else [topic]
     if count is not None:
-        paths, _ = files_between(spark, paths, 0, count, opening, newline)
-    games, total = numbered_games(spark, paths, opening=opening, newline=newline)
+        paths, _ = files_between(spark, paths, 0, count, opening, newline, index)
+    games, total = numbered_games(spark, paths, opening=opening, newline=newline, index=index)
     if count is not None:
         games, total = first_games(games, count), min(count, total)
     with scratch_folders(spark, "landing") as [scratch]:

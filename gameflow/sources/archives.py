@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from gameflow.session import scratch_path
+from gameflow.session import path_exists, scratch_folders, scratch_path
 
 #: Packed bytes for a task. Archives up to this size are left to one task without a search.
 FRAME_BYTES = 64 << 20
@@ -216,7 +216,8 @@ class FrameSource(DataSource):
 
 
 def index_frames(
-    spark: SparkSession, paths: str | Sequence[str], frame_bytes: int = FRAME_BYTES, only: Column | None = None
+    spark: SparkSession, paths: str | Sequence[str], frame_bytes: int = FRAME_BYTES, only: Column | None = None,
+    kept: str | None = None,
 ) -> tuple[str, list[str]]:
     """An index of places at which tasks can begin to unpack, and the archives it covers.
 
@@ -225,7 +226,11 @@ def index_frames(
     as a scan of the packed files has splits. Each range of bytes is looked through by a task of
     its own. An archive in which no frame but the first is found is not in the index: one task
     must unpack it. ``only`` is a condition on ``file_path``; other archives are not opened.
+    ``kept`` is the folder to write to; if it is there already, nothing is searched.
     """
+    index = kept or scratch_path(spark, "frame-index")
+    if path_exists(spark, f"{index}/_SUCCESS"):
+        return index, _covered(spark, index)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*{.zst,.gz}").load(
         paths if isinstance(paths, str) else list(paths)
     ).select("_metadata.file_path", "length")
@@ -252,16 +257,20 @@ def index_frames(
 
     tasks = 4 * spark.sparkContext.defaultParallelism
     found = ranges.repartition(tasks, "file_path", "at").mapInArrow(search, "file_path string, start long, length long")
-    starts = scratch_path(spark, "frame-starts")
-    found.write.parquet(starts)
-    later = spark.read.parquet(starts)
-    every = later.union(later.select("file_path", F.lit(0).cast("long"), "length").distinct())
-    index = scratch_path(spark, "frame-index")
-    # The search of a task's range ends where the next one's begins, so starts of a file differ.
-    every.selectExpr(
-        "file_path", "start", "lead(start, 1, length) OVER (PARTITION BY file_path ORDER BY start) AS end"
-    ).write.json(index)
-    return index, sorted(row["file_path"] for row in later.select("file_path").distinct().collect())
+    with scratch_folders(spark, "frame-starts") as [starts]:
+        found.write.parquet(starts)
+        later = spark.read.parquet(starts)
+        every = later.union(later.select("file_path", F.lit(0).cast("long"), "length").distinct())
+        # Ranges of bytes do not overlap, so no start of a file is found twice.
+        every.selectExpr(
+            "file_path", "start", "lead(start, 1, length) OVER (PARTITION BY file_path ORDER BY start) AS end"
+        ).write.mode("overwrite").json(index)
+    return index, _covered(spark, index)
+
+
+def _covered(spark: SparkSession, index: str) -> list[str]:
+    rows = spark.read.schema("file_path string").json(index).distinct().collect()
+    return sorted(row["file_path"] for row in rows)
 
 
 def read_frames(spark: SparkSession, index: str, separator: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 from functools import reduce
 from urllib.parse import unquote
 
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gameflow.functions import pgn
 from gameflow.schema import FIELD_TAGS, MESSAGE_FIELDS
+from gameflow.session import path_exists
 from gameflow.sources.archives import FRAME_BYTES, index_frames, read_frames
 
 FIRST_TAG = "Event"
@@ -43,15 +47,16 @@ def read_records(
 
 def read_by_frame(
     spark: SparkSession, paths: str | Sequence[str], opening: str | None = FIRST_TAG, newline: str = "\n",
-    frame_bytes: int = FRAME_BYTES, only: Column | None = None,
+    frame_bytes: int = FRAME_BYTES, only: Column | None = None, kept: str | None = None,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Records as :func:`read_records` gives them, in two frames: those of files that the text source
     reads, and those of archives with several frames, a task for every ``frame_bytes`` packed bytes.
 
     Either is None if there are no such files. The archives are looked through when this is called;
-    ``only`` is a condition on ``file_path`` that leaves archives unopened, not a filter on the rest.
+    ``only`` is a condition on ``file_path`` that leaves archives unopened, not a filter on the rest;
+    ``kept`` is a path for the index of frames, which a later call then uses as it is.
     """
-    index, framed = index_frames(spark, paths, frame_bytes, only)
+    index, framed = index_frames(spark, paths, frame_bytes, only, kept)
     if not framed:
         return read_records(spark, paths, opening, newline), None
     split = {_plain(path) for path in framed}
@@ -174,23 +179,32 @@ def _plain(path: str) -> str:
 
 def files_between(
     spark: SparkSession, paths: str | Sequence[str], start: int, end: int,
-    opening: str | None = FIRST_TAG, newline: str = "\n",
+    opening: str | None = FIRST_TAG, newline: str = "\n", index: str | None = None,
 ) -> tuple[list[str], int]:
     """The files, in path order, that hold the games at positions ``[start, end)``, and how many
     games lie before the first of them.
 
     Files are counted once, in groups of doubling length up to the one that reaches ``end``, so
-    reaching into a large corpus costs one small job per doubling and leaves the rest unread.
+    reaching into a large corpus costs one small job per doubling and leaves the rest unread. With
+    ``index``, a folder, counts are kept there; a file with the length and the time of change it
+    had then is not opened again.
     """
     files = list_files(spark, paths)
+    known, states = known_counts(spark, files, index, _rule(opening, newline)) if index else ({}, {})
     chosen, before, seen, taken, step = [], 0, 0, 0, 1
     while taken < len(files) and seen < end:
         group = files[taken:taken + step]
-        counts = {
-            _plain(r["source_path"]): r["count"] for r in read_records(spark, group, opening, newline).groupBy("source_path").count().collect()
-        }
+        missing = [file for file in group if _plain(file) not in known]
+        if missing:
+            found = {
+                _plain(r["source_path"]): r["count"] for r in read_records(spark, missing, opening, newline).groupBy("source_path").count().collect()
+            }
+            fresh = {_plain(file): found.get(_plain(file), 0) for file in missing}
+            known |= fresh
+            if index:
+                keep_counts(spark, fresh, states, index, _rule(opening, newline))
         for file in group:
-            n = counts.get(_plain(file), 0)
+            n = known[_plain(file)]
             if seen < end and seen + n > start:
                 chosen.append(file)
             elif not chosen:
@@ -199,3 +213,43 @@ def files_between(
         taken += len(group)
         step *= 2
     return (chosen, before) if chosen else (files[:1], 0)
+
+
+_COUNTS = "path string, length long, changed timestamp, rule string, games long"
+
+
+def _rule(opening: str | None, newline: str) -> str:
+    return f"{opening} {newline!r}"
+
+
+def file_states(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, tuple[int, datetime]]:
+    """Length and time of the last change of each file, without opening any."""
+    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    return {_plain(r["path"]): (r["length"], r["modificationTime"]) for r in files.select("path", "length", "modificationTime").collect()}
+
+
+def known_counts(
+    spark: SparkSession, files: Sequence[str], index: str, rule: str
+) -> tuple[dict[str, int], dict[str, tuple[int, datetime]]]:
+    """Games by file, of files that are as they were when counted by this rule, and the states of all."""
+    states = file_states(spark, files)
+    folder = f"{index}/counts"
+    rows = spark.read.schema(_COUNTS).json(folder).where(F.col("rule") == rule).collect() if path_exists(spark, folder) else []
+    return {r["path"]: r["games"] for r in rows if states.get(r["path"]) == (r["length"], r["changed"])}, states
+
+
+def keep_counts(spark: SparkSession, counts: Mapping[str, int], states: Mapping[str, tuple[int, datetime]], index: str, rule: str) -> None:
+    rows = [(path, *states[path], rule, games) for path, games in counts.items()]
+    spark.createDataFrame(rows, _COUNTS).coalesce(1).write.mode("append").option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{index}/counts")
+
+
+def layout_key(spark: SparkSession, paths: str | Sequence[str], *rule: object) -> str:
+    """A name for the way a scan of these files is cut into tasks: files, their states and all settings it depends on."""
+    settings = {name: spark.conf.get(name, None) for name in (
+        "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum",
+        "spark.sql.files.maxPartitionNum", "spark.sql.leafNodeDefaultParallelism",
+    )}
+    states = sorted((path, length, str(changed)) for path, (length, changed) in file_states(spark, paths).items())
+    known = [states, sorted(settings.items()), spark.sparkContext.defaultParallelism, rule]
+    return hashlib.sha256(json.dumps(known, default=str).encode()).hexdigest()
