@@ -60,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--start-at", type=int, default=0, help="games sent before, for new keys")
     command.add_argument("--after-table", help="number on from the largest key in the table of this folder")
     command.add_argument("--batch-size", type=int, help="send each chunk in batches of so many games")
+    command.add_argument("--index", help="folder that keeps counts of games for later runs")
     command.add_argument("--opening", default="Event", help="tag that opens every game; 'any' cuts at empty lines")
     command = commands.add_parser("send", parents=[topic, letters, stream])
     command.add_argument("landing")
@@ -94,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "ingest":
         start_at = ParquetTable(args.after_table).last_key(spark) if args.after_table else args.start_at
         done = ingest(spark, args.pgn, topic, args.dead_letters, args.games, args.chunks, args.landing, args.label,
-                      start_at, args.batch_size, None if args.opening == "any" else args.opening)
+                      start_at, args.batch_size, None if args.opening == "any" else args.opening, index=args.index)
         return 1 if done.refused else 0
     if args.command == "send":
         options = {"maxFilesPerTrigger": args.files_per_batch} if args.files_per_batch else {}

@@ -33,7 +33,7 @@ def test_commands_from_pgn_to_table(spark, tmp_path, capfd):
     assert "| 13|" in out and "|  0|" in out
 
     # A second dump is numbered on from what the table holds.
-    assert main(["ingest", str(tmp_path / "a.pgn"), *topic, *letters, "--after-table", place["table"], "--batch-size", "4"]) == 0
+    assert main(["ingest", str(tmp_path / "a.pgn"), *topic, *letters, "--after-table", place["table"], "--batch-size", "4", "--index", place["landing"] + "-index"]) == 0
     assert main(["load", *topic, "--table", place["table"], "--checkpoint", place["ckpt"], "--once"]) == 0
     assert main(["count", "--table", place["table"]]) == 0
     assert "| 23|" in capfd.readouterr().out
