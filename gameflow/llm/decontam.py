@@ -12,8 +12,11 @@ units at or above ``THRESHOLD`` are retrieved. Bounds decide what is scored at a
 3. The sum of the terms' largest impacts within a block. Only blocks that reach the threshold have
    their postings read and scored.
 
-What is retrieved is verified: the document must hold ``OVERLAP`` of the five-word shingles of
-the item's question and of its answer.
+What is retrieved is verified in one of two ways. The document holds ``OVERLAP`` of the five-word
+shingles of the item's question and of its answer, wherever they stand; or, from a place that both
+share five words at, it runs along the item word by word and has ``OVERLAP`` of the words of each
+part. There ``EDITS`` missing words of a part do not count, so an item with a word changed, added
+or left out is found too, however short its answer.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ PASSAGE_WORDS = 2 * UNIT_WORDS
 THRESHOLD = 0.6
 SHINGLE_WORDS = 5
 OVERLAP = 0.8
+#: Words of a part that may be missing where a document runs along an item of ten words or more.
+EDITS = 1
+#: By how many places a word may be off there.
+SHIFT = 1
 #: Part of an item's words, at its end, that stands for the answer.
 ANSWER_PART = 0.25
 K1, B = 1.2, 0.75
@@ -71,7 +78,8 @@ def item_rows(items: DataFrame) -> DataFrame:
     """What the index needs of ``items(item_id, text)``, a row per posting or shingle.
 
     ``kind`` 0: ``value`` is a term of unit ``unit``, ``n`` its frequency there. ``kind`` 1 and 2:
-    ``value`` is a shingle of ``n`` words of the question and of the answer.
+    ``value`` is a shingle of ``n`` words of the question and of the answer. ``kind`` 3: ``value``
+    is the word at place ``n``.
     """
 
     def rows_of(terms: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -84,6 +92,7 @@ def item_rows(items: DataFrame) -> DataFrame:
             k = min(SHINGLE_WORDS, len(part))
             values = np.unique(_shingles(part, k))
             yield kind, 0, values, np.full(len(values), k)
+        yield 3, 0, terms, np.arange(len(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,12 +131,13 @@ class Index:
     impact: np.ndarray
     item_of_unit: np.ndarray
     shingles: dict[int, tuple[tuple[int, np.ndarray], tuple[int, np.ndarray]]]
+    words: dict[int, np.ndarray]
 
 
 def build_index(rows: list, n_units: int, mean_words: float) -> Index:
     """``rows``: (item_id, kind, unit, value, n, df) of one shard."""
     table = np.array([tuple(r) for r in rows], dtype=np.int64).reshape(-1, 6)
-    postings = table[table[:, 1] == 0]
+    postings = np.ascontiguousarray(table[table[:, 1] == 0])
     units, unit = np.unique(postings[:, [0, 2]], axis=0, return_inverse=True)
     unit = unit.ravel()
     tf, df = postings[:, 4].astype(float), postings[:, 5].astype(float)
@@ -149,15 +159,18 @@ def build_index(rows: list, n_units: int, mean_words: float) -> Index:
     block_max = np.zeros(len(vocabulary) * n_blocks, np.float32)
     if len(key):
         block_max[block_key] = np.maximum.reduceat(impact, block_start)
-    shingles = {}
-    for item in np.unique(units[:, 0]).tolist():
+    shingles, words_of = {}, {}
+    table = table[np.lexsort((table[:, 4], table[:, 1], table[:, 0]))]
+    items, first = np.unique(table[:, 0], return_index=True)
+    for item, rows_of in zip(items.tolist(), np.split(table, first[1:]), strict=True):
         parts = []
         for kind in (1, 2):
-            own = table[(table[:, 0] == item) & (table[:, 1] == kind)]
-            parts.append((int(own[0, 4]) if len(own) else 0, np.sort(own[:, 3].view(np.uint64))))
+            own = rows_of[rows_of[:, 1] == kind]
+            parts.append((int(own[0, 4]) if len(own) else 0, np.sort(np.ascontiguousarray(own[:, 3]).view(np.uint64))))
         shingles[item] = tuple(parts)
+        words_of[item] = np.ascontiguousarray(rows_of[rows_of[:, 1] == 3, 3]).view(np.uint64)
     return Index(vocabulary, number, largest[by_impact], n_blocks, block_key, np.append(block_start, len(key)),
-                 block_max.reshape(-1, n_blocks), unit, impact, units[:, 0], shingles)
+                 block_max.reshape(-1, n_blocks), unit, impact, units[:, 0], shingles, words_of)
 
 
 def shards(items: DataFrame) -> Iterator[Index]:
@@ -249,6 +262,39 @@ def _share(terms: np.ndarray, part: tuple[int, np.ndarray]) -> float:
     return float(np.isin(wanted, _shingles(terms, k)).mean()) if len(wanted) else 1.0
 
 
+def _along(terms: np.ndarray, words: np.ndarray) -> tuple[float, float, bool]:
+    """Shares of the item's question and answer words that a text has where it runs along the item,
+    at the best of all places that share a shingle with it, and whether they suffice."""
+    n, k = len(words), min(SHINGLE_WORDS, len(words))
+    own, wanted = _shingles(terms, k), _shingles(words, k)
+    if not len(own) or not len(wanted):
+        return 0.0, 0.0, False
+    known, at = np.unique(wanted, return_index=True)
+    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    hit = np.flatnonzero(known[place] == own)
+    shifts = np.unique(hit - at[place[hit]])
+    cut = n - int(np.ceil(n * ANSWER_PART))
+    edits = EDITS if n >= 2 * SHINGLE_WORDS else 0
+    best, result = (False, -1), (0.0, 0.0, False)
+    size = max(1, (1 << 20) // n)
+    for begin in range(0, len(shifts), size):
+        first = shifts[begin:begin + size, None] + np.arange(n)
+        has = np.zeros(first.shape, bool)
+        for off in range(-SHIFT, SHIFT + 1):
+            inside = (first + off >= 0) & (first + off < len(terms))
+            has |= inside & (terms[np.clip(first + off, 0, len(terms) - 1)] == words)
+        parts = [(part.sum(axis=1), part.shape[1]) for part in (has[:, :cut], has[:, cut:])]
+        enough = np.ones(len(has), bool)
+        for found, of in parts:
+            enough &= (found >= OVERLAP * of) | (found >= of - edits)
+        total = parts[0][0] + parts[1][0]
+        top = int(np.lexsort((total, enough))[-1])
+        if (bool(enough[top]), int(total[top])) > best:
+            best = (bool(enough[top]), int(total[top]))
+            result = (*(float(found[top] / of) if of else 1.0 for found, of in parts), best[0])
+    return result
+
+
 def _block_matches(index: Index, block: Block) -> list[tuple]:
     terms, first = _terms(block)
     n_terms = np.diff(first)
@@ -269,14 +315,17 @@ def _block_matches(index: Index, block: Block) -> list[tuple]:
     for (t, item), (score, place) in sorted(best.items()):
         own_terms = terms[first[t]:first[t + 1]]
         question, answer = (_share(own_terms, part) for part in index.shingles[item])
-        rows.append((block.first + t, item, place, -score, question, answer, question >= OVERLAP and answer >= OVERLAP))
+        whole = question >= OVERLAP and answer >= OVERLAP
+        question_words, answer_words, along = _along(own_terms, index.words[item])
+        rows.append((block.first + t, item, place, -score, question, answer, question_words, answer_words, whole or along))
     return rows
 
 
 def matches(docs: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
     """The ``keep`` columns of ``docs`` with each item retrieved for the row's text: ``item_id``,
     ``passage`` (first word of the best passage), ``score``, ``question_overlap``,
-    ``answer_overlap`` and ``contaminated``.
+    ``answer_overlap`` (shares of shingles), ``question_words``, ``answer_words`` (shares of words
+    along the item) and ``contaminated``.
 
     Null and empty texts and items match nothing; items without an id are left out and an id with
     several texts counts once, with the largest. Repeated rows give repeated results. Empty tables
@@ -284,10 +333,11 @@ def matches(docs: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
     """
     spark = docs.sparkSession
     types = dict(docs.select(*keep).dtypes)
-    names = ["item_id", "passage", "score", "question_overlap", "answer_overlap", "contaminated"]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
+    names = ["item_id", "passage", "score", "question_overlap", "answer_overlap", "question_words", "answer_words", "contaminated"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [
-        "item_id bigint, passage bigint, score double, question_overlap double, answer_overlap double, contaminated boolean"])
+        "item_id bigint, passage bigint, score double, question_overlap double, answer_overlap double, "
+        "question_words double, answer_words double, contaminated boolean"])
     slim = docs.select(*keep, F.col("text").cast("string").alias("__text"))
     result = spark.createDataFrame([], schema)
     for index in shards(items):
