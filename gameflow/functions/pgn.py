@@ -92,15 +92,15 @@ def main_moves(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_MOVE), F.lit(1))
 
 
-def one_game(record: Column) -> Column:
+def one_game(record: Column, start: Column) -> Column:
     """A condition that holds for a record with one game, and stops the query at one that holds
     more than one or a part of one.
 
     A tag line after the movetext, outside comments, is another game's. A movetext that opens
     with a closing brace comes from a comment that was cut at a line which looks like a tag. Only
     records with a line after the movetext's first that opens like a tag are looked at closely.
+    ``start`` is where the movetext begins, see :func:`movetext_start`.
     """
-    start = movetext_start(record)
     movetext = F.substring(record, start, F.lit(2**31 - 1))
     second = F.contains(movetext, F.lit("\n[")) | F.contains(movetext, F.lit("\n "))
     second = second & F.regexp_like(F.regexp_replace(movetext, _COMMENT, " "), F.lit(_TAG_LINE))

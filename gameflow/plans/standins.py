@@ -51,6 +51,10 @@ def _square(file_from, rank_from) -> Column:
 
 
 def games(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    return games_of(events(spark, sf_dir), *keep)
+
+
+def games_of(rows: DataFrame, *keep: str) -> DataFrame:
     """Events as games in message form, followed by the ``keep`` columns of the event."""
     at = F.col("ts").cast("string")
     k = F.get_json_object("props", "$.k")
@@ -68,7 +72,7 @@ def games(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
         "Moves": F.array(F.col("event_type"), k),
         "Variant": k,
     }
-    return events(spark, sf_dir).select(*[columns[f].alias(f) for f in MESSAGE_FIELDS], *keep)
+    return rows.select(*[columns[f].alias(f) for f in MESSAGE_FIELDS], *keep)
 
 
 def _pgn_text(columns: DataFrame, *keep: Column) -> DataFrame:
@@ -160,7 +164,10 @@ def frame_corpus_files(spark: SparkSession, sf_dir: str) -> str:
         for part, options in ((0, {}), (1, {"compression": "gzip"})):
             chosen = dated.filter(F.substring("Date", 9, 2).cast("int") % 3 == part)
             _pgn_text(chosen, day).write.mode("append").partitionBy("day").options(**options).text(path)
-        framed = _in_files(_pgn_text(dated.filter(F.substring("Date", 9, 2).cast("int") % 3 == 2), day), "day")
+        # Dealt out by day as events, which are shorter than their texts.
+        chosen = events(spark, sf_dir).withColumn("day", F.substring(F.col("ts").cast("string"), 1, 10))
+        framed = _in_files(chosen.filter(F.substring("day", 9, 2).cast("int") % 3 == 2), "day")
+        framed = _pgn_text(games_of(framed).withColumn("movetext", event_movetext()), day)
         written = framed.mapInArrow(partial(_write_frames, path=path), "n_frames long")
         written.write.format("noop").mode("overwrite").save()
 
@@ -177,11 +184,12 @@ def _write_frames(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.R
 
     system, folder = pyarrow.fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
     task, frames, day, archive, held = TaskContext.get(), 0, None, None, b""
+    packer = zstandard.ZstdCompressor()
     name = f"part-{task.partitionId():05d}.zst"
 
     def close() -> None:
         if archive is not None:
-            archive.write(zstandard.ZstdCompressor().compress(held))
+            archive.write(packer.compress(held))
             archive.close()
             # Under its name only when whole, so that a repeated attempt replaces it.
             system.move(f"{folder}/day={day}/_{task.taskAttemptId()}", f"{folder}/day={day}/{name}")
@@ -195,7 +203,7 @@ def _write_frames(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.R
                 archive = system.open_output_stream(f"{folder}/day={day}/_{task.taskAttemptId()}")
             held += row["value"].encode() + b"\n"
             while len(held) >= FRAME_CHARS:
-                archive.write(zstandard.ZstdCompressor().compress(held[:FRAME_CHARS]))
+                archive.write(packer.compress(held[:FRAME_CHARS]))
                 frames, held = frames + 1, held[FRAME_CHARS:]
     close()
     yield pa.RecordBatch.from_arrays([pa.array([frames], pa.int64())], names=["n_frames"])

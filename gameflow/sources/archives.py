@@ -156,20 +156,34 @@ def cut(texts: Iterator[tuple[bytes, bool]], separator: bytes, first: bool) -> I
 
 
 @dataclass
-class Range(InputPartition):
-    """Frames of an archive that begin in ``[start, end)``."""
+class Ranges(InputPartition):
+    """Frames that begin in ``[start, end)`` of an archive, for each ``(path, start, end)``."""
 
-    path: str
-    start: int
-    end: int
+    ranges: list[tuple[str, int, int]]
+
+
+def dealt(ranges: Sequence[tuple[str, int, int]], tasks: int) -> list[list[tuple[str, int, int]]]:
+    """Ranges, in order, as what each task reads: small ones together, as Spark deals small files, up to
+    ``FRAME_BYTES`` or the share of one of ``tasks``. Neighbours in an archive become one range."""
+    most = min(FRAME_BYTES, sum(end - start for _, start, end in ranges) / tasks)
+    found, held = [], 0
+    for path, start, end in ranges:
+        if not found or held + end - start > most:
+            found.append([])
+            held = 0
+        held += end - start
+        if found[-1] and found[-1][-1][::2] == (path, start):
+            start = found[-1].pop()[1]
+        found[-1].append((path, start, end))
+    return found
 
 
 SCHEMA = "value string, file_path string, file_block_start long"
 
 
 class FrameReader(DataSourceReader):
-    def __init__(self, index: str, separator: str):
-        self.index, self.separator = index, separator.encode()
+    def __init__(self, index: str, separator: str, tasks: int):
+        self.index, self.separator, self.tasks = index, separator.encode(), tasks
 
     def partitions(self) -> Sequence[InputPartition]:
         system, folder = pyarrow.fs.FileSystem.from_uri(self.index if "://" in self.index else f"file://{self.index}")
@@ -178,20 +192,21 @@ class FrameReader(DataSourceReader):
             if info.base_name.endswith(".json"):
                 with system.open_input_stream(info.path) as lines:
                     rows += map(json.loads, io.TextIOWrapper(lines, "utf-8"))
-        return [Range(*row) for row in sorted((r["file_path"], r["start"], r["end"]) for r in rows)]
-
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        path, start, end = partition.path, partition.start, partition.end
-        with _open(path) as file:
-            values, chars = [], 0
-            for piece in cut(unpack(file, start, end, _suffix(path)), self.separator, start == 0):
-                values.append(piece.decode("utf-8", "replace"))
-                chars += len(piece)
-                if chars >= BATCH_CHARS:
+        ranges = sorted((r["file_path"], r["start"], r["end"]) for r in rows)
+        return [Ranges(own) for own in dealt(ranges, self.tasks)]
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for path, start, end in partition.ranges:
+            with _open(path) as file:
+                values, chars = [], 0
+                for piece in cut(unpack(file, start, end, _suffix(path)), self.separator, start == 0):
+                    values.append(piece.decode("utf-8", "replace"))
+                    chars += len(piece)
+                    if chars >= BATCH_CHARS:
+                        yield self._batch(values, path, start)
+                        values, chars = [], 0
+                if values:
                     yield self._batch(values, path, start)
-                    values, chars = [], 0
-            if values:
-                yield self._batch(values, path, start)
 
     def _batch(self, values: list[str], path: str, start: int) -> pa.RecordBatch:
         n = len(values)
@@ -202,7 +217,7 @@ class FrameReader(DataSourceReader):
 
 
 class FrameSource(DataSource):
-    """Pieces of archives between separators, a partition for each range of the index."""
+    """Pieces of archives between separators, a partition for one range of the index or several small ones."""
 
     @classmethod
     def name(cls) -> str:
@@ -212,7 +227,7 @@ class FrameSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return FrameReader(self.options["index"], self.options["separator"])
+        return FrameReader(self.options["index"], self.options["separator"], int(self.options["tasks"]))
 
 
 def index_frames(
@@ -279,4 +294,5 @@ def read_frames(spark: SparkSession, index: str, separator: str) -> DataFrame:
     Bytes that are no UTF-8 become U+FFFD.
     """
     spark.dataSource.register(FrameSource)
-    return spark.read.format(FrameSource.name()).option("index", index).option("separator", separator).load()
+    tasks = str(4 * spark.sparkContext.defaultParallelism)
+    return spark.read.format(FrameSource.name()).options(index=index, separator=separator, tasks=tasks).load()

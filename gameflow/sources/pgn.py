@@ -75,12 +75,15 @@ def _records(raw: DataFrame, opening: str | None) -> DataFrame:
     rest, lost = ('"', f"[{opening} ") if opening else (r'[^\s\["]+[ \t]+"', "[")
     games = raw.filter(F.col("value").rlike(rf"^[\s\x{{FEFF}}]*(?:\[|{rest})"))
     text = F.regexp_replace(F.replace(F.col("value"), F.lit("\r"), F.lit("")), r"^[\s\x{FEFF}]+", "")
-    records = games.select(
-        F.when(F.startswith(text, F.lit("[")), text).otherwise(F.concat(F.lit(lost), text)).alias("record"),
-        F.col("file_path").alias("source_path"),
-        F.col("file_block_start").alias("block_start"),
+    texts = games.select(text.alias("text"), "file_path", "file_block_start")
+    record = F.when(F.startswith("text", F.lit("[")), F.col("text")).otherwise(F.concat(F.lit(lost), F.col("text")))
+    # The check names the record many times. A filter cannot move below a generator, so the record
+    # is made once and not again for each of these.
+    records = texts.select("file_path", "file_block_start", F.inline(F.array(F.struct(record.alias("record")))))
+    records = records.select("file_path", "file_block_start", F.inline(F.array(F.struct("record", pgn.movetext_start(F.col("record")).alias("start")))))
+    return records.filter(pgn.one_game(F.col("record"), F.col("start"))).select(
+        "record", F.col("file_path").alias("source_path"), F.col("file_block_start").alias("block_start"),
     )
-    return records.filter(pgn.one_game(F.col("record")))
 
 
 def spread_archives(records: DataFrame) -> DataFrame:

@@ -143,3 +143,28 @@ def test_long_game_over_many_frames(spark, tmp_path):
     assert scanned is None and framed.rdd.getNumPartitions() > 5
     assert sorted(len(r["record"].rstrip("\n")) for r in framed.collect()) == sorted(
         len(g.rstrip("\n")) for g in (game("before"), game("after"), data.decode()[len(game("before")):-len(game("after"))]))
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Tasks grow with the cores and the packed bytes, not with the number of small ranges."""
+    data = text_of(3000)
+    (tmp_path / "x_2024-01.pgn.zst").write_bytes(packed(data, ".zst", range(0, len(data), 1000)))
+    (tmp_path / "y_2024-02.pgn.gz").write_bytes(packed(data, ".gz", range(0, len(data), 1000)))
+    index, _ = archives.index_frames(spark, str(tmp_path), 2000)
+    assert spark.read.json(index).count() > 200
+    _, framed = read_by_frame(spark, str(tmp_path), frame_bytes=2000)
+    assert 8 < framed.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+    got = sorted((r["period"], r["White"], len(r["Moves"])) for r in read_corpus(spark, str(tmp_path), frame_bytes=2000).collect())
+    assert got == sorted((f"2024-0{d}", f"w{k}", 1 + k % 40) for d in (1, 2) for k in range(3000))
+    games, total = numbered_games(spark, str(tmp_path), frame_bytes=2000)
+    assert total == 6000 and sorted((r["GameID"], r["White"]) for r in games.collect()) == [(1 + k, f"w{k % 3000}") for k in range(6000)]
+
+
+def test_ranges_dealt_to_tasks(monkeypatch):
+    ranges = [("a", k, k + 10) for k in range(0, 100, 10)] + [("b", 0, 500), ("c", 0, 10), ("c", 10, 15)]
+    assert archives.dealt(ranges, 1000) == [[r] for r in ranges]
+    assert archives.dealt(ranges, 12) == [[("a", 0, 50)], [("a", 50, 100)], [("b", 0, 500)], [("c", 0, 15)]]
+    assert archives.dealt(ranges, 1) == [[("a", 0, 100), ("b", 0, 500), ("c", 0, 15)]]
+    monkeypatch.setattr(archives, "FRAME_BYTES", 20)
+    assert [len(own) for own in archives.dealt(ranges, 1)] == [1] * 7
+    assert archives.dealt([], 4) == []

@@ -10,7 +10,7 @@ from gameflow.functions import pgn
 from gameflow.operators.numbering import number_and_count, number_games
 from gameflow.plans.ingest import first_games_of, games_between, numbered_games
 from gameflow.schema import ROSTER_DEFAULTS
-from gameflow.sources.pgn import files_between, read_corpus, read_games
+from gameflow.sources.pgn import files_between, read_corpus, read_games, read_records
 
 
 def game(white, moves="1. e4 e5 1-0", **tags):
@@ -63,6 +63,17 @@ def test_edge_records(spark, tmp_path, crlf):
     assert (full["Date"], full["Time"], full["Variant"], full["Round"]) == ("2024.09.01", "00:00:07", "Chess960", "")
 
 
+def test_record_is_made_once(spark, tmp_path):
+    """The check of a record does not make its text again for every mention of it."""
+    (tmp_path / "a.pgn").write_text(game("a") + game("b"))
+    for opening in ("Event", None):
+        records = read_records(spark, str(tmp_path), opening)
+        for frame in (records, records.groupBy("source_path").count()):
+            plan = frame._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("regexp_instr(") == plan.count("replace(value") == 1
+        assert records.count() == 2
+
+
 def test_roster_defaults(spark, tmp_path):
     (tmp_path / "a.pgn").write_text(game("w"))
     row = read_games(spark, str(tmp_path), ROSTER_DEFAULTS).first()
