@@ -107,10 +107,9 @@ def pgn_files(spark: SparkSession, sf_dir: str) -> str:
 
 def dump_files(spark: SparkSession, sf_dir: str, path: str, upper: bool) -> None:
     """The lower or the upper half of the event games, by number, as PGN files in event order."""
-    half = game_count(events(spark, sf_dir)) / 2
-    rows = _in_files(games(spark, sf_dir, "event_id"), "event_id").withColumn("movetext", event_movetext())
-    chosen = F.col("event_id") >= half
-    _pgn_text(rows.filter(chosen if upper else ~chosen)).write.text(path)
+    chosen = F.col("event_id") >= game_count(events(spark, sf_dir)) / 2
+    half = events(spark, sf_dir).filter(chosen if upper else ~chosen)
+    _pgn_text(games_of(_in_files(half, "event_id")).withColumn("movetext", event_movetext())).write.text(path)
 
 
 def event_movetext() -> Column:
