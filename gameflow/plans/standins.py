@@ -96,10 +96,7 @@ def pgn_files(spark: SparkSession, sf_dir: str) -> str:
     """Event games as PGN files in event order."""
 
     def write(path: str) -> None:
-        with_text = _in_files(games(spark, sf_dir, "event_id"), "event_id").withColumn(
-            "movetext",
-            event_movetext(),
-        )
+        with_text = games_of(_in_files(events(spark, sf_dir), "event_id")).withColumn("movetext", event_movetext())
         _pgn_text(with_text).write.text(path)
 
     return land_once(spark, sf_dir, "pgn", write)
